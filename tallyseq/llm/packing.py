@@ -19,6 +19,7 @@ gives an empty result.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import zlib
 from collections import defaultdict
@@ -40,7 +41,10 @@ ROUNDS = 300
 #: Share of the tokens, in the shortest pieces, that only fills gaps.
 FILLER = 0.06
 #: Distinct chunks of text whose ids a worker remembers at most.
-MEMO = 300_000
+MEMO = 600_000
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters below this code point have one lower-case form, wherever they stand.
+LATIN_END = "\u0250"
 #: Pieces of a partition that share a rank bucket.
 BUCKET = 1 << 16
 
@@ -50,8 +54,11 @@ _encoders: dict[str, ChunkEncoder] = {}
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes, for a tokenizer whose words never span white space.
 
-    A text is cut at spaces and line feeds, which that tokenizer drops, and equal chunks
-    are encoded once.
+    A text is cut at spaces and line feeds, which that tokenizer drops, and a chunk that was
+    met before is looked up. A new chunk of Latin letters, perhaps with ASCII punctuation
+    behind, is put together from its lower-case letters and its punctuation, as the tokenizer
+    splits it; new runs of letters are encoded many at once and told apart by their last tokens,
+    which alone carry the end-of-word mark. Any other chunk is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -59,6 +66,12 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        mark = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self.ends_word[number] = bool(mark) and token.endswith(mark)
+        self.marked = bool(mark)
         self.memo: dict[str, bytes] = {"": b""}
 
     @classmethod
@@ -67,17 +80,67 @@ class ChunkEncoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
+    def _one_by_one(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), 4096):
+            some = chunks[at : at + 4096]
+            for chunk, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                self.memo[chunk] = np.array(got.ids, "<u4").tobytes()
+
+    def _letters(self, runs: list[str]) -> None:
+        for at in range(0, len(runs), 4096):
+            some = runs[at : at + 4096]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) != len(some):  # not one word to a run
+                self._one_by_one(some)
+                continue
+            data, start = ids.tobytes(), 0
+            for run, end in zip(some, ends.tolist(), strict=True):
+                self.memo[run] = data[start:end]
+                start = end
+
+    def _learn(self, fresh: list[str]) -> None:
+        memo, letters, others, joined = self.memo, set(), set(), []
+        for chunk in fresh:
+            run = chunk.rstrip(PUNCTUATION)
+            low = run.lower()
+            if self.marked and low and low.isalpha() and max(run) < LATIN_END and "\u0130" not in run:
+                tail = chunk[len(run) :]
+                joined.append((chunk, low, tail))
+                if low not in memo:
+                    letters.add(low)
+                if tail not in memo:
+                    others.add(tail)
+            else:
+                others.add(chunk)
+        self._letters(sorted(letters))
+        self._one_by_one(sorted(others))
+        for chunk, low, tail in joined:
+            memo[chunk] = memo[low] + memo[tail]
+
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
             self.memo = {"": b""}
+        cut = [text.replace("\n", " ").split(" ") for text in texts]
         memo = self.memo
-        if fresh := [c for c in set(chunks) if c not in memo]:
-            for at in range(0, len(fresh), 4096):
-                some = fresh[at : at + 4096]
-                for chunk, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                    memo[chunk] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(memo.__getitem__, chunks))
+        if fresh := list({c for chunks in cut for c in chunks if c not in memo}):
+            self._learn(fresh)
+        return [b"".join(map(memo.__getitem__, chunks)) for chunks in cut]
+
+
+def _in_steps(encoder: ChunkEncoder, texts: list[str], chars: int = 2_000_000) -> Iterator[bytes]:
+    """Encode texts a few at a time: as many as hold ``chars`` characters together, one at least."""
+    some, held = [], 0
+    for text in texts:
+        if some and held + len(text) > chars:
+            yield from encoder.encode_all(some)
+            some, held = [], 0
+        some.append(text)
+        held += len(text)
+    yield from encoder.encode_all(some) if some else ()
 
 
 def _cut(path: str, capacity: int, end_id: int):
@@ -87,8 +150,9 @@ def _cut(path: str, capacity: int, end_id: int):
         encoder, part, seen = ChunkEncoder.of(path), TaskContext.get().partitionId(), 0
         for rows in batches:
             out: list[tuple] = []
-            for id_, text in zip(rows["id"], rows["text"], strict=True):
-                ids = encoder.encode(text or "") + end
+            texts = [t or "" for t in rows["text"]]
+            for id_, ids in zip(rows["id"], _in_steps(encoder, texts), strict=True):
+                ids += end
                 n = len(ids) // 4
                 for piece, start in enumerate(range(0, n, capacity)):
                     length = min(capacity, n - start)
