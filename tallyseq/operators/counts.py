@@ -80,11 +80,43 @@ def log2_cpm(counts: DataFrame, prior: float = 1.0) -> DataFrame:
     return counts.join(depth, "sample").crossJoin(F.broadcast(total)).select("sample", "feature", F.log2(F.lit(prior) + F.col("n") / F.col("depth") * F.col("total")).alias("value"))
 
 
-def rarefy(counts: DataFrame, depth: int, seed: int = 42) -> DataFrame:
-    """Draw ``depth`` molecules of each deeper sample without replacement; others stay as they are."""
+def reads_per_gene(groups: DataFrame) -> DataFrame:
+    """All reads per composite gene, the unassigned too."""
+    return groups.groupBy("sample", "gene").agg(F.count("*").alias("n"))
+
+
+def reads_per_umi(groups: DataFrame) -> DataFrame:
+    """Reads per gene and molecule tag."""
+    return groups.groupBy("sample", F.concat_ws(":", "gene", "final_umi").alias("gene_umi")).agg(F.count("*").alias("n"))
+
+
+def component_counts(groups: DataFrame, parts: DataFrame) -> DataFrame:
+    """Distinct molecule tags per sample and component of genes; a gene of no component stands for itself."""
+    genes = groups.select("sample", "final_umi", F.explode(F.split("gene", ",")).alias("gene"))
+    named = genes.join(parts, "gene", "left").select("sample", F.coalesce("component", "gene").alias("component"), "final_umi").distinct()
+    return named.groupBy("sample", "component").agg(F.count("*").alias("n"))
+
+
+def rarefy(counts: DataFrame, depth: int, seed: int = 42, block: int = 4096) -> DataFrame:
+    """Draw ``depth`` molecules of each deeper sample without replacement; others stay as they are.
+
+    Molecules are ordered by a hash. Buckets of hash values hold about ``block`` molecules each,
+    whatever the sample's depth; buckets are taken whole until the one that holds the last drawn
+    molecule, and only there molecules are ranked. A cell's copies are made in pieces of a bounded size.
+    """
     totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
     rows = counts.where("n > 0").join(totals, "sample")
-    deep = rows.where(F.col("total") > depth).select("sample", "feature", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
-    order = Window.partitionBy("sample").orderBy(F.xxhash64("sample", "feature", "copy", F.lit(seed)), "feature", "copy")
-    drawn = deep.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= depth).groupBy("sample", "feature").agg(F.count("*").alias("n"))
+    piece = 1 << 16
+    pieces = rows.where(F.col("total") > depth).withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})"))).repartition("sample", "feature", "piece")
+    deep = pieces.withColumn("copy", F.explode(F.expr(f"sequence(piece * {piece} + 1, least(n, (piece + 1) * {piece}))")))
+    key = F.md5(F.concat_ws(":", "sample", "feature", "copy", F.lit(seed)))
+    spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
+    deep = deep.withColumn("key", key).withColumn("bucket", F.floor(spread * F.ceil(F.col("total") / block)))
+    sizes = deep.groupBy("sample", "bucket").agg(F.count("*").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("sample").orderBy("bucket")) - F.col("size")
+    wanted = sizes.withColumn("need", depth - before).where("need > 0").select("sample", "bucket", "need", (F.col("need") < F.col("size")).alias("partly"))
+    taken = deep.join(wanted, ["sample", "bucket"]).select("sample", "feature", "copy", "key", "need", "partly", "bucket")
+    order = Window.partitionBy("sample", "bucket").orderBy("key", "feature", "copy")
+    last = taken.where("partly").withColumn("rn", F.row_number().over(order)).where("rn <= need")
+    drawn = taken.where("not partly").select("sample", "feature").unionByName(last.select("sample", "feature")).groupBy("sample", "feature").agg(F.count("*").alias("n"))
     return drawn.unionByName(rows.where(F.col("total") <= depth).select("sample", "feature", "n"))

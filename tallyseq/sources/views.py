@@ -50,3 +50,21 @@ def primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.translate(F.md5(F.col("s_suppkey").cast("string")), *BASES)
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pair_id"), F.substring(cut, 3, 14).alias("fwd"), F.reverse(F.translate(F.substring(cut, 19, 14), "ACGT", "TGCA")).alias("rev"))
     return rows.select("pair_id", F.expr("stack(2, 'fwd', fwd, 'rev', rev) AS (primer_type, primer_seq)"))
+
+
+def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as read pairs: tags of six bases (seven for some), a primer of eight, and a rest; some matched no primer."""
+    bases = "translate(md5(cast({} AS string)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", f"{bases.format('o_orderkey')} AS b1", f"{bases.format('o_orderkey + 7')} AS b2")
+    return rows.selectExpr(
+        "concat('s', k % 6) AS sample",
+        "concat('q', k) AS read_id",
+        "concat(substring(b1, 1, 6 + cast(k % 17 = 0 AS int)), 'TTGGTTGG', substring(b1, 9, 24)) AS r1_seq",
+        "repeat('I', 38 + cast(k % 17 = 0 AS int)) AS r1_qual",
+        "concat(substring(b2, 1, 6), 'GGTTGGTT', substring(b2, 9, 24)) AS r2_seq",
+        "repeat('F', 38) AS r2_qual",
+        "CASE WHEN k % 13 = 0 THEN '' ELSE 'TTGGTTGG' END AS match1",
+        "'GGTTGGTT' AS match2",
+        "CASE WHEN k % 13 = 0 THEN 'no_adapter' ELSE concat('F', k % 11) END AS adapter1",
+        "concat('R', k % 11) AS adapter2",
+    )

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tallyseq.plans import catalog
+from tallyseq.plans import registry
 
 DIR = "/root/testdata/sf0.01"
 
@@ -20,14 +20,14 @@ def db():
 
 
 def test_each_query_has_sql():
-    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(catalog.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_sql(spark, db, name):
-    found = catalog.queries()[name](spark, DIR)
+    found = registry.queries()[name](spark, DIR)
     names = sorted(found.columns)
-    got = db.execute(catalog.oracle_sql()[name])
+    got = db.execute(registry.oracle_sql()[name])
     want_names = [d[0] for d in got.description]
     assert sorted(want_names) == names
     order = [want_names.index(n) for n in names]
