@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.operators import counts, primers, reads, recover, stats
+from tallyseq.functions.gene_names import simplify
+from tallyseq.operators import anneal, counts, intervals, primers, reads, recover, stats
 from tallyseq.plans import catalog
 from tallyseq.sources import views
 
@@ -97,6 +98,24 @@ def location_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recover.location_checks(catalog.pattern_locations(spark, sf_dir))
 
 
+def exon_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.table(spark, sf_dir, "lineitem").selectExpr("concat(l_orderkey, '_', l_linenumber) AS read_id", "concat('c', l_suppkey % 5) AS contig", "l_orderkey * 37 % 100000 AS start", "l_orderkey * 37 % 100000 + 99 AS end")
+    exons = views.table(spark, sf_dir, "part").selectExpr("concat('G', p_partkey % 40) AS gene", "concat('c', p_partkey % 5) AS contig", "p_partkey * 91 % 100000 AS start", "p_partkey * 91 % 100000 + p_partkey % 300 AS end")
+    return intervals.assign_genes(rows, exons, 4096)
+
+
+def simplified_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of three names from a fixed few of different kinds."""
+    kinds = F.array(*map(F.lit, ("Gapdh", "Gm10358", "MT-CO3", "Klk1", "Gapdh-Klk1", "Abcd1Rik", "FOXP3", "KRT8P1", "KRT8", "Selenbp1")))
+    at = lambda k: F.get(kinds, F.pmod(F.floor(F.col("p_partkey") / k), F.lit(10)).cast("int"))
+    rows = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.array(at(1), at(10), at(100)).alias("names"))
+    return rows.select("id", F.array_join(simplify(F.col("names")), "|").alias("names"))
+
+
+def annealed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anneal.anneal(_candidates(spark, sf_dir), 60, chains=4).select("gene", "design", F.round("loss", 6).alias("loss"))
+
+
 _BASES = "translate(md5(({})::VARCHAR), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 _PAIRS = f"""raw AS (SELECT o_orderkey AS k, {_BASES.format("o_orderkey")} AS b1, {_BASES.format("o_orderkey + 7")} AS b2 FROM orders),
 made AS (
@@ -158,7 +177,21 @@ _SQL = {
         SELECT pattern, sum(n)::BIGINT AS places, count(*) AS transcripts, count(*) FILTER (n > 1) AS repeated_in FROM each GROUP BY 1""",
 }
 
-_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks)
+_SQL["exon_assignment"] = """WITH r AS (SELECT concat(l_orderkey, '_', l_linenumber) AS read_id, concat('c', l_suppkey % 5) AS contig, l_orderkey * 37 % 100000 AS s FROM lineitem),
+    x AS (SELECT concat('G', p_partkey % 40) AS gene, concat('c', p_partkey % 5) AS contig, p_partkey * 91 % 100000 AS s, p_partkey * 91 % 100000 + p_partkey % 300 AS e FROM part)
+    SELECT read_id, coalesce(array_to_string(list_sort(list(DISTINCT gene) FILTER (gene IS NOT NULL)), ','), 'Unassigned') AS gene
+    FROM r LEFT JOIN x ON r.contig = x.contig AND r.s <= x.e AND x.s <= r.s + 99 GROUP BY read_id"""
+_SQL["simplified_names"] = """WITH n AS (
+        SELECT p_partkey AS id, [k[p_partkey % 10 + 1], k[p_partkey // 10 % 10 + 1], k[p_partkey // 100 % 10 + 1]] AS l
+        FROM part, (SELECT ['Gapdh', 'Gm10358', 'MT-CO3', 'Klk1', 'Gapdh-Klk1', 'Abcd1Rik', 'FOXP3', 'KRT8P1', 'KRT8', 'Selenbp1'] AS k)
+    ), d AS (SELECT id, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM n),
+    p AS (SELECT *, ['Gm10358', 'Abcd1Rik', 'KRT8P1'] AS pseudo FROM d),
+    f AS (SELECT id, l, list_filter(l, lambda x: NOT (x = 'Gapdh-Klk1' AND (list_contains(l, 'Gapdh') OR list_contains(l, 'Klk1')))
+        AND NOT (list_contains(pseudo, x) AND len(list_filter(l, lambda y: NOT list_contains(pseudo, y))) > 0)) AS kept FROM p),
+    g AS (SELECT id, CASE WHEN len(kept) > 0 THEN kept ELSE l END AS kept FROM f)
+    SELECT id, array_to_string(list_filter(kept, lambda x: NOT (x = 'KRT8P1' AND list_contains(kept, 'KRT8'))), '|') AS names FROM g"""
+
+_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks, exon_assignment, simplified_names, annealed_panel)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

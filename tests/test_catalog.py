@@ -20,10 +20,10 @@ def db():
 
 
 def test_each_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) - set(registry.oracle_sql()) == {"annealed_panel"}  # a random search
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_sql(spark, db, name):
     found = registry.queries()[name](spark, DIR)
     names = sorted(found.columns)
