@@ -40,3 +40,21 @@ def common_features(counts: DataFrame, batches: DataFrame) -> DataFrame:
     seen = counts.where("n > 0").join(batches, "sample").select("feature", "batch").distinct().groupBy("feature").agg(F.count("*").alias("seen"))
     every = batches.select("batch").distinct().agg(F.count("*").alias("every"))
     return seen.crossJoin(F.broadcast(every)).where("seen = every").select("feature")
+
+
+def size_factors(counts: DataFrame) -> DataFrame:
+    """Median of ratios: per sample, the median over features of its count to their geometric mean.
+
+    Only features with a count in every sample take part. ``counts`` holds one row per cell above zero.
+    """
+    samples = counts.select("sample").distinct().agg(F.count("*").alias("samples"))
+    means = counts.where("n > 0").groupBy("feature").agg(F.avg(F.log("n")).alias("log_mean"), F.count("*").alias("cells")).crossJoin(F.broadcast(samples)).where("cells = samples").select("feature", "log_mean")
+    ratios = counts.join(means, "feature").groupBy("sample").agg(F.percentile(F.log("n") - F.col("log_mean"), F.lit(0.5)).alias("middle"))
+    return ratios.select("sample", F.exp("middle").alias("size_factor"))
+
+
+def center_batches(values: DataFrame, batches: DataFrame) -> DataFrame:
+    """Take each feature's batch means away and put its overall mean back: the least-squares removal of one factor."""
+    rows = values.join(batches, "sample")
+    own = F.avg("value").over(Window.partitionBy("feature", "batch"))
+    return rows.select("sample", "feature", (F.col("value") - own + F.avg("value").over(Window.partitionBy("feature"))).alias("value"))
