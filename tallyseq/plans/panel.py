@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import simplify
-from tallyseq.operators import anneal, counts, intervals, primers, reads, recover, stats
+from tallyseq.operators import anneal, assign, counts, intervals, primers, reads, recover, stats
 from tallyseq.plans import catalog
 from tallyseq.sources import views
 
 DEPTH = 500
 TOP = 20
+PANEL = [("P1", "TTGCTTGG"), ("P2", "ACGTACGT"), ("P3", "GGTTAACCA"), ("P4", "AAAACCCCGGGGTTTT")]
 
 
 def umi_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,12 @@ def exon_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.assign_genes(rows, exons, 4096)
 
 
+def primer_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.read_pairs(spark, sf_dir).select("read_id", F.col("r1_seq").alias("seq"))
+    panel = spark.createDataFrame(PANEL, "adapter string, primer string")
+    return assign.assign_primers(rows, panel, 0.125)
+
+
 def simplified_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists of three names from a fixed few of different kinds."""
     kinds = F.array(*map(F.lit, ("Gapdh", "Gm10358", "MT-CO3", "Klk1", "Gapdh-Klk1", "Abcd1Rik", "FOXP3", "KRT8P1", "KRT8", "Selenbp1")))
@@ -181,6 +188,11 @@ _SQL["exon_assignment"] = """WITH r AS (SELECT concat(l_orderkey, '_', l_linenum
     x AS (SELECT concat('G', p_partkey % 40) AS gene, concat('c', p_partkey % 5) AS contig, p_partkey * 91 % 100000 AS s, p_partkey * 91 % 100000 + p_partkey % 300 AS e FROM part)
     SELECT read_id, coalesce(array_to_string(list_sort(list(DISTINCT gene) FILTER (gene IS NOT NULL)), ','), 'Unassigned') AS gene
     FROM r LEFT JOIN x ON r.contig = x.contig AND r.s <= x.e AND x.s <= r.s + 99 GROUP BY read_id"""
+_SQL["primer_assignment"] = f"""WITH {_PAIRS}, p(adapter, primer) AS (VALUES {", ".join(str(x) for x in PANEL)}),
+    w AS (SELECT k, s1, adapter, primer, unnest(range(0, length(s1) - length(primer) + 1)) AS start FROM made CROSS JOIN p),
+    d AS (SELECT *, substr(s1, start + 1, length(primer)) AS match, levenshtein(substr(s1, start + 1, length(primer)), primer) AS errors FROM w),
+    b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY errors, start, adapter) AS rn FROM d WHERE errors <= floor(0.125 * length(primer)))
+    SELECT concat('q', made.k) AS read_id, coalesce(adapter, 'no_adapter') AS adapter, coalesce(match, '') AS match, start::INT AS start, errors::INT AS errors FROM made LEFT JOIN b ON b.k = made.k AND rn = 1"""
 _SQL["simplified_names"] = """WITH n AS (
         SELECT p_partkey AS id, [k[p_partkey % 10 + 1], k[p_partkey // 10 % 10 + 1], k[p_partkey // 100 % 10 + 1]] AS l
         FROM part, (SELECT ['Gapdh', 'Gm10358', 'MT-CO3', 'Klk1', 'Gapdh-Klk1', 'Abcd1Rik', 'FOXP3', 'KRT8P1', 'KRT8', 'Selenbp1'] AS k)
@@ -191,7 +203,7 @@ _SQL["simplified_names"] = """WITH n AS (
     g AS (SELECT id, CASE WHEN len(kept) > 0 THEN kept ELSE l END AS kept FROM f)
     SELECT id, array_to_string(list_filter(kept, lambda x: NOT (x = 'KRT8P1' AND list_contains(kept, 'KRT8'))), '|') AS names FROM g"""
 
-_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks, exon_assignment, simplified_names, annealed_panel)
+_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks, exon_assignment, primer_assignment, simplified_names, annealed_panel)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
