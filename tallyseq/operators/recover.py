@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: The universal prefixes of forward and reverse primers, with their random bases.
 PREFIXES = {"fwd": "CCTACACGACGCTCTTCCGATCTNNNNNN", "rev": "TCAGACGTGTGCTCTTCCGATCTNNNNNN"}
@@ -66,3 +67,35 @@ def missing_genes(wanted: DataFrame, candidates: DataFrame) -> DataFrame:
     w, c = wanted.alias("w"), candidates.alias("c")
     fits = lambda a, b: F.col(a).isNull() | (F.col(a) == F.col(b))
     return w.join(c, (F.col("w.gene") == F.col("c.gene")) & fits("w.primer_fwd", "c.l_seq") & fits("w.primer_rev", "c.r_seq"), "left_anti")
+
+
+def sanity_report(pool: DataFrame, located: DataFrame, amplicons: DataFrame) -> DataFrame:
+    """(check, n): how many keys break each expectation of a recovered pool; 0 everywhere is clean.
+
+    ``pool``: primer_seq, primer_type, pool. ``located``: pattern, seq_id, gene_id, start, end.
+    ``amplicons``: fwd, rev, gene_id, pool_fwd, pool_rev.
+    """
+    count = lambda df, keys, what: df.groupBy(*keys).agg(what.alias("__n")).where("__n > 1").agg(F.count("*").alias("n"))
+    checks = {
+        "primers ordered twice": count(pool, ["primer_seq"], F.count("*")),
+        "primers ordered twice as one type": count(pool, ["primer_seq", "primer_type"], F.count("*")),
+        "patterns with several places": count(located, ["pattern"], F.count("*")),
+        "patterns with several places in one transcript": count(located, ["pattern", "seq_id"], F.count("*")),
+        "patterns in several genes": count(located, ["pattern"], F.count_distinct("gene_id")),
+        "places of another length than their pattern": located.where(F.col("end") - F.col("start") + 1 != F.length("pattern")).agg(F.count("*").alias("n")),
+        "pairs in several genes": count(amplicons, ["fwd", "rev"], F.count_distinct("gene_id")),
+        "pairs with several amplicons": count(amplicons, ["fwd", "rev"], F.count("*")),
+        "pairs across pools": amplicons.where("pool_fwd <> pool_rev").select("fwd", "rev").distinct().agg(F.count("*").alias("n")),
+        "primers in several pairs": count(amplicons.select("fwd", "rev").distinct().unpivot([], ["fwd", "rev"], "side", "primer"), ["primer"], F.count("*")),
+    }
+    out = None
+    for name, df in checks.items():
+        row = df.select(F.lit(name).alias("check"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def distinct_record_ids(records: DataFrame) -> DataFrame:
+    """Add ``.1``, ``.2`` ... to equal ``record_id`` values, in ascending order of ``seq``."""
+    place = F.row_number().over(Window.partitionBy("record_id").orderBy("seq")) - 1
+    return records.withColumn("record_id", F.concat("record_id", F.when(place > 0, F.concat(F.lit("."), place)).otherwise(F.lit(""))))

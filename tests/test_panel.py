@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import simplify
-from tallyseq.operators import anneal, intervals, primers
+from tallyseq.operators import anneal, assign, intervals, primers, recover
 
 NAMES = [
     ("KLRC4-KLRK1,KLRK1", "KLRK1"),
@@ -50,3 +50,19 @@ def test_annealing_finds_the_harmless_design(spark):
     pool = candidates.where("amplicon_index in (2, 3)").selectExpr("stack(2, concat(gene, 'l'), l_seq, concat(gene, 'r'), r_seq) AS (id, seq)")
     loss = primers.dimer_loss(pool, 4, 8, 3).agg(F.coalesce(F.sum("loss"), F.lit(0.0))).first()[0]
     assert found["g1"]["loss"] == pytest.approx(loss)
+
+
+def test_sanity_report_and_record_ids(spark):
+    pool = spark.createDataFrame([("A", "fwd", "1"), ("A", "rev", "1"), ("C", "rev", "2")], "primer_seq string, primer_type string, pool string")
+    located = spark.createDataFrame([("A", "t1", "g1", 1, 1), ("A", "t1", "g1", 5, 5), ("A", "t2", "g2", 1, 2)], "pattern string, seq_id string, gene_id string, start long, end long")
+    amplicons = spark.createDataFrame([("A", "C", "g1", "1", "2"), ("A", "C", "g2", "1", "2"), ("A", "T", "g1", "1", "1")], "fwd string, rev string, gene_id string, pool_fwd string, pool_rev string")
+    assert [r["n"] for r in recover.sanity_report(pool, located, amplicons).collect()] == [1, 0, 1, 1, 1, 1, 1, 1, 1, 1]
+    ids = recover.distinct_record_ids(spark.createDataFrame([("x", "C"), ("x", "A"), ("y", "A")], "record_id string, seq string"))
+    assert sorted(map(tuple, ids.collect())) == [("x", "A"), ("x.1", "C"), ("y", "A")]
+
+
+def test_primers_with_one_error_and_none(spark):
+    reads = spark.createDataFrame([("a", "GGACGTACGAACGTAAGG"), ("b", "T"), ("c", "")], "read_id string, seq string")
+    panel = spark.createDataFrame([("P", "ACGTACGTACGT"), ("Q", "")], "adapter string, primer string")
+    found = {r["read_id"]: (r["adapter"], r["start"], r["errors"]) for r in assign.assign_primers(reads, panel, 0.1).collect()}
+    assert found == {"a": ("P", 2, 1), "b": ("no_adapter", None, None), "c": ("no_adapter", None, None)}
