@@ -120,3 +120,17 @@ def rarefy(counts: DataFrame, depth: int, seed: int = 42, block: int = 4096) ->
     last = taken.where("partly").withColumn("rn", F.row_number().over(order)).where("rn <= need")
     drawn = taken.where("not partly").select("sample", "feature").unionByName(last.select("sample", "feature")).groupBy("sample", "feature").agg(F.count("*").alias("n"))
     return drawn.unionByName(rows.where(F.col("total") <= depth).select("sample", "feature", "n"))
+
+
+def rarefy_repeats(counts: DataFrame, repeats: int, depth: int | None = None, seed: int = 42) -> DataFrame:
+    """``repeats`` independent draws of each deeper sample, named ``<sample>_rarefied_<i>``; others come once, whole.
+
+    Without a depth it is one below the least total of a sample.
+    """
+    totals = counts.groupBy("sample").agg(F.sum("n").alias("__total"))
+    if depth is None:
+        least = totals.agg(F.min("__total")).first()[0]
+        depth = (least or 0) - 1
+    draws = F.when(F.col("__total") > depth, F.sequence(F.lit(0), F.lit(repeats - 1))).otherwise(F.array(F.lit(0)))
+    named = counts.join(totals.withColumn("__draw", F.explode(draws)), "sample").select(F.concat_ws("_rarefied_", "sample", "__draw").alias("sample"), "feature", "n")
+    return rarefy(named, depth, seed)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from tallyseq.__main__ import main
-from tallyseq.operators import stats
+from tallyseq.operators import counts, stats
 from tallyseq.plans import summary
 from tallyseq.sources import files
 
@@ -68,3 +68,20 @@ def test_size_factors_and_centering(spark):
     values = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 3.0), ("c", "x", 11.0)], "sample string, feature string, value double")
     batches = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2")], "sample string, batch string")
     assert sorted(map(tuple, stats.center_batches(values, batches).collect())) == [("a", "x", 4.0), ("b", "x", 6.0), ("c", "x", 5.0)]
+
+
+def test_rarefied_repeats(spark):
+    cells = [("a", "x", 4), ("a", "y", 3), ("a", "z", 1), ("b", "x", 2), ("b", "y", 1)]
+    table = spark.createDataFrame(cells, "sample string, feature string, n long")
+
+    def drawn(**how):
+        rows = [tuple(r) for r in counts.rarefy_repeats(table, 3, **how).collect()]
+        sums = {}
+        for sample, feature, n in rows:
+            assert n <= {(s, f): m for s, f, m in cells}[sample.split("_")[0], feature]
+            sums[sample] = sums.get(sample, 0) + n
+        return sums, sorted(rows)
+
+    assert drawn(depth=4)[0] == {"a_rarefied_0": 4, "a_rarefied_1": 4, "a_rarefied_2": 4, "b_rarefied_0": 3}
+    assert drawn()[0] == {f"{s}_rarefied_{i}": 2 for s in "ab" for i in range(3)}
+    assert drawn(seed=1)[1] == drawn(seed=1)[1] != drawn(seed=2)[1]
