@@ -21,31 +21,48 @@ MOST_DESIGNS = 200_000
 HEAT = 1e6
 
 
-def design_tails(candidates: DataFrame, k_min: int, k_max: int, most_from_end: int) -> DataFrame:
-    """(gene, design, tails): the tails of both primers with their complement, score and closeness to the end."""
-    every = F.concat(*[tails(F.col(c), k_min, k_max, most_from_end) for c in ("l_seq", "r_seq")])
-    told = F.transform(every, lambda t: F.struct(t["tail"].alias("tail"), reverse_complement(t["tail"]).alias("rc"), (pairing_score(t["tail"]) / (t["d"] + 1)).alias("score"), (1 / (t["d"] + 1)).alias("weight")))
-    return candidates.select("gene", F.col("amplicon_index").alias("design"), told.alias("tails"))
+def unit_of(most_from_end: int) -> int:
+    """The least number that each distance from the end divides."""
+    return math.lcm(*range(1, most_from_end + 2))
 
 
-def run_chain(rows: pd.DataFrame, steps: int, seed: int) -> tuple[list[float], list]:
+def design_tails(candidates: DataFrame, k_min: int, k_max: int, most_from_end: int) -> DataFrame:
+    """(gene, design, tails, own): the tails of both primers with their complement, score and closeness to the end; their self loss.
+
+    Closeness is in units of ``unit_of(most_from_end)``, so that all are whole numbers and sums of them exact.
+    """
+    unit = F.lit(float(unit_of(most_from_end)))
+    near = lambda t: unit / (t["d"] + 1)
+    each = [tails(F.col(c), k_min, k_max, most_from_end) for c in ("l_seq", "r_seq")]
+    every = F.concat(*each)
+    meets = lambda one, f: F.transform(F.filter(one, lambda r: reverse_complement(r["tail"]) == f["tail"]), lambda r: pairing_score(f["tail"]) * near(f) * near(r))
+    met = lambda one: F.flatten(F.transform(one, lambda f: meets(one, f)))
+    own = F.concat(*[met(one) for one in each])
+    told = F.transform(every, lambda t: F.struct(t["tail"].alias("tail"), reverse_complement(t["tail"]).alias("rc"), (pairing_score(t["tail"]) * near(t)).alias("score"), near(t).alias("weight")))
+    return candidates.select("gene", F.col("amplicon_index").alias("design"), told.alias("tails"), F.aggregate(own, F.lit(0.0), lambda a, b: a + b).alias("own"))
+
+
+def run_chain(rows: pd.DataFrame, steps: int, seed: int, unit: int = 1) -> tuple[list[float], list]:
     """Losses by step, and the index labels of the designs of the best step."""
     draw = random.Random(seed)
     rows = rows.sort_values(["gene", "design"], kind="stable")
     genes = [list(g.index) for _, g in rows.groupby("gene", sort=True)]
-    tail_of = rows["tails"].to_dict()
+    tail_of, own_of = rows["tails"].to_dict(), rows["own"].to_dict()
     chosen = [g[0] for g in genes]
     weights: Counter = Counter()
     scores: Counter = Counter()
 
+    own: Counter = Counter()
+
     def put(design, sign: int) -> None:
+        own["loss"] += sign * own_of[design]
         for t in tail_of[design]:
             weights[t["rc"]] += sign * t["weight"]
             scores[t["tail"]] += sign * t["score"]
 
     for design in chosen:
         put(design, 1)
-    loss_of = lambda: sum(s * weights[t] for t, s in scores.items() if t in weights)
+    loss_of = lambda: (own["loss"] + sum(s * weights[t] for t, s in scores.items() if t in weights)) / unit**2
     movable = [i for i, g in enumerate(genes) if len(g) > 1]
     loss = loss_of()
     losses, best, best_loss = [loss], [*chosen], loss
@@ -66,7 +83,7 @@ def run_chain(rows: pd.DataFrame, steps: int, seed: int) -> tuple[list[float], l
     return losses, best
 
 
-def anneal(candidates: DataFrame, steps: int, chains: int = 8, k_min: int = 4, k_max: int = 8, most_from_end: int = 3, seed: int = 42) -> DataFrame:
+def anneal(candidates: DataFrame, steps: int, chains: int = 8, k_min: int = 4, k_max: int = 12, most_from_end: int = 2, seed: int = 42) -> DataFrame:
     """(gene, design) of the best chain. ``candidates``: gene, amplicon_index, l_seq, r_seq; rows without a gene are left out."""
     rows = design_tails(candidates.where("gene is not null"), k_min, k_max, most_from_end)
     if rows.count() > MOST_DESIGNS:
@@ -74,7 +91,7 @@ def anneal(candidates: DataFrame, steps: int, chains: int = 8, k_min: int = 4, k
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
-        losses, best = run_chain(pdf, steps, seed + int(key[0]))
+        losses, best = run_chain(pdf, steps, seed + int(key[0]), unit_of(most_from_end))
         return pdf.loc[best, ["gene", "design"]].assign(chain=int(key[0]), loss=min(losses))
 
     kinds = dict(rows.dtypes)

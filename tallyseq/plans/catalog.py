@@ -133,10 +133,15 @@ def kmer_complement_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def primer_dimer_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = primers.dimer_loss(_pool(spark, sf_dir), 4, 8, 3)
+    found = primers.dimer_loss(_pool(spark, sf_dir), 4, 8, 3, with_self=False)
     return found.select("id", F.round("loss", 4).alias("loss"))
 
 
+def pool_saddle_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tails of 4 to 12 bases up to 2 from the end, with self loss."""
+    return primers.dimer_loss(_pool(spark, sf_dir)).select("id", F.round("loss", 4).alias("loss"))
+
+
 def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of eight bases from the primers' 3' ends, so that the short test transcripts hold some."""
     pool = views.primers(spark, sf_dir).select("primer_type", F.substring("primer_seq", 7, 8).alias("pattern")).groupBy("pattern").agg(F.min("primer_type").alias("primer_type"))
@@ -198,6 +203,9 @@ _SQL = {
         FROM w a JOIN w b ON a.kmer = {_RC.format("b.kmer")} AND a.id <= b.id""",
     "primer_dimer_loss": f"""WITH {_POOL}, t AS ({_TAILS}), weights AS (SELECT {_RC.format("tail")} AS tail, sum(1.0::DOUBLE / near) AS weight FROM t GROUP BY 1)
         SELECT id, round(sum({_SCORE.format("tail")} / near * weight), 4) AS loss FROM t JOIN weights USING (tail) GROUP BY 1""",
+    "pool_saddle_loss": f"""WITH {_POOL}, t AS (SELECT id, substr(seq, length(seq) - d - k + 1, k) AS tail, d + 1 AS near FROM pool, range(4, 13) r(k), range(0, 3) q(d) WHERE k + d <= length(seq)),
+        met AS (SELECT a.id, {_SCORE.format("a.tail")} / (a.near * b.near) * CASE WHEN a.id = b.id THEN 2 ELSE 1 END AS part FROM t a JOIN t b ON a.tail = {_RC.format("b.tail")})
+        SELECT id, round(sum(part), 4) AS loss FROM met GROUP BY 1""",
     "pattern_locations": f"WITH {_LOCATED} SELECT * FROM located",
     "amplicons": f"""WITH {_LOCATED} SELECT u.seq_id, u.pattern AS up, u.primer_type AS up_type, u.start AS up_start, u."end" AS up_end, d.pattern AS down, d.primer_type AS down_type, d.start AS down_start, d."end" AS down_end, d."end" - u.start + 1 AS length
         FROM located u JOIN located d ON u.seq_id = d.seq_id AND u.strand = '+' AND d.strand = '-' AND u."end" < d.start""",
@@ -206,7 +214,7 @@ _SQL = {
         SELECT *, array_to_string(list_filter([{", ".join(f"CASE WHEN {a} < {b} THEN '{a}<{b}' END" for a, b in summary.EDGES)}], lambda x: x IS NOT NULL), ',') AS violations FROM t""",
 }
 
-_QUERIES = (umi_dedup_counts, raw_read_counts, umi_group, count_matrix_long, mean_relative_abundance, consolidated_reads, gene_cooccurrence, gene_components, symbol_collapse, log2_cpm, tag_fold, tag_run_totals, primer_properties, kmer_complement_hits, primer_dimer_loss, pattern_locations, amplicons, depth_summary)
+_QUERIES = (umi_dedup_counts, raw_read_counts, umi_group, count_matrix_long, mean_relative_abundance, consolidated_reads, gene_cooccurrence, gene_components, symbol_collapse, log2_cpm, tag_fold, tag_run_totals, primer_properties, kmer_complement_hits, primer_dimer_loss, pool_saddle_loss, pattern_locations, amplicons, depth_summary)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
