@@ -129,7 +129,12 @@ def primer_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmer_complement_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return primers.complement_hits(_pool(spark, sf_dir), K)
+    return primers.complement_hits(_pool(spark, sf_dir), K, K)
+
+
+def pool_complement_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of 4 to 8 bases."""
+    return primers.complement_hits(_pool(spark, sf_dir))
 
 
 def primer_dimer_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +206,9 @@ _SQL = {
     "kmer_complement_hits": f"""WITH {_POOL}, w AS (SELECT id, substr(seq, pos::INT + 1, {K}) AS kmer, (length(seq) - {K} - pos)::INT AS d FROM ({_HITS_WORDS}))
         SELECT a.id AS id_1, b.id AS id_2, a.kmer, a.d AS d_1, b.d AS d_2, {_SCORE.format("a.kmer")} / ((1 + a.d) * (1 + b.d)) * CASE WHEN a.id = b.id THEN 2 ELSE 1 END AS score
         FROM w a JOIN w b ON a.kmer = {_RC.format("b.kmer")} AND a.id <= b.id""",
+    "pool_complement_hits": f"""WITH {_POOL}, w AS (SELECT id, substr(seq, (length(seq) - d - k + 1)::INT, k::INT) AS kmer, d::INT AS d FROM pool, range(4, 9) r(k), range(0, 60) q(d) WHERE d + k <= length(seq))
+        SELECT a.id AS id_1, b.id AS id_2, a.kmer, a.d AS d_1, b.d AS d_2, {_SCORE.format("a.kmer")} / ((1 + a.d) * (1 + b.d)) * CASE WHEN a.id = b.id THEN 2 ELSE 1 END AS score
+        FROM w a JOIN w b ON a.kmer = {_RC.format("b.kmer")} AND a.id <= b.id""",
     "primer_dimer_loss": f"""WITH {_POOL}, t AS ({_TAILS}), weights AS (SELECT {_RC.format("tail")} AS tail, sum(1.0::DOUBLE / near) AS weight FROM t GROUP BY 1)
         SELECT id, round(sum({_SCORE.format("tail")} / near * weight), 4) AS loss FROM t JOIN weights USING (tail) GROUP BY 1""",
     "pool_saddle_loss": f"""WITH {_POOL}, t AS (SELECT id, substr(seq, length(seq) - d - k + 1, k) AS tail, d + 1 AS near FROM pool, range(4, 13) r(k), range(0, 3) q(d) WHERE k + d <= length(seq)),
@@ -214,7 +222,7 @@ _SQL = {
         SELECT *, array_to_string(list_filter([{", ".join(f"CASE WHEN {a} < {b} THEN '{a}<{b}' END" for a, b in summary.EDGES)}], lambda x: x IS NOT NULL), ',') AS violations FROM t""",
 }
 
-_QUERIES = (umi_dedup_counts, raw_read_counts, umi_group, count_matrix_long, mean_relative_abundance, consolidated_reads, gene_cooccurrence, gene_components, symbol_collapse, log2_cpm, tag_fold, tag_run_totals, primer_properties, kmer_complement_hits, primer_dimer_loss, pool_saddle_loss, pattern_locations, amplicons, depth_summary)
+_QUERIES = (umi_dedup_counts, raw_read_counts, umi_group, count_matrix_long, mean_relative_abundance, consolidated_reads, gene_cooccurrence, gene_components, symbol_collapse, log2_cpm, tag_fold, tag_run_totals, primer_properties, kmer_complement_hits, pool_complement_hits, primer_dimer_loss, pool_saddle_loss, pattern_locations, amplicons, depth_summary)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
