@@ -13,13 +13,14 @@ from tallyseq.functions.sequence import kmers
 MOST_PRIMERS = 100_000
 
 
-def assign_primers(reads: DataFrame, panel: DataFrame, error_rate: float = 0.1) -> DataFrame:
+def assign_primers(reads: DataFrame, panel: DataFrame, error_rate: float = 0.1, indels: bool = True) -> DataFrame:
     """Per read the best place of a primer: read_id, adapter, match, start (from 0), errors; ``no_adapter`` for none.
 
-    ``reads`` has read_id, seq (distinct ids), ``panel`` has adapter, primer. A place is a window of the primer's
-    length within floor(rate * length) edits. Of ``e + 1`` pieces of a primer one is whole in such a window,
-    moved by ``e`` at most, so reads meet primers in an equi-join on pieces and only then edits are counted.
-    Fewest errors win, then the first start, then the adapter's name.
+    ``reads`` has read_id, seq (distinct ids), ``panel`` has adapter, primer. A place is a window within
+    ``e`` = floor(rate * length) edits, of ``e`` bases less to ``e`` more than the primer; without ``indels`` of the
+    primer's length alone. Of ``e + 1`` pieces of a primer one is whole in such a window, moved by ``e`` at most, so
+    reads meet primers in an equi-join on pieces and only then edits are counted. Fewest errors win, then the first
+    start, then the length closest to the primer's, then the adapter's name, then the shorter window.
     """
     named = panel.select("adapter", F.upper("primer").alias("primer")).where("primer <> ''")
     lengths = sorted(r[0] for r in named.select(F.length("primer")).distinct().limit(MOST_PRIMERS).collect())
@@ -36,9 +37,10 @@ def assign_primers(reads: DataFrame, panel: DataFrame, error_rate: float = 0.1)
     spots = upper.select("read_id", "seq", F.explode(windows).alias("w"))
     spots = spots.select("read_id", "seq", "w.at", F.col("w.kmer").alias("word"))
     met = spots.join(pieces, "word").withColumn("start", F.explode(F.expr("sequence(at - offset - e, at - offset + e)")))
-    window = F.substr("seq", F.col("start") + 1, F.length("primer"))
-    inside = met.where("start >= 0 and start + length(primer) <= length(seq)").withColumn("match", window)
+    slack = F.col("e") if indels else F.lit(0)
+    met = met.withColumn("size", F.explode(F.sequence(F.length("primer") - slack, F.length("primer") + slack)))
+    inside = met.where("start >= 0 and start + size <= length(seq)").withColumn("match", F.substr("seq", F.col("start") + 1, F.col("size")))
     found = inside.withColumn("errors", F.levenshtein("match", "primer")).where("errors <= e")
-    best = found.groupBy("read_id").agg(F.min(F.struct("errors", "start", "adapter", "match")).alias("b"))
+    best = found.groupBy("read_id").agg(F.min(F.struct("errors", "start", F.abs(F.col("size") - F.length("primer")).alias("off"), "adapter", "size", "match")).alias("b"))
     rows = reads.select("read_id").join(best, "read_id", "left")
     return rows.select("read_id", F.coalesce("b.adapter", F.lit("no_adapter")).alias("adapter"), F.coalesce("b.match", F.lit("")).alias("match"), "b.start", "b.errors")

@@ -105,10 +105,19 @@ def exon_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.assign_genes(rows, exons, 4096)
 
 
-def primer_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _assigned(spark: SparkSession, sf_dir: str, indels: bool) -> DataFrame:
     rows = views.read_pairs(spark, sf_dir).select("read_id", F.col("r1_seq").alias("seq"))
     panel = spark.createDataFrame(PANEL, "adapter string, primer string")
-    return assign.assign_primers(rows, panel, 0.125)
+    return assign.assign_primers(rows, panel, 0.125, indels)
+
+
+def primer_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assigned(spark, sf_dir, indels=False)
+
+
+def indel_primer_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that lack bases of the primer or have more, too."""
+    return _assigned(spark, sf_dir, indels=True)
 
 
 def simplified_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +202,13 @@ _SQL["primer_assignment"] = f"""WITH {_PAIRS}, p(adapter, primer) AS (VALUES {",
     d AS (SELECT *, substr(s1, start + 1, length(primer)) AS match, levenshtein(substr(s1, start + 1, length(primer)), primer) AS errors FROM w),
     b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY errors, start, adapter) AS rn FROM d WHERE errors <= floor(0.125 * length(primer)))
     SELECT concat('q', made.k) AS read_id, coalesce(adapter, 'no_adapter') AS adapter, coalesce(match, '') AS match, start::INT AS start, errors::INT AS errors FROM made LEFT JOIN b ON b.k = made.k AND rn = 1"""
+_SQL["indel_primer_assignment"] = f"""WITH {_PAIRS}, p(adapter, primer) AS (VALUES {", ".join(str(x) for x in PANEL)}),
+    s AS (SELECT *, floor(0.125 * length(primer))::INT AS e FROM p),
+    z AS (SELECT *, unnest(range(length(primer) - e, length(primer) + e + 1)) AS size FROM s),
+    w AS (SELECT k, s1, adapter, primer, e, size, unnest(range(0, length(s1) - size + 1)) AS start FROM made CROSS JOIN z),
+    d AS (SELECT *, substr(s1, start + 1, size) AS match, levenshtein(substr(s1, start + 1, size), primer) AS errors FROM w),
+    b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY errors, start, abs(size - length(primer)), adapter, size) AS rn FROM d WHERE errors <= e)
+    SELECT concat('q', made.k) AS read_id, coalesce(adapter, 'no_adapter') AS adapter, coalesce(match, '') AS match, start::INT AS start, errors::INT AS errors FROM made LEFT JOIN b ON b.k = made.k AND rn = 1"""
 _SQL["simplified_names"] = """WITH n AS (
         SELECT p_partkey AS id, [k[p_partkey % 10 + 1], k[p_partkey // 10 % 10 + 1], k[p_partkey // 100 % 10 + 1]] AS l
         FROM part, (SELECT ['Gapdh', 'Gm10358', 'MT-CO3', 'Klk1', 'Gapdh-Klk1', 'Abcd1Rik', 'FOXP3', 'KRT8P1', 'KRT8', 'Selenbp1'] AS k)
@@ -203,7 +219,7 @@ _SQL["simplified_names"] = """WITH n AS (
     g AS (SELECT id, CASE WHEN len(kept) > 0 THEN kept ELSE l END AS kept FROM f)
     SELECT id, array_to_string(list_filter(kept, lambda x: NOT (x = 'KRT8P1' AND list_contains(kept, 'KRT8'))), '|') AS names FROM g"""
 
-_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks, exon_assignment, primer_assignment, simplified_names, annealed_panel)
+_QUERIES = (umi_extraction, read_stats, read_mask_totals, reads_per_gene, reads_per_umi, component_counts, rarefied_counts, quantile_normalized, top_deviating_features, fdr_adjusted, common_features, matched_candidates, unmatched_genes, amplicon_groups, location_checks, exon_assignment, primer_assignment, indel_primer_assignment, simplified_names, annealed_panel)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
