@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq.operators.skew import join_hot
 from tallyseq.session import materialize
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least(edges: DataFrame) -> DataFrame:
+    """A node's smallest neighbour and the number of its neighbours, combined before the shuffle."""
+    return edges.groupBy("src").agg(F.min("dst").alias("low"), F.count("*").alias("members"))
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    least = both.groupBy("src").agg(F.min("dst").alias("low")).withColumn("low", F.least("src", "low"))
-    return both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+    least = _least(both).withColumn("low", F.least("src", "low"))
+    return join_hot(both.where("dst > src"), least, "src", 2 * total).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("src").agg(F.min("dst").alias("low"))
-    moved = edges.join(least, "src").where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+    least = _least(edges)
+    moved = join_hot(edges, least, "src", total).where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     return moved.union(least.select("src", F.col("low").alias("dst")))
 
 
@@ -32,8 +38,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until the edges stop changing, which
     takes a number of rounds that grows with the logarithm of the longest path. A
-    node's minimum is combined before the shuffle, and a hub's edges meet it in a
-    join, which can be split, so no task needs a whole neighbourhood in memory.
+    node's minimum is combined before the shuffle. Edges of a hub meet the hub's
+    minimum by broadcast: nodes whose degree passes a limit are at most a fixed
+    number, so no task gets a neighbourhood of more edges than that limit.
     """
     edges = edges.toDF("src", "dst").where("src <> dst")
     edges = materialize(edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
@@ -45,4 +52,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
                 edges.select("dst", "dst").distinct()
             )
         seen = tuple(now)
-        edges = materialize(_small_star(_large_star(edges).where("src <> dst")).distinct())
+        edges = materialize(_small_star(_large_star(edges, now[0]).where("src <> dst"), now[0]).distinct())

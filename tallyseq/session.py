@@ -13,8 +13,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is read from ``spark.checkpoint.dir``. Only where the cluster names none
-    (local tests) a fresh local folder is made and set.
+    It is read from ``spark.checkpoint.dir``. A session on local threads that names none
+    gets a fresh local folder; any other raises, as its executors could not read that.
     """
     sc = spark.sparkContext
     named = sc.getConf().get(CHECKPOINT_CONF)
@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
