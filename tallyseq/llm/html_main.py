@@ -8,9 +8,10 @@ a rejected element nothing is kept. The trees learn from generated pages of many
 whose labels are known by construction.
 
 Defined results for odd input: a null or empty page, and one without an article, has empty
-text; broken or cut-off markup is closed at the end; white space in any sense of Unicode
+text; broken or cut-off markup is closed at the end, in time linear in the page's length however long or deeply
+nested it is; of choices of elements with equal log odds the smaller one is taken; white space in any sense of Unicode
 counts as such; rows that repeat an id are read each; an empty table gives an empty result;
-other columns pass through.
+other columns pass through, one that has the name of the added column as name + ``_input``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyseq.llm.boosted_trees import BoostedTrees, fit
+from tallyseq.llm.names import clear_of
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,8 +39,8 @@ SILENT = frozenset("script style template noscript iframe object svg math head t
 RAW = frozenset("script style textarea title iframe noscript".split())
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 KEEPS_OPEN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^>\"'])*(?:>|\Z)", re.DOTALL)
-_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_PLAIN = re.compile(r"[^>\"']*")
+_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))|\s(hidden)\b")
 
 TOKEN_GROUPS = {
@@ -62,82 +66,131 @@ class Node:
     def __init__(self, tag: str, parent: Node | None, attrs: dict[str, str]):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.children: list[Node | list] = []  # elements, and runs of text as [text, characters inside links]
-        words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", " ".join(attrs.get(k, "") for k in ("class", "id", "role"))).lower())
+        named = " ".join(attrs.get(k, "") for k in ("class", "id", "role")) if attrs else ""
+        words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named).lower()) if named else ()
         self.groups = {_GROUP_OF[w] for w in words if w in _GROUP_OF}
 
 
+class Tags:
+    """One pass over the tags of a page. A quote that never closes is a character like any other."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {quote: page.rfind(quote) for quote in "\"'"}
+
+    def end(self, at: int) -> int:
+        """The place behind the tag that is open at ``at``."""
+        while True:
+            at = _PLAIN.match(self.page, at).end()
+            if at == len(self.page):
+                return at
+            quote = self.page[at]
+            at += 1
+            if quote == ">":
+                return at
+            if self.last[quote] >= at:
+                at = self.page.index(quote, at) + 1
+
+    def walk(self) -> Iterator[tuple[int, int, str | None, bool]]:
+        """(start, end, name or None for comments and declarations, whether it is an end tag), each from where the last ended.
+
+        ``send`` a place to go on from there.
+        """
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            head = page[at : at + 1]
+            if head in ("!", "?"):
+                mark = "-->" if page.startswith("!--", at) else ">"
+                found = page.find(mark, at + 3 if mark == "-->" else at)
+                at = len(page) if found < 0 else found + len(mark)
+                name = None
+            else:
+                m = _NAME.match(page, at)
+                if m is None:
+                    continue
+                at, name = self.end(m.end()), m[1].lower()
+            moved = yield start, at, name, head == "/"
+            if moved is not None:
+                at = moved
+                yield start, at, None, False  # answers the send
+
+
 def parse(page: str) -> Node:
-    """The tree of block elements of a page."""
+    """The tree of block elements of a page, in time that is linear in its length.
+
+    Open elements are counted by name and found by their depth, so neither an end tag without a
+    start nor an element that closes others climbs the tree in vain.
+    """
     root = Node("html", None, {})
-    here, inline, run = root, [], None  # inline: open inline elements of the current block
-    at, n = 0, len(page)
+    path, depths = [root], defaultdict(list)  # open elements, and their depths by name
+    inline: Counter[str] = Counter()  # open inline elements of the current block
+    run = None
 
     def say(text: str) -> None:
         nonlocal run
+        if not text:
+            return
         if run is None:
             run = [[], 0]
-            here.children.append(run)
+            path[-1].children.append(run)
         run[0].append(text)
-        if "a" in inline:
+        if inline["a"]:
             run[1] += len(text)
 
-    def leave(node: Node) -> None:
-        nonlocal here, run
-        here, run = node.parent or root, None
+    def leave(depth: int) -> None:
+        """Close the element at a depth and all below it."""
+        nonlocal run
+        while len(path) > depth:
+            depths[path.pop().tag].pop()
+        run = None
         inline.clear()
 
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            say(html.unescape(page[at:]))
-            break
-        if m.start() > at:
-            say(html.unescape(page[at : m.start()]))
-        at = m.end()
-        tag = _NAME.match(m[0])
-        if tag is None:
+    at = 0
+    tags = Tags(page).walk()
+    for start, end, name, closes in tags:
+        say(html.unescape(page[at:start]))
+        at = end
+        if name is None:
             continue
-        name = tag[1].lower()
-        if m[0][1] == "/":
+        if closes:
             if name in INLINE:
-                if name in inline:
-                    del inline[len(inline) - 1 - inline[::-1].index(name)]
-            else:
-                up = here
-                while up is not root and up.tag != name:
-                    up = up.parent
-                if up is not root:
-                    leave(up)
+                if inline[name]:
+                    inline[name] -= 1
+            elif depths[name]:
+                leave(depths[name][-1])
             continue
         if name in INLINE:
             if name == "br":
                 say(" ")
             elif name not in VOID:
-                inline.append(name)
+                inline[name] += 1
             continue
-        if name in ("html", "body") and here is root and not root.children:
+        if name in ("html", "body") and len(path) == 1 and not root.children:
             continue
-        if here.tag == "p":  # a block start closes an open paragraph
-            leave(here)
-        closing, fence = CLOSES_ITSELF.get(name), KEEPS_OPEN.get(name, ())
-        if closing:
-            up = here
-            while up is not root and up.tag not in fence:
-                if up.tag in closing:
-                    leave(up)
-                up = up.parent
-        attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTR.finditer(m[0]) if a[1]} if " " in m[0] or "\n" in m[0] else {}
+        if path[-1].tag == "p":  # a block start closes an open paragraph
+            leave(len(path) - 1)
+        if name in CLOSES_ITSELF:
+            fence = max((depths[t][-1] for t in KEEPS_OPEN[name] if depths[t]), default=0)
+            over = [depths[t][k] for t in CLOSES_ITSELF[name] if (k := bisect_right(depths[t], fence)) < len(depths[t])]
+            if over:
+                leave(min(over))
+        whole = page[start:end]
+        attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTR.finditer(whole) if a[1]} if " " in whole or "\n" in whole else {}
         run = None
         if name in VOID:
             continue
-        node = Node(name, here, attrs)
-        here.children.append(node)
+        node = Node(name, path[-1], attrs)
+        path[-1].children.append(node)
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            at = end.end() if end else n
-        elif not m[0].endswith("/>"):
-            here = node
+            found = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+            at = found.end() if found else len(page)
+            tags.send(at)
+        elif not whole.endswith("/>"):
+            depths[name].append(len(path))
+            path.append(node)
             inline.clear()
+    say(html.unescape(page[at:]))
     return root
 
 
@@ -391,4 +444,5 @@ def main_text(page: Column, model: BoostedTrees | None = None) -> Column:
 
 def extract_pages(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """Add the main text; the trees are trained once in the driver and sent along."""
-    return pages.withColumn(out_col, main_text(F.col(html_col)))
+    named = clear_of(pages, out_col)
+    return named.withColumn(out_col, main_text(named[named.columns[pages.columns.index(html_col)]]))
