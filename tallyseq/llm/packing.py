@@ -1,24 +1,24 @@
 """Best-fit packing: a configuration linear program over the length histogram.
 
-Only a histogram of lengths, at most one row per length, reaches the driver. There the
-lengths are grouped into size classes, and multiplicative weights price the classes: each
-round the best configuration (a multiset of classes that fits a sequence) is found by
-knapsack dynamic programming, enters the fractional solution, and the weights of what it
-covers fall. The solution is rounded down to whole sequences: the places of a configuration take
-pieces of their classes, the last one whichever piece fits best. What is left goes best-fit,
-longest first, into the remaining gaps. The shortest
-pieces, a small share of all tokens, stay out of the program and fill what rounding leaves. Sequences are
-kept as groups of equal content, so that the work does not grow with their number. Pieces
+Only a histogram of lengths, at most one row per length, reaches the driver. A configuration is a multiset
+of lengths that fits a sequence. Multiplicative weights look for the prices of the configuration program: they start
+from the lengths themselves, each round the best configurations under the prices are found by knapsack dynamic
+programming, and the price of what they cover too often falls. The best prices seen also bound the number
+of sequences from below. Rounding makes whole sequences: the longest piece that is left opens one, the dynamic program over
+what is left completes it, and the sequence is repeated as often as the pieces allow. The shortest
+pieces may wait, a small share of all tokens, until the same program puts them into the gaps. Weights
+move only if the sequences rounded from the prices before are not close enough to the bound. No piece is placed by another rule.
+Sequences are kept as groups of equal content, so that the work does not grow with their number. Pieces
 then find their places by their length and their rank among pieces of that length.
 
-Defined results for odd input: a null text is empty and gives one piece with the end token;
-rows that repeat an id are packed each; a null id is packed like any other; an empty table
-gives an empty result.
+Defined results for odd input: a null text is empty and gives one piece with the end token; a text of any length is
+cut into pieces, whole; rows that repeat an id are packed each; ids have any type and a null id is packed like any other;
+pieces of equal length take places in order of their rows; other columns are ignored, and an id column that is named like an
+added one comes out as name + ``_input``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import bisect
 import json
 import os
 import zlib
@@ -30,16 +30,21 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tallyseq.llm.names import clear_of
 from tallyseq.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-CLASSES = 64
-ROUNDS = 300
-#: Share of the tokens, in the shortest pieces, that only fills gaps.
+#: Price classes and rounds of the weights.
+CLASSES = 128
+ROUNDS = 150
+#: Share of the tokens, in the shortest pieces, that may wait for gaps.
 FILLER = 0.06
+#: Sequences above the bound that are close enough, as a share.
+CLOSE = 0.001
 #: Distinct chunks of text whose ids a worker remembers at most.
 MEMO = 600_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -48,6 +53,9 @@ LATIN_END = "\u0250"
 #: Pieces of a partition that share a rank bucket.
 BUCKET = 1 << 16
 
+#: Columns of the result beside the id.
+ADDED = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -143,7 +151,7 @@ def _in_steps(encoder: ChunkEncoder, texts: list[str], chars: int = 2_000_000) -
     yield from encoder.encode_all(some) if some else ()
 
 
-def _cut(path: str, capacity: int, end_id: int):
+def _cut(path: str, capacity: int, end_id: int, whole_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,153 +168,150 @@ def _cut(path: str, capacity: int, end_id: int):
                     out.append((id_, piece, start, length, crc, (part << 32) + seen // BUCKET, seen))
                     seen += 1
             made = pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids_crc32", "bucket", "at"])
-            made["id"] = made["id"].astype("Int64")
-            yield made
+            yield made.astype({"id": "Int64"}) if whole_ids else made
 
     return run
 
 
 # ---- the plan: on the driver, over a histogram of at most `capacity` rows ----
 
-
-def price(weights: np.ndarray, sizes: np.ndarray, capacity: int) -> list[int]:
-    """Knapsack dynamic program: the class multiset of the highest weight that fits ``capacity``."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    order = np.argsort(sizes, kind="stable")
-    s, w = sizes[order], weights[order]
-    fits = np.searchsorted(s, np.arange(capacity + 1), side="right")
-    for c in range(int(s[0]), capacity + 1):
-        k = fits[c]
-        values = best[c - s[:k]] + w[:k]
-        top = int(values.argmax())
-        if values[top] > best[c - 1]:
-            best[c], choice[c] = values[top], order[top]
-        else:
-            best[c] = best[c - 1]
-    out, c = [], capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            out.append(int(choice[c]))
-            c -= int(sizes[choice[c]])
-    return out
-
-
-def fractional(demand: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int = ROUNDS, step: float = 0.2) -> dict[tuple[tuple[int, int], ...], float]:
-    """Multiplicative weights for the covering program: configurations and how often each is used."""
-    cover, used = np.zeros(len(demand)), defaultdict(float)
-    for _ in range(rounds):
-        share = cover / demand
-        if share.min() >= 1:
+Group = tuple[int, tuple[tuple[int, int], ...]]
+
+
+def best_values(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
+    """Knapsack dynamic program: the highest price of pieces that fit each room up to ``capacity``; ``sizes`` ascend."""
+    best = np.zeros(capacity + 1)
+    fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
+    for room in range(int(sizes[0]), capacity + 1):
+        k = fits[room]
+        best[room] = max(best[room - 1], (best[room - sizes[:k]] + prices[:k]).max())
+    return best
+
+
+def best_filling(best: np.ndarray, prices: np.ndarray, sizes: np.ndarray, room: int, left: np.ndarray | None = None) -> tuple[dict[int, int], int]:
+    """The filling that the dynamic program finds for a room, from what is left, and the room that stays; of equals the largest piece first."""
+    chosen: dict[int, int] = defaultdict(int)
+    left = None if left is None else left.copy()
+    while k := int(np.searchsorted(sizes, room, side="right")):
+        value = best[room - sizes[:k]] + prices[:k]
+        if left is not None:
+            value = np.where(left[:k] > 0, value, -1.0)
+        i = k - 1 - int(value[::-1].argmax())
+        if value[i] <= 0:
             break
-        # a class that is covered drops out, so that no configuration is spent on it
-        weights = np.where(share < 1, sizes * np.exp(-2.0 * share), 1e-9 * sizes)
-        counts: dict[int, int] = defaultdict(int)
-        for k in price(weights, sizes, capacity):
-            counts[k] += 1
-        times = min(step * demand[k] / a for k, a in counts.items())
-        times = max(times, min(1.0, min(demand[k] / a for k, a in counts.items())))
-        for k, a in counts.items():
-            cover[k] += times * a
-        used[tuple(sorted(counts.items()))] += times
-    return used
-
-
-class Plan:
-    """Groups of sequences with equal content: (number, {length: pieces}, gap)."""
-
-    def __init__(self, capacity: int):
-        self.capacity = capacity
-        self.groups: dict[int, list[tuple[int, tuple[tuple[int, int], ...]]]] = defaultdict(list)
-        self.gaps: list[int] = []
-
-    def add(self, number: int, content: tuple[tuple[int, int], ...], gap: int) -> None:
-        if number > 0:
-            if not self.groups[gap]:
-                bisect.insort(self.gaps, gap)
-            self.groups[gap].append((number, content))
-
-    def take(self, gap: int) -> tuple[int, tuple[tuple[int, int], ...]]:
-        found = self.groups[gap].pop()
-        if not self.groups[gap]:
-            self.gaps.remove(gap)
-        return found
-
-    def best_fit(self, length: int, number: int) -> None:
-        """Put ``number`` pieces of a length each into the smallest gap that holds it, opening sequences when none does."""
-        while number:
-            at = bisect.bisect_left(self.gaps, length)
-            if at == len(self.gaps):
-                each = self.capacity // length
-                whole, rest = divmod(number, each)
-                self.add(whole, ((length, each),), self.capacity - each * length)
-                if rest:
-                    self.add(1, ((length, rest),), self.capacity - rest * length)
-                return
-            gap = self.gaps[at]
-            have, content = self.take(gap)
-            each = min(gap // length, number)
-            moved = min(have, number // each)
-            self.add(have - moved, content, gap)
-            self.add(moved, (*content, (length, each)), gap - each * length)
-            number -= moved * each
-
-
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES, rounds: int = ROUNDS) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+        chosen[i] += 1
+        room -= int(sizes[i])
+        if left is not None:
+            left[i] -= 1
+    return chosen, room
+
+
+def size_classes(lengths: np.ndarray, counts: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The class of each length, of about equal token mass, its longest length and its pieces."""
+    mass = np.cumsum(lengths * counts) / (lengths * counts).sum()
+    of = np.unique(np.minimum((mass * classes).astype(int), classes - 1), return_inverse=True)[1]
+    return of, np.array([lengths[of == g].max() for g in range(of.max() + 1)]), np.bincount(of, weights=counts)
+
+
+def weighted_prices(lengths: np.ndarray, counts: np.ndarray, capacity: int, classes: int = CLASSES, rounds: int = ROUNDS, step: float = 0.15, slack: float = 0.03) -> np.ndarray:
+    """Prices of the lengths by multiplicative weights; no configuration of size classes costs more than 1.
+
+    A round takes, for each class, the best configuration that holds it, if its price is within ``slack`` of the best of all.
+    Of the prices of all rounds and their average those of the highest bound are returned.
+    """
+    of, sizes, demand = size_classes(lengths, counts, classes)
+    prices, average, top, found = sizes / capacity, np.zeros(len(sizes)), 0.0, sizes / capacity
+    for turn in range(rounds):
+        best = best_values(prices, sizes, capacity)
+        prices, best = prices / best[-1], best / best[-1]
+        bound = float((demand * prices).sum())
+        if bound > top:
+            top, found = bound, prices.copy()
+        average += (turn + 1) * prices
+        value = prices + best[capacity - sizes]
+        cover, dealt = np.zeros(len(sizes)), 0.0
+        for k in np.flatnonzero(value >= 1 - slack):
+            chosen, _ = best_filling(best, prices, sizes, capacity - int(sizes[k]))
+            chosen[int(k)] += 1
+            times = demand[k] / chosen[int(k)] * np.exp(-2 * (1 - value[k]) / slack)
+            dealt += times
+            for i, a in chosen.items():
+                cover[i] += times * a
+        over = cover * bound / dealt / demand - 1
+        prices = prices * np.exp(-step / np.sqrt(1 + turn / 12) * np.clip(over, -1, 1.5))
+    average /= best_values(average, sizes, capacity)[-1]
+    return (average if float((demand * average).sum()) > top else found)[of]
+
+
+def rounded(lengths: np.ndarray, counts: np.ndarray, prices: np.ndarray, capacity: int, waiting: float) -> list[Group]:
+    """Whole sequences for all pieces; the shortest, up to a share ``waiting`` of the tokens, go into gaps."""
+    small = (np.cumsum(lengths * counts) <= waiting * (lengths * counts).sum()) & (lengths <= capacity // 4)
+    left = counts.copy()
+    groups: list[tuple[int, int, tuple[tuple[int, int], ...]]] = []
+
+    def open_sequences(which: np.ndarray) -> None:
+        while len(live := np.flatnonzero((left > 0) & which)):
+            sizes, own, rest = lengths[live], prices[live], left[live]
+            best = best_values(own, sizes, capacity)
+            turns = max(1, len(live) // 6)  # then the program is solved anew, over what is left by then
+            for i in range(len(live) - 1, -1, -1):
+                while rest[i] > 0 and turns:
+                    rest[i] -= 1
+                    chosen, gap = best_filling(best, own, sizes, capacity - int(sizes[i]), rest)
+                    rest[i] += 1
+                    chosen[i] += 1
+                    times = min(int(rest[k]) // a for k, a in chosen.items())
+                    for k, a in chosen.items():
+                        rest[k] -= times * a
+                    groups.append((times, gap, tuple((int(sizes[k]), a) for k, a in chosen.items())))
+                    turns -= 1
+            left[live] = rest
+
+    open_sequences(~small)
+    todo, groups[:] = sorted(groups, key=lambda g: g[1]), []
+    live, best, age = np.flatnonzero((left > 0) & small), None, 0
+    while todo and len(live):  # the widest gap first
+        number, gap, content = todo.pop()
+        sizes, rest = lengths[live], left[live]
+        if gap < sizes[0]:
+            groups.append((number, gap, content))
+            continue
+        if best is None or len(best) <= gap or age > 40:
+            best, age = best_values(prices[live], sizes, gap), 0
+        chosen, narrower = best_filling(best, prices[live], sizes, gap, rest)
+        age += 1
+        times = min([number, *(int(rest[k]) // a for k, a in chosen.items())])
+        for k, a in chosen.items():
+            left[live[k]] -= times * a
+        groups.append((times, narrower, (*content, *((int(sizes[k]), a) for k, a in chosen.items()))))
+        if times < number:
+            todo.append((number - times, gap, content))
+        if (left[live] == 0).any():
+            live, best = np.flatnonzero((left > 0) & small), None
+    groups += todo
+    open_sequences(small)
+    return [(number, content) for number, _, content in groups]
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, classes: int = CLASSES, rounds: int = ROUNDS) -> list[Group]:
     """Sequences for ``histogram`` (length: pieces) as groups (number, ((length, pieces), ...))."""
-    left = {l: n for l, n in histogram.items() if n > 0}
-    plan = Plan(capacity)
-    if capacity in left:
-        plan.add(left.pop(capacity), ((capacity, 1),), 0)
-    if left:
-        lengths = np.array(sorted(left))
-        counts = np.array([left[l] for l in lengths])
-        small = (np.cumsum(lengths * counts) <= FILLER * (lengths * counts).sum()) & (lengths <= capacity // 4)
-        lengths, counts = lengths[~small], counts[~small]
-        # classes of about equal token mass; a class counts with its longest member
-        mass = np.cumsum(lengths * counts) / (lengths * counts).sum()
-        group = np.minimum((mass * classes).astype(int), classes - 1)
-        names = np.unique(group)
-        sizes = np.array([lengths[group == g].max() for g in names])
-        demand = np.array([counts[group == g].sum() for g in names], dtype=float)
-        members = [[int(l) for l in lengths[group == g]] for g in names]
-        every = sorted(left)
-        used = fractional(demand, sizes, capacity, rounds)
-        for config, times in sorted(used.items(), key=lambda x: (-x[1], x[0])):
-            number = int(times)
-            places = [k for k, a in sorted(config, reverse=True) for _ in range(a)][:-1]
-            while number > 0:  # a run of equal content ends where some length runs out
-                content: dict[int, int] = defaultdict(int)
-                for k in places:
-                    while members[k] and not left[members[k][-1]]:
-                        members[k].pop()
-                    length = next((l for l in reversed(members[k]) if left[l] > content[l]), None)
-                    if length is None:
-                        break
-                    content[length] += 1
-                else:
-                    gap = capacity - sum(l * c for l, c in content.items())
-                    at = bisect.bisect_right(every, gap) - 1
-                    while at >= 0 and left[every[at]] <= content[every[at]]:
-                        if not left[every[at]]:
-                            every.pop(at)
-                        at -= 1
-                    if at >= 0:
-                        content[every[at]] += 1
-                        gap -= every[at]
-                    content = {l: c for l, c in content.items() if c}
-                    run = min(number, *[left[l] // c for l, c in content.items()]) if content else 0
-                    if run:
-                        for l, c in content.items():
-                            left[l] -= c * run
-                        plan.add(run, tuple(sorted(content.items(), reverse=True)), gap)
-                        number -= run
-                        continue
-                break
-        for length, number in sorted(((l, n) for l, n in left.items() if n), reverse=True):
-            plan.best_fit(length, number)
-    return [(number, content) for gap in sorted(plan.groups) for number, content in plan.groups[gap]]
+    whole = [(histogram[capacity], ((capacity, 1),))] if histogram.get(capacity) else []
+    lengths = np.array(sorted(l for l, n in histogram.items() if n > 0 and l < capacity), dtype=np.int64)
+    if not len(lengths):
+        return whole
+    counts = np.array([histogram[int(l)] for l in lengths], dtype=np.int64)
+    start = lengths / capacity
+    close = -(-int((lengths * counts).sum()) // capacity) * (1 + CLOSE)
+    best = None
+    for prices in (lambda: start, lambda: weighted_prices(lengths, counts, capacity, classes, rounds)):
+        own = 0.999 * prices() + 0.001 * start  # of equal prices the fuller sequence
+        for waiting in (FILLER, 0.0):
+            made = rounded(lengths, counts, own, capacity, waiting)
+            if best is None or sum(n for n, _ in made) < sum(n for n, _ in best):
+                best = made
+            if sum(n for n, _ in best) <= close:
+                return whole + best
+    return whole + best
 
 
 def runs_of(plan: list[tuple[int, tuple[tuple[int, int], ...]]]) -> np.ndarray:
@@ -323,7 +328,7 @@ def runs_of(plan: list[tuple[int, tuple[tuple[int, int], ...]]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def _place(runs: np.ndarray, id_col: str):
+def _place(runs: np.ndarray):
     starts = (runs[:, 0] << 48) + runs[:, 1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,8 +336,7 @@ def _place(runs: np.ndarray, id_col: str):
             length, rank = rows["length"].to_numpy(np.int64), rows["rank"].to_numpy(np.int64)
             own = runs[np.searchsorted(starts, (length << 48) + rank, side="right") - 1]
             whole, rest = np.divmod(rank - own[:, 1], np.maximum(own[:, 2], 1))
-            rows = rows.rename(columns={"id": id_col}).drop(columns="rank")
-            yield rows.assign(sequence_id=own[:, 3] + whole, offset=own[:, 4] + rest * length)
+            yield rows.drop(columns="rank").assign(sequence_id=own[:, 3] + whole, offset=own[:, 4] + rest * length)
 
     return run
 
@@ -343,14 +347,18 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ``tokenizer_path`` is a file of the ``tokenizers`` library that every executor has,
     whose words do not span white space.
     """
-    kind = "id long, piece int, start long, length long, ids_crc32 long, bucket long, at long"
-    pieces = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_cut(tokenizer_path, capacity, end_id), kind))
+    id_type = docs.schema[id_col].dataType
+    kind = f"id {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long"
+    cut = _cut(tokenizer_path, capacity, end_id, isinstance(id_type, T.IntegralType))
+    pieces = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(cut, kind + ", bucket long, at long"))
     by_bucket = materialize(pieces.groupBy("length", "bucket").agg(F.count("*").alias("rows")))
     histogram = {r["length"]: r["n"] for r in by_bucket.groupBy("length").agg(F.sum("rows").alias("n")).collect()}
     runs = runs_of(plan_sequences(histogram, capacity))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_bucket.select("length", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
     within = Window.partitionBy("length", "bucket").orderBy("at")
-    ranked = pieces.withColumn("place", F.row_number().over(within) - 1).join(offsets, ["length", "bucket"])
+    # both sides are dealt by length and bucket already, and the table of buckets is never sent whole
+    ranked = pieces.withColumn("place", F.row_number().over(within) - 1).join(offsets.hint("merge"), ["length", "bucket"])
     ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("rank"))
-    return ranked.mapInPandas(_place(runs, id_col), f"`{id_col}` long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    placed = ranked.mapInPandas(_place(runs), kind + ", sequence_id long, offset long")
+    return placed.withColumnRenamed("id", clear_of(docs.select(id_col), *ADDED).columns[0])
