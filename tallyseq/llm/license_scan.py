@@ -6,9 +6,9 @@ label. Of detections whose word intervals lie inside one another the one of the
 priority stays, then the longer, then the one of the earlier rule; an interval that is
 contained in a surviving one, and has no better priority, is suppressed.
 
-Defined results for odd input: a null or empty text has no words, no labels and score 0;
-rows that repeat an id are scanned each; an empty table gives an empty result; other columns
-pass through.
+Defined results for odd input: a null or empty text has no words, no labels and score 0; a text of any
+length is scanned whole; rows that repeat an id are scanned each; an empty table gives an empty result; other columns
+pass through, one that has the name of the added column as name + ``_input``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq.llm.names import clear_of
+
 #: Everything that is not a letter, a digit or a byte of a longer code point becomes a space.
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 _FOLD = _FOLD.translate(bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)))
@@ -238,4 +240,5 @@ def scan(text: Column) -> Column:
 
 def license_scan(docs: DataFrame, text_col: str = "text", out_col: str = "licenses") -> DataFrame:
     """Add a struct column with words, base places, labels, score and surviving spans."""
-    return docs.withColumn(out_col, scan(F.col(text_col)))
+    named = clear_of(docs, out_col)
+    return named.withColumn(out_col, scan(named[named.columns[docs.columns.index(text_col)]]))

@@ -6,10 +6,11 @@ aggregates over one row per source, and the fractional repetition of a source is
 of its documents in the order of a seeded hash. The end of that prefix is found by two
 levels of hash buckets and a window over the last bucket, so no task sorts a source.
 
-Defined results for odd input: a null text has size 0; null is a source of its own and
+Defined results for odd input: a null text has size 0; a text of any length counts whole; null is a source of its own and
 ranks last; sources without words have target 0 and are taken not at all; rows that repeat
-an id in a source share their decision; an empty table gives an empty result; other columns
-pass through.
+an id in a source share their decision, as do ids of equal hash in order of the id; an empty table gives an empty result.
+``mix_table`` ignores other columns, and an id column named like an output column comes out as name + ``_input``;
+``mix_documents`` returns the columns of ``docs`` as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.llm.names import clear_of
 from tallyseq.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -126,9 +128,12 @@ def mix_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """One row per document: id, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (words)."""
     sized, plan = mixing_plan(docs, id_col, text_col, source_col, seed, weights, max_epochs)
     plan = plan.withColumnRenamed("source", "of")
+    if plan.count() <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
     rows = sized.join(plan, sized["source"].eqNullSafe(plan["of"]))
+    own = clear_of(docs.select(id_col), "size", "source_size", "target", "copies", "taken").columns[0]
     copies = F.col("whole") + _extra(F.col("place"), F.col("id")).cast("long")
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select(F.col("id").alias(own), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:

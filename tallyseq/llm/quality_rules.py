@@ -7,9 +7,10 @@ What it covers goes, and the next rule is learned from the rest. All counting is
 Spark aggregates over a binned table; the driver sees histograms of features x bins only.
 
 Defined results for odd input: null and empty texts have no words and fail the base
-limits; without usable labels the list is empty and only the base limits decide; rows that
-repeat an id are judged by their own texts; an empty table gives an empty result; other
-columns pass through.
+limits; a text of any length counts whole; without usable labels the list is empty and only the base limits decide; of
+conditions with equal gain the first in the order of features and thresholds is taken; rows that
+repeat an id are judged by their own texts, and the bound on labelled rows holds for them too; an empty table gives an
+empty result; other columns pass through, one that has the name of an added column as name + ``_input``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyseq.llm.text_stats import labelled_sample, rates, with_statistics
+from tallyseq.llm.names import clear_of
+from tallyseq.llm.text_stats import STATISTICS, labelled_features, rates, with_statistics
 from tallyseq.session import materialize
 
 #: Labelled rows that a fit reads at most.
@@ -131,17 +133,18 @@ def learn_rules(
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, **how) -> list[Rule]:
     """Learn the list from at most ``sample`` labelled rows."""
-    rows = labelled_sample(docs.select(id_col, text_col), labels, sample, id_col)
-    features = rates()
-    rows = with_statistics(rows, text_col).select(
-        F.col("__label").alias("label"), (F.pmod(F.xxhash64(id_col, F.lit(5)), F.lit(3)) == 0).alias("prune"), *[c.alias(n) for n, c in features.items()]
-    )
-    return learn_rules(materialize(rows), [*features], **how)
+    names = [*rates()]
+    rows = labelled_features(docs, labels, sample, id_col, text_col)
+    rows = rows.select("label", (F.pmod(F.xxhash64(F.lit(5), "draw"), F.lit(3)) == 0).alias("prune"), *names)
+    return learn_rules(materialize(rows), names, **how)
 
 
 def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """Add ``rejected_by`` (-1: a base limit, 0: kept, else the rule's number) and statistics named ``__stat_...``."""
-    rows = with_statistics(docs, text_col, PREFIX)
+    named = clear_of(docs, "rejected_by", *[PREFIX + c for c in STATISTICS])
+    text = named[named.columns[docs.columns.index(text_col)]]
+    packed = named.select(F.struct(*[F.col(f"`{c}`") for c in named.columns]).alias("__row"), text.alias("__text"))
+    rows = with_statistics(packed, "__text", PREFIX).select("__row.*", *[PREFIX + c for c in STATISTICS])
     words = F.col(PREFIX + "n_words")
     base = (words < MIN_WORDS) | (100 * F.col(PREFIX + "n_repeat_words") > MAX_REPEAT_PERCENT * words)
     return rows.withColumn("rejected_by", F.when(base, F.lit(-1)).otherwise(verdict(rules, rates(PREFIX))))

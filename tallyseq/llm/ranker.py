@@ -6,8 +6,10 @@ indicators over pairs, by Newton steps with a ridge. The cut is a quantile of th
 scores; scores are squashed so that the cut falls on the decision value.
 
 Defined results for odd input: null and empty texts are scored by their statistics, which
-are 0; without labels of both kinds all scores are 0.5; rows that repeat an id are scored
-by their own texts; an empty table gives an empty result; other columns pass through.
+are 0; a text of any length counts whole; without labels of both kinds all scores are 0.5; texts with equal statistics have equal
+scores, and a score just at the cut counts as good; rows that repeat an id are scored by their own texts, and the
+bound on labelled rows holds for them too; an empty table gives an empty result; other columns pass through, one
+that has the name of the score as name + ``_input``.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyseq.llm.text_stats import labelled_sample, rates, with_statistics
+from tallyseq.llm.names import clear_of
+from tallyseq.llm.text_stats import labelled_features, rates, with_statistics
 
 #: Labelled rows that a fit reads at most, and preference pairs that it draws from them.
 SAMPLE = 20_000
@@ -80,15 +83,15 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, names: list[str], points: int = 1
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, keep: Column | None = None) -> Ranking:
     """Learn from at most ``sample`` labelled rows; ``keep`` chooses labels by the column ``__label_id``."""
     names = [*rates()]
-    rows = labelled_sample(docs.select(id_col, text_col), labels, sample, id_col, keep=keep)
-    got = with_statistics(rows, text_col).select("__label", *[c.alias(n) for n, c in rates().items()]).toPandas()
-    return fit_pairs(got[names].to_numpy(np.float64).reshape(-1, len(names)), got["__label"].to_numpy() == 1, names)
+    got = labelled_features(docs, labels, sample, id_col, text_col, keep=keep).toPandas()
+    return fit_pairs(got[names].to_numpy(np.float64).reshape(-1, len(names)), got["label"].to_numpy() == 1, names)
 
 
 def score(docs: DataFrame, ranking: Ranking, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """Add the score; a row with ``score >= DECISION`` counts as good."""
-    names = docs.columns
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), F.col(text_col).alias("__text"))
+    named = clear_of(docs, score_col)
+    text = named[named.columns[docs.columns.index(text_col)]]
+    inner = named.select(F.struct(*[F.col(f"`{c}`") for c in named.columns]).alias("__row"), text.alias("__text"))
     return with_statistics(inner, "__text", "__stat_").select("__row.*", ranking.score(rates("__stat_")).alias(score_col))
 
 

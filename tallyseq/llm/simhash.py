@@ -1,10 +1,11 @@
 """SimHash near-duplicates: 64-bit fingerprints, pigeonhole blocks, Hamming check.
 
 Defined results for odd input: a null or empty text has fingerprint zero, which links
-like any other; a text with fewer words than a shingle is one shingle; rows with the
+like any other; a text with fewer words than a shingle is one shingle; a text of any length counts whole; a bit that
+is set in just half of the shingles is 0; rows with the
 same id keep their rows; a null id stays a row and never names a component that has
-another id; an empty table gives an empty result; other columns pass through, and
-helper columns carry a prefix of their own so that they clash with none.
+another id; an empty table gives an empty result. ``near_duplicates`` ignores other columns, and an id column named like an
+output column comes out as name + ``_input``; ``keep_one`` returns the columns of ``docs`` as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyseq.llm.keep import keep_decided, text_key
+from tallyseq.llm.names import clear_of
 from tallyseq.operators.graph import connected_components
+from tallyseq.operators.skew import join_hot
 from tallyseq.session import materialize
 
 BITS = 64
@@ -66,6 +70,18 @@ def block_masks(distance: int, blocks: int) -> list[int]:
     return [sum(some) for some in combinations(masks, blocks - distance)]
 
 
+def blocks_for(fingerprints: int, distance: int, spare: int = 3) -> int:
+    """The least number of blocks whose keys have ``spare`` bits more than it takes to number the fingerprints.
+
+    Unlike fingerprints then share few keys, at every size; each further block makes more keys of more bits.
+    """
+    wanted = max(1, fingerprints).bit_length() + spare
+    for blocks in range(distance + 1, 2 * distance + 6):
+        if min(m.bit_count() for m in block_masks(distance, blocks)) >= wanted:
+            return blocks
+    return 2 * distance + 5
+
+
 def _signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
@@ -131,7 +147,7 @@ def near_duplicates(
     shingle: int = 3,
     seed: int = 42,
     distance: int = 3,
-    blocks: int = 5,
+    blocks: int | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, ``fingerprint`` (signed long), ``component_id``, ``keeper``, ``text_key``.
 
@@ -140,27 +156,23 @@ def near_duplicates(
     other texts, the smallest ``text_key``). Equal fingerprints collapse before any
     join, so a group of copies of any size costs one row; texts pass through no shuffle.
     """
-    marked = materialize(
-        docs.select(
-            F.col(id_col),
-            F.xxhash64(text_col).alias("text_key"),
-            fingerprint(F.col(text_col), shingle, seed).alias("fingerprint"),
-        )
-    )
-    low = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_key")).alias("low")
-    classes = materialize(marked.groupBy(F.col("fingerprint").alias("fp")).agg(low))
-    parts = connected_components(hamming_links(classes.select("fp"), distance, blocks))
-    grouped = classes.join(parts, classes.fp == parts.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("part"))
-    lows = grouped.groupBy("part").agg(F.min("low").alias("first"))
-    of_fp = grouped.join(lows, "part").select(F.col("fp").alias("fingerprint"), "first")
-    keeper = F.col(id_col).eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key"))
-    return marked.join(of_fp, "fingerprint").select(id_col, "fingerprint", F.col("first.id").alias("component_id"), keeper.alias("keeper"), "text_key")
+    marked = materialize(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), fingerprint(F.col(text_col), shingle, seed).alias("fingerprint")))
+    low = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("low")
+    classes = materialize(marked.groupBy(F.col("fingerprint").alias("fp")).agg(low, F.count("*").alias("members")))
+    total = marked.count()
+    blocks = blocks or blocks_for(classes.count(), distance)
+    parts = connected_components(hamming_links(classes.select("fp"), distance, blocks)).withColumnRenamed("node", "fp")
+    grouped = classes.join(parts, "fp", "left").select("fp", "low", "members", F.coalesce("component", "fp").alias("part"))
+    lows = grouped.groupBy("part").agg(F.min("low").alias("first"), F.count("*").alias("parts"))
+    of_fp = join_hot(grouped, lows, "part", total, "parts").select(F.col("fp").alias("fingerprint"), "members", "first")
+    keeper = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key"))
+    found = join_hot(marked, of_fp, "fingerprint", total)
+    own = clear_of(docs.select(id_col), "fingerprint", "component_id", "keeper", "text_key").columns[0]
+    return found.select(F.col("id").alias(own), "fingerprint", F.col("first.id").alias("component_id"), keeper.alias("keeper"), "text_key")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """One row of each near-duplicate group, with all columns of ``docs``: the keeper; of equal rows that are, one."""
-    kept = near_duplicates(docs.select(id_col, text_col), id_col, text_col, **how).where("keeper")
-    kept = kept.select(F.col(id_col).alias("__kept_id"), F.col("text_key").alias("__kept_key")).distinct()
-    rows = docs.withColumn("__text_key", F.xxhash64(text_col))
-    same = (F.col("__text_key") == F.col("__kept_key")) & rows[id_col].eqNullSafe(F.col("__kept_id"))
-    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, "__text_key"]).drop("__text_key")
+    found = near_duplicates(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__id", "__text", **how)
+    found = materialize(found.select("__id", F.col("text_key").alias("__key"), F.col("keeper").alias("__keeper")))
+    return keep_decided(docs, found, id_col, text_col)

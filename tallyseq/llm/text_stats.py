@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
+#: Names of the statistics of a text.
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct_words", "n_upper", "n_digits", "n_shouts", "n_open_lines")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,7 +50,7 @@ def repeated_window_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def with_statistics(df: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
-    """Add the statistics that the rules and the ranking use, as columns ``prefix`` + name."""
+    """Add the statistics that the rules and the ranking use, as columns ``prefix`` + name; ``df`` has no column ``__words`` or ``__lines``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     inner = {"__words": F.array_remove(F.split(text, SPACE, -1), ""), "__lines": F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))}
     w, lines = F.col("__words"), F.col("__lines")
@@ -86,15 +88,20 @@ def rates(prefix: str = "") -> dict[str, Column]:
     }
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, id_col: str = "doc_id", label_col: str = "quality", keep: Column | None = None) -> DataFrame:
-    """Rows of ``docs`` with a label of 0 or 1, of at most ``bound`` labels drawn by a hash of their id.
+def labelled_features(docs: DataFrame, labels: DataFrame, bound: int, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: Column | None = None) -> DataFrame:
+    """``label`` (0 or 1), ``draw`` and the features of at most ``bound`` rows of ``docs`` that have a label.
 
-    The draw is bounded, so it is broadcast: no text is shuffled. ``keep`` filters the labels first.
+    At most ``bound`` labels are drawn by a hash of their id and broadcast, so no text is shuffled. Where ids repeat
+    the join makes more rows than labels; of all rows those of the lowest hash of id and text stay, so the
+    bound holds for rows. ``keep`` filters the labels first, by the column ``__label_id``.
     """
     usable = labels.select(F.col(id_col).alias("__label_id"), F.col(label_col).cast("int").alias("__label")).where("__label in (0, 1) and __label_id is not null")
     if keep is not None:
         usable = usable.where(keep)
-    draw = F.pmod(F.xxhash64(F.col("__label_id"), F.lit(11)), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64(F.col("__label_id"), F.lit(11)), F.lit(1 << 30))
     share = min(1.0, bound / max(1, usable.count()))
-    drawn = usable.where(draw < int(share * (1 << 30)) + 1).orderBy(draw, "__label_id", "__label").limit(bound)
-    return docs.join(F.broadcast(drawn), docs[id_col] == F.col("__label_id")).drop("__label_id")
+    drawn = usable.where(place < int(share * (1 << 30)) + 1).orderBy(place, "__label_id", "__label").limit(bound)
+    rows = docs.select(F.col(id_col).alias("__doc_id"), F.col(text_col).alias("__text")).join(F.broadcast(drawn), F.col("__doc_id") == F.col("__label_id"))
+    rows = with_statistics(rows.withColumn("__draw", F.xxhash64("__doc_id", "__text")), "__text")
+    narrow = rows.select(F.col("__label").alias("label"), F.col("__draw").alias("draw"), *[c.alias(n) for n, c in rates().items()])
+    return narrow.orderBy("draw", "label").limit(bound)

@@ -7,9 +7,9 @@ sorted lists. A token that crosses section boundaries belongs wholly to the sect
 bytes, of equals to the earlier one; ``n_crossing`` tells how many of a section's tokens do so.
 The counts of a text's sections add up to its token count.
 
-Defined results for odd input: a null or empty text has one empty section without tokens;
-rows that repeat an id are counted each; an empty table gives an empty result; other columns
-pass through.
+Defined results for odd input: a null or empty text has one empty section without tokens; a text of any
+length is encoded whole; rows that repeat an id are counted each; an empty table gives an empty result; other columns
+pass through, one that has the name of an added column as name + ``_input``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq.llm.names import clear_of
+
+#: Columns of a section.
+ADDED = ("section", "start_char", "end_char", "n_tokens", "n_crossing")
+
 _encodings: dict[str, tuple] = {}
 
 
@@ -93,7 +98,10 @@ def token_counts(docs: DataFrame, path: str, pattern: str, text_col: str = "text
 
     ``path`` is a file of ranks that every executor has, ``pattern`` splits a text before merges.
     """
-    keep = [c for c in docs.columns if c not in (text_col, "section", "start_char", "end_char", "n_tokens", "n_crossing")]
-    rows = docs.select(*keep, token_sections(F.col(text_col), path, pattern).alias("__s"))
+    named = clear_of(docs, *ADDED)
+    text = named.columns[docs.columns.index(text_col)]
+    keep = [c for c in named.columns if c != text]
+    row = F.struct(F.lit(0).alias("__none"), *[F.col(f"`{c}`") for c in keep]).alias("__row")
+    rows = named.select(row, token_sections(named[text], path, pattern).alias("__s"))
     zipped = F.arrays_zip(*[F.col(f"__s.{n}").alias(n) for n in ("start_char", "end_char", "n_tokens", "n_crossing")])
-    return rows.select(*keep, F.posexplode(zipped).alias("section", "__x")).select(*keep, "section", "__x.*")
+    return rows.select("__row", F.posexplode(zipped).alias("section", "__x")).select("__row.*", "section", "__x.*").drop("__none")
