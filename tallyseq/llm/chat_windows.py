@@ -3,14 +3,17 @@
 A running sum of the turns' tokens chooses spans of new turns that fit a budget. A window
 opens with the conversation's system turn, repeats a limited history of the turns before its span, and
 then holds its new turns. Loss falls on the texts of new assistant turns only, so each of them is a target
-once. A turn that is longer than the budget makes a window of its own, whole.
+once. A turn that is longer than the budget makes a window of its own, whole. A system turn of more than
+``system_budget`` tokens stands in the first window only, as one of its new turns; so windows never repeat more than
+the system and history budgets allow, and a window is over its budget only where one turn does not fit beside the system turn.
 
-Rows stream through a sort by conversation and turn, with bounded memory. A long
-conversation is cut into blocks of turn numbers that are formatted by different tasks;
-each block gets the system turn and the last turns before it as context.
+A conversation of usual length is formatted by one task, whose rows stream by in order after one shuffle. The rows of a
+long conversation are cut into blocks of turn numbers that are formatted by different tasks; a block gets the
+system turn and the last turns before it in order, however turn numbers are spread. What counts as long follows from the number of rows,
+so that long conversations are few enough to broadcast their ids.
 
-Defined results for odd input: a null text or role is empty; a null turn sorts first; rows
-of one turn number are ordered by role and text; a null conversation is one like any other;
+Defined results for odd input: a null text or role is empty; a text of any length is formatted whole; a null turn sorts first; rows
+of one turn number are ordered by role and text, equal rows are turns of their own; a null conversation is one like any other;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -24,6 +27,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tallyseq.session import materialize
 
 #: Control strings of the template: fixed values.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[TURN]", "[/TURN]")
@@ -36,7 +42,12 @@ ROLE_OF = {v[0]: k for k, v in OPEN.items()}
 BUDGET = 1024
 HISTORY_TURNS = 2
 HISTORY_BUDGET = 256
+SYSTEM_BUDGET = 512
+#: Turn numbers of a block of a long conversation.
 BLOCK = 256
+#: A conversation is long if it has more turns than this, or than what leaves ``MOST_LONG`` long ones at most.
+LONG = 2048
+MOST_LONG = 100_000
 
 KIND = "conv_id long, block long, window long, formatted string, new_from int, n_turns int, loss_starts array<int>, loss_ends array<int>, n_tokens long, over_budget boolean"
 
@@ -75,9 +86,9 @@ def parse(formatted: str) -> list[tuple[str, str, int, int]]:
 class Windows:
     """Windows of one block of a conversation, as its rows pass by."""
 
-    def __init__(self, conv, block, budget: int, history_turns: int, history_budget: int):
+    def __init__(self, conv, block, budget: int, history_turns: int, history_budget: int, system_budget: int):
         self.conv, self.block = conv, block
-        self.budget, self.history_turns, self.history_budget = budget, history_turns, history_budget
+        self.budget, self.history_turns, self.history_budget, self.system_budget = budget, history_turns, history_budget, system_budget
         self.system: tuple[str, str, int] | None = None
         self.past: deque = deque(maxlen=max(history_turns, 1))
         self.new: list[tuple[str, str, int]] = []
@@ -87,11 +98,16 @@ class Windows:
         out, room = [], self.history_budget
         for turn in [*self.past][::-1][: self.history_turns]:
             room -= turn[2]
-            if room < 0 or turn is self.system:
+            if room < 0 or turn == self.system:
                 break
             out.insert(0, turn)
         return out
 
+    def keep(self, turn: tuple[str, str, int]) -> None:
+        """Take a turn as the system turn that later windows repeat, unless it is too long for that."""
+        if turn[2] <= self.system_budget:
+            self.system = turn
+
     def start(self) -> None:
         self.context = ([self.system] if self.system else []) + self._history()
         self.lead = sum(t[2] for t in self.context)
@@ -128,7 +144,7 @@ def _columns(kind: str) -> list[str]:
     return [x.split()[0] for x in kind.split(", ")]
 
 
-def _format_rows(tokenizer: tuple[str, str], budget: int, history_turns: int, history_budget: int):
+def _format_rows(tokenizer: tuple[str, str], *budgets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from tallyseq.llm.token_spans import load
 
@@ -141,16 +157,16 @@ def _format_rows(tokenizer: tuple[str, str], budget: int, history_turns: int, hi
                 if open_ is None or (conv, block) != key:
                     if open_ is not None and open_.new:
                         out.append(open_.close())
-                    open_, key = Windows(conv, block, budget, history_turns, history_budget), (conv, block)
+                    open_, key = Windows(conv, block, *budgets), (conv, block)
                 turn = (role, text, len(encoding.encode_to_numpy(format_turn(role, text)[0], disallowed_special=())))
                 if part == 0:  # the system turn of a block that does not hold it
-                    open_.system = turn
+                    open_.keep(turn)
                 elif part == 1:  # history from the block before
                     open_.past.append(turn)
                 else:
                     out += open_.add(turn)
                     if part == 2 and open_.system is None and open_.number == 0 and len(open_.new) == 1 and role == "system":
-                        open_.system = turn
+                        open_.keep(turn)
             if out:
                 yield pd.DataFrame(out, columns=_columns(KIND)).astype({"conv_id": "Int64"})
         if open_ is not None and open_.new:
@@ -159,37 +175,77 @@ def _format_rows(tokenizer: tuple[str, str], budget: int, history_turns: int, hi
     return run
 
 
-def format_windows(
+def _in_order(rows: DataFrame) -> DataFrame:
+    """The rows of each block in one partition, context first."""
+    own = F.when(F.col("part") > 1, 2).otherwise(F.col("part"))
+    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", own, "turn", "role", "text")
+
+
+def _blocks(rows: DataFrame, block: int, history_turns: int) -> DataFrame:
+    """The rows of long conversations with their blocks, and what each block repeats of the rows before it."""
+    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))))
+    known = rows.groupBy("conv_id", "block").agg(F.min(F.struct("turn", "role", "text")).alias("first"))
+    home = known.groupBy("conv_id").agg(F.min(F.struct("block", "first")).alias("f")).select(F.col("conv_id").alias("of"), F.col("f.block").alias("home"), F.col("f.first").alias("first"))
+    same = F.col("conv_id").eqNullSafe(F.col("of"))
+    own = rows.join(F.broadcast(home.select("of", "home")), same).select("conv_id", "turn", "role", "text", "block", F.when(F.col("block") == F.col("home"), 2).otherwise(3).alias("part"))
+    later = known.select("conv_id", "block").join(F.broadcast(home.where("first.role = 'system'")), same).where("block > home")
+    system = later.select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit("system").alias("role"), F.col("first.text").alias("text"), "block", F.lit(0).alias("part"))
+    every = own.unionByName(system)
+    if not history_turns:
+        return every
+    # the last rows of each block, in the order of their conversation: a row is history of the blocks of the next rows
+    backwards = Window.partitionBy("conv_id", "block").orderBy(*[F.col(c).desc() for c in ("turn", "role", "text")])
+    last = rows.withColumn("place", F.row_number().over(backwards)).where(F.col("place") <= history_turns)
+    firsts = known.select("conv_id", "block", F.col("first.turn").alias("turn"), F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), F.lit(0).alias("tail"))
+    order = Window.partitionBy("conv_id").orderBy("block", "tail", "turn", "role", "text")
+    marks = last.select("conv_id", "block", "turn", "role", "text", F.lit(1).alias("tail")).unionByName(firsts)
+    # a block's mark comes before its own rows; up to history_turns rows lie between a row and the marks that it serves
+    passed = marks.withColumn("seen", F.sum("tail").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ahead = F.collect_list(F.when(F.col("tail") == 0, F.struct("block", "seen"))).over(order.rowsBetween(1, 2 * history_turns))
+    served = passed.withColumn("ahead", ahead).where("tail = 1").select("conv_id", "turn", "role", "text", "seen", F.explode("ahead").alias("to"))
+    carried = served.where(F.col("to.seen") - F.col("seen") < history_turns).select("conv_id", "turn", "role", "text", F.col("to.block").alias("block"), F.lit(1).alias("part"))
+    return every.unionByName(carried)
+
+
+def split_windows(
     turns: DataFrame,
     tokenizer: tuple[str, str],
     budget: int = BUDGET,
     history_turns: int = HISTORY_TURNS,
     history_budget: int = HISTORY_BUDGET,
+    system_budget: int = SYSTEM_BUDGET,
     block: int = BLOCK,
-) -> DataFrame:
-    """One row per window of ``turns`` (conv_id, turn, role, text); ``tokenizer`` is a rank file and its pattern.
-
-    ``new_from`` is the number of context turns; ``loss_starts`` and ``loss_ends`` are the
-    character spans under the loss. Windows of a conversation follow one another by ``block``, ``window``.
-    """
+    long: int = LONG,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The windows of usual conversations, in order within their partitions, and those of long ones (None: there are none)."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))))
-    near = (F.col("turn") % block >= block - history_turns) & F.col("turn").isNotNull()
-    known = rows.groupBy("conv_id", "block").agg(F.min(F.struct("turn", "role", "text")).alias("first"))
-    firsts = known.groupBy("conv_id").agg(F.min(F.struct("block", "first")).alias("f"), F.count("*").alias("blocks")).where("blocks > 1 and f.first.role = 'system'")
-    firsts = firsts.select(F.col("conv_id").alias("of"), F.col("f.block").alias("home"), F.col("f.first.text").alias("text"))
-    later = known.select("conv_id", "block").join(firsts, F.col("conv_id").eqNullSafe(F.col("of"))).where("block > home")
-    system = later.select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit("system").alias("role"), "text", "block", F.lit(0).alias("part"))
-    first_block = known.groupBy("conv_id").agg(F.min("block").alias("home")).withColumnRenamed("conv_id", "of")
-    own = rows.join(first_block, F.col("conv_id").eqNullSafe(F.col("of"))).withColumn("part", F.when(F.col("block") == F.col("home"), 2).otherwise(3)).drop("of", "home")
-    carried = rows.where(near).withColumn("block", F.col("block") + 1).join(known.select("conv_id", "block").withColumnsRenamed({"conv_id": "c", "block": "b"}), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")), "left_semi").withColumn("part", F.lit(1))
-    every = own.select("conv_id", "block", "part", "turn", "role", "text").unionByName(system).unionByName(carried.select("conv_id", "block", "part", "turn", "role", "text"))
-    dealt = every.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", F.when(F.col("part") > 1, 2).otherwise(F.col("part")), "turn", "role", "text")
-    return dealt.mapInPandas(_format_rows(tokenizer, budget, history_turns, history_budget), KIND)
+    )
+    made = _format_rows(tokenizer, budget, history_turns, history_budget, system_budget)
+    sizes = materialize(rows.groupBy("conv_id").agg(F.count("*").alias("turns")).where(F.col("turns") > long))
+    longest = max(long, -(-rows.count() // MOST_LONG))
+    of = sizes.where(F.col("turns") > longest).select(F.col("conv_id").alias("of"))
+    one_block = lambda some: some.select("conv_id", F.lit(0).cast("long").alias("block"), F.lit(2).alias("part"), "turn", "role", "text")
+    if not of.limit(1).count():
+        return _in_order(one_block(rows)).mapInPandas(made, KIND), None
+    same = F.col("conv_id").eqNullSafe(F.col("of"))
+    usual = _in_order(one_block(rows.join(F.broadcast(of), same, "left_anti"))).mapInPandas(made, KIND)
+    parted = _blocks(rows.join(F.broadcast(of), same, "left_semi"), block, history_turns)
+    return usual, _in_order(parted.select("conv_id", "block", "part", "turn", "role", "text")).mapInPandas(made, KIND)
+
+
+def format_windows(turns: DataFrame, tokenizer: tuple[str, str], **how: int) -> DataFrame:
+    """One row per window of ``turns`` (conv_id, turn, role, text); ``tokenizer`` is a rank file and its pattern.
+
+    ``new_from`` is the number of context turns; ``loss_starts`` and ``loss_ends`` are the
+    character spans under the loss. Windows of a conversation follow one another by ``block``, ``window``.
+    The budgets and block sizes of ``split_windows`` are the other parameters.
+    """
+    usual, long = split_windows(turns, tokenizer, **how)
+    return usual if long is None else usual.union(long)
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long"
@@ -227,3 +283,13 @@ def digest(windows: DataFrame) -> DataFrame:
     """One row per conversation, read back from its windows as they stream by in order."""
     dealt = windows.repartition("conv_id").sortWithinPartitions("conv_id", "block", "window")
     return dealt.mapInPandas(_digest_rows, DIGEST)
+
+
+def digest_turns(turns: DataFrame, tokenizer: tuple[str, str], **how: int) -> DataFrame:
+    """The digest of the windows of ``turns``: those of usual conversations are read back where they were made.
+
+    A conversation's hash runs over all of its turns in order, so the windows of a long one meet in one task and stream through it.
+    """
+    usual, long = split_windows(turns, tokenizer, **how)
+    own = usual.mapInPandas(_digest_rows, DIGEST)
+    return own if long is None else own.union(digest(long))

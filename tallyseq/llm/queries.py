@@ -50,7 +50,7 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = odd.select("conv_id", "t.turn", "t.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
     tokenizer = public_tokenizers.path(RANK_TOKENIZER), public_tokenizers.PATTERN
-    return chat_windows.digest(chat_windows.format_windows(turns, tokenizer))
+    return chat_windows.digest_turns(turns, tokenizer)
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

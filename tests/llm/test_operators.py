@@ -168,17 +168,6 @@ def test_chat_windows(spark):
         assert found.loss_sha256[k] == hashlib.sha256(loss.encode()).hexdigest()
 
 
-def test_chat_blocks_and_budget(spark):
-    rows = [(1, i, "system" if i == 0 else ("user", "assistant")[i % 2 == 0], f"turn {i} " * (3 + i % 5)) for i in range(50)] + [(None, 0, None, None), (2, 0, "assistant", "long " * 400)]
-    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    tokenizer = public_tokenizers.path(queries.RANK_TOKENIZER), public_tokenizers.PATTERN
-    windows = chat_windows.format_windows(turns, tokenizer, budget=120, block=16)
-    assert [(r.conv_id, r.n_tokens > 120) for r in windows.where("over_budget").collect()] == [(2, True)]
-    assert all(chat_windows.parse(r.formatted)[0][0] == "system" for r in windows.where("conv_id = 1").collect())
-    got = chat_windows.digest(windows).where("conv_id = 1").first()
-    assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for c, _, r, t in rows if c == 1).encode()).hexdigest()
-
-
 def test_html(spark):
     page = "<html><body><nav><ul><li><a href=x>Home</a></li></ul></nav><article><h1>A &amp; B</h1><p>One  two<br>three.<p>Four <b>five</b> six.</p></article><footer>&copy; x</footer></body></html>"
     rows = spark.createDataFrame([(1, None), (2, ""), (3, page), (4, page[:150])], "page_id long, html string")
