@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyseq.functions.sequence import kmers
 
-#: Primers whose pieces are prepared on the driver; larger sets raise.
-MOST_PRIMERS = 100_000
+#: Different lengths of primers; more raise.
+MOST_LENGTHS = 1000
 
 
 def assign_primers(reads: DataFrame, panel: DataFrame, error_rate: float = 0.1, indels: bool = True) -> DataFrame:
@@ -23,7 +23,9 @@ def assign_primers(reads: DataFrame, panel: DataFrame, error_rate: float = 0.1,
     start, then the length closest to the primer's, then the adapter's name, then the shorter window.
     """
     named = panel.select("adapter", F.upper("primer").alias("primer")).where("primer <> ''")
-    lengths = sorted(r[0] for r in named.select(F.length("primer")).distinct().limit(MOST_PRIMERS).collect())
+    lengths = sorted(r[0] for r in named.select(F.length("primer")).distinct().limit(MOST_LENGTHS + 1).collect())
+    if len(lengths) > MOST_LENGTHS:
+        raise ValueError(f"primers of more than {MOST_LENGTHS} different lengths")
     most = {n: math.floor(error_rate * n + 1e-9) for n in lengths}
     if any(n // (e + 1) < 1 for n, e in most.items()):
         raise ValueError("the error rate leaves no piece of a primer whole")

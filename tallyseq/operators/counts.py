@@ -10,6 +10,10 @@ from tallyseq.functions.sequence import features_of
 from tallyseq.operators.graph import connected_components
 
 
+#: Samples or features up to this number are broadcast.
+SHORT = 50_000
+
+
 def assigned(groups: DataFrame) -> DataFrame:
     """Reads whose gene is not the unassigned placeholder; the comma belongs to the test."""
     return groups.where(~F.col("gene").startswith("Unassigned,"))
@@ -35,9 +39,14 @@ def group_umis(reads: DataFrame) -> DataFrame:
 
 
 def complete(counts: DataFrame, samples: DataFrame) -> DataFrame:
-    """The dense sample x feature grid with zeros, also for samples without any count."""
-    grid = samples.select("sample").distinct().crossJoin(F.broadcast(counts.select("feature").distinct()))
-    return grid.join(counts, ["sample", "feature"], "left").fillna(0, subset=["n"])
+    """The dense sample x feature grid with zeros, also for samples without any count; the shorter side is broadcast if it is short."""
+    rows, columns = samples.select("sample").distinct(), counts.select("feature").distinct()
+    n_rows, n_columns = rows.count(), columns.count()
+    if min(n_rows, n_columns) <= SHORT:
+        grid = rows.crossJoin(F.broadcast(columns)) if n_columns <= n_rows else columns.crossJoin(F.broadcast(rows))
+    else:
+        grid = rows.crossJoin(columns)
+    return grid.join(counts, ["sample", "feature"], "left").select("sample", "feature", "n").fillna(0, subset=["n"])
 
 
 def mean_abundance(counts: DataFrame) -> DataFrame:
@@ -97,6 +106,50 @@ def component_counts(groups: DataFrame, parts: DataFrame) -> DataFrame:
     return named.groupBy("sample", "component").agg(F.count("*").alias("n"))
 
 
+def read_components(reads: DataFrame, parts: DataFrame) -> DataFrame:
+    """One component per read (sample, read_id, genes): that of its first gene; a gene of no component stands for itself."""
+    first = reads.where(F.size("genes") > 0).withColumn("gene", F.col("genes")[0])
+    return first.join(parts, "gene", "left").withColumn("component", F.coalesce("component", "gene")).drop("gene")
+
+
+def torn_reads(reads: DataFrame, parts: DataFrame) -> DataFrame:
+    """Reads whose genes lie in several components; there are none if the components come from these reads."""
+    genes = reads.select("sample", "read_id", F.explode("genes").alias("gene")).join(parts, "gene", "left")
+    return genes.groupBy("sample", "read_id").agg(F.count_distinct(F.coalesce("component", "gene")).alias("n")).where("n > 1")
+
+
+def normalized_counts(groups: DataFrame, dedup: bool = True) -> DataFrame:
+    """Distinct molecule tags, or reads, per sample and component of genes that occur together; primers are no genes.
+
+    ``groups``: sample, read_id, gene (genes and the primer pair, comma-joined), final_umi. A null tag counts as one tag.
+    """
+    genes = F.filter(F.transform(F.split("gene", ","), lambda g: F.trim(g)), lambda g: g != "")
+    named = groups.withColumn("gene", F.explode(F.slice(genes, 1, F.greatest(F.size(genes) - 1, F.lit(0)))))
+    reads = named.groupBy("sample", "read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes"), F.min(F.coalesce("final_umi", F.lit(""))).alias("umi"))
+    whole = read_components(reads, gene_components(cooccurrence(reads)))
+    number = F.count_distinct("umi") if dedup else F.count("*")
+    return whole.groupBy("sample", "component").agg(number.alias("n"))
+
+
+def rarefaction_plan(counts: DataFrame, metadata: DataFrame, repeats: int, depth: int | None = None, key: str | None = None) -> DataFrame:
+    """Metadata of each rarefied sample: ``original_sample``, ``sample`` (``<s>_rarefied_<j>``), its total and ``target``.
+
+    The target is the depth of the sample that ``key`` names, the number that it holds, or else ``depth`` (default: one below the
+    least total). A name that is no sample raises. A sample of no more than its target comes once.
+    """
+    totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
+    if depth is None:
+        depth = (totals.agg(F.min("total")).first()[0] or 0) - 1
+    wanted = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    rows = metadata.withColumn("__key", wanted).join(totals, "sample").join(totals.select(F.col("sample").alias("__key"), F.col("total").alias("__named")), "__key", "left")
+    number = F.when(F.col("__key").rlike("^[0-9]+$"), F.col("__key").cast("long"))
+    known = F.coalesce("__named", number, F.raise_error(F.concat(F.lit("no such sample: "), F.col("__key"))).cast("long"))
+    rows = rows.withColumn("target", F.when(F.col("__key").isNull(), F.lit(depth).cast("long")).otherwise(known))
+    draws = F.when(F.col("total") > F.col("target"), F.sequence(F.lit(0), F.lit(repeats - 1))).otherwise(F.array(F.lit(0)))
+    named = rows.withColumn("__draw", F.explode(draws)).withColumn("original_sample", F.col("sample"))
+    return named.withColumn("sample", F.concat_ws("_rarefied_", "sample", "__draw")).drop("__key", "__named", "__draw")
+
+
 def rarefy(counts: DataFrame, depth: int, seed: int = 42, block: int = 4096) -> DataFrame:
     """Draw ``depth`` molecules of each deeper sample without replacement; others stay as they are.
 

@@ -35,6 +35,14 @@ def counts_from_log2_cpm(value: Column, depth: Column, total: Column, prior: flo
     return F.greatest(F.bround((F.pow(F.lit(2.0), value) - prior) * depth / total, 0), F.lit(0.0)).cast("long")
 
 
+def reverse_log2_cpm(values: DataFrame, counts: DataFrame, prior: float = 1.0) -> DataFrame:
+    """Counts (sample, feature, n) behind log2 values per million; depths come from ``counts``."""
+    depth = counts.groupBy("sample").agg(F.sum("n").alias("depth"))
+    total = depth.agg(F.least(F.avg("depth"), F.lit(1e6)).alias("total"))
+    rows = values.join(depth, "sample").crossJoin(F.broadcast(total))
+    return rows.select("sample", "feature", counts_from_log2_cpm(F.col("value"), F.col("depth"), F.col("total"), prior).alias("n"))
+
+
 def common_features(counts: DataFrame, batches: DataFrame) -> DataFrame:
     """Features with a count in every batch; ``batches`` maps sample to batch."""
     seen = counts.where("n > 0").join(batches, "sample").select("feature", "batch").distinct().groupBy("feature").agg(F.count("*").alias("seen"))

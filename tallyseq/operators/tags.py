@@ -64,3 +64,30 @@ def run_totals(names: DataFrame) -> DataFrame:
         n(F.col("counted")).alias("counted"),
         n(F.col("counted") & F.col("assigned")).alias("counted_assigned"),
     )
+
+
+def record_tags(rows: DataFrame, cell: str | None = "sample") -> DataFrame:
+    """Each record with its plain name, flag and tags.
+
+    A primary first mate gets cb (``cell``'s value), us (first UMI), pr (primers), uc (both UMIs, if whole and both primers
+    are known) and, where the assigner wrote none, xn = -1 and xt = Unassigned. The first of its name also gets
+    xf. Other records keep xt and get no tag; repeated primaries become secondary.
+    """
+    flag = F.col("flag")
+    tagged = has(flag, READ1) & ~has(flag, NOT_PRIMARY)
+    order = Window.partitionBy("sample", "qname", tagged).orderBy("ord", "xt")
+    names = fold_names(rows).select("sample", "qname", "xf")
+    parsed = parse_names(rows).withColumn("is_first", tagged & (F.row_number().over(order) == 1)).join(names, ["sample", "qname"])
+    on = lambda c: F.when(tagged, c)
+    return parsed.select(
+        "sample",
+        "read_id",
+        "ord",
+        on(F.col(cell) if cell else F.lit(None).cast("string")).alias("cb"),
+        on(F.col("umi1")).alias("us"),
+        on(F.col("primers")).alias("pr"),
+        on(F.when(good_umi() & with_adapters(), F.concat("umi1", "umi2"))).alias("uc"),
+        on(F.when(F.col("xt").isNull(), F.lit(-1))).alias("xn"),
+        F.when(tagged, F.coalesce("xt", F.lit("Unassigned"))).otherwise(F.col("xt")).alias("xt"),
+        F.when(F.col("is_first"), F.col("xf")).alias("xf"),
+    )

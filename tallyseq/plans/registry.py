@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyseq.plans import catalog, panel
+from tallyseq.plans import catalog, design, panel, runs
 
 FLAGSHIP = catalog.FLAGSHIP
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return catalog.queries() | panel.queries()
+    return catalog.queries() | panel.queries() | runs.queries() | design.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return catalog.oracle_sql() | panel.oracle_sql()
+    return catalog.oracle_sql() | panel.oracle_sql() | runs.oracle_sql() | design.oracle_sql()

@@ -133,9 +133,9 @@ def read_first_mate_counts(spark: SparkSession, paths: list[str], name: str = "r
 
 
 def read_aligner_logs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Input reads of each sample; a sample is the folder of its log."""
-    rows = spark.read.text(paths).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("sample"), F.regexp_extract("value", r"Number of input reads\s*\|\s*(\d+)", 1).alias("n")).where("n <> ''")
-    return rows.groupBy("sample").agg(F.min(F.col("n").cast("long")).alias("long_read"))
+    """Input reads of each sample, by the first line of its log that tells them; a sample is the folder of its log."""
+    logs = spark.read.text(paths, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("sample"), F.regexp_extract("value", r"Number of input reads\s*\|\s*(\d+)", 1).alias("n"))
+    return logs.where("n <> ''").groupBy("sample").agg(F.min(F.col("n").cast("long")).alias("long_read"))
 
 
 def read_tagger_logs(spark: SparkSession, paths: list[str]) -> DataFrame:
