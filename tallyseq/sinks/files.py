@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyseq import __version__
 from tallyseq.sources.files import SAM_FIELDS
 
 
@@ -19,6 +20,17 @@ def write_fasta(seqs: DataFrame, path: str, description: Column | None = None) -
     seqs.select(F.concat_ws("\n", head, F.col("seq"))).write.text(path)
 
 
+def write_short_primers(records: DataFrame, path: str) -> None:
+    """Named primers (``record_id``, ``seq``) as sequences, without a version."""
+    write_fasta(records.select(F.col("record_id").alias("seq_id"), F.upper("seq").alias("seq")), path)
+
+
+def write_regions(regions: DataFrame, path: str) -> None:
+    """The amplicons of ``amplicon_regions`` that are whole, under their primer's index and description."""
+    ok = regions.where("status = 'ok'")
+    write_fasta(ok.select(F.col("primer_index").alias("seq_id"), F.col("region").alias("seq"), "description"), path, F.col("description"))
+
+
 def write_sam(records: DataFrame, path: str) -> None:
     """Records without a header; tags are written as text (``Z``), in the order of their names."""
     fields = [F.col(n) + 1 if n in ("pos", "mate_pos") else F.col(n) for n in SAM_FIELDS]
@@ -26,8 +38,12 @@ def write_sam(records: DataFrame, path: str) -> None:
     records.select(F.concat_ws("\t", *[c.cast("string") for c in fields], tags)).write.text(path)
 
 
-def write_matrix(counts: DataFrame, path: str, label: str = "sample", most_features: int = 100_000) -> None:
-    """A sample x feature table, one row per sample; holes are 0. More columns than ``most_features`` raise."""
+def write_matrix(counts: DataFrame, path: str, label: str | None = None, most_features: int = 100_000) -> None:
+    """A sample x feature table, one row per sample; holes are 0. More columns than ``most_features`` raise.
+
+    ``label`` is the first cell of the header, by default the program and its version.
+    """
+    label = label or f"tallyseq {__version__}"
     kinds = (".tsv", ".txt", ".tsv.gz", ".txt.gz"), (".csv", ".csv.gz")
     if not path.endswith(kinds[0] + kinds[1]):
         raise ValueError(f"unknown extension: {path}")

@@ -92,7 +92,7 @@ def read_fasta(spark: SparkSession, paths: list[str]) -> DataFrame:
     """seq_id, description, seq (upper case, no white space); of equal ids the last in path order and file order stays."""
     rows = spark.read.option("lineSep", "\n>").text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"^\s*>", "").alias("value"))
     head, body = F.rtrim(F.regexp_extract("value", r"^([^\r\n]*)", 1)), F.regexp_replace(F.regexp_replace("value", r"^[^\r\n]*", ""), r"\s", "")
-    seqs = rows.where("trim(value) <> ''").select(F.split_part(head, F.lit(" "), F.lit(1)).alias("seq_id"), head.alias("description"), F.upper(body).alias("seq"), F.struct("file", "block", "at").alias("place"))
+    seqs = rows.where(F.col("value").rlike(r"\S")).select(F.split_part(head, F.lit(" "), F.lit(1)).alias("seq_id"), head.alias("description"), F.upper(body).alias("seq"), F.struct("file", "block", "at").alias("place"))
     return seqs.groupBy("seq_id").agg(F.max_by(F.struct("description", "seq"), "place").alias("s")).select("seq_id", "s.*")
 
 
