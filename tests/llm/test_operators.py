@@ -250,7 +250,5 @@ def test_pipeline(spark):
     found = corpus_pipeline.run(spark, DIR).toPandas()
     kept = spark.read.parquet(f"{DIR}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        columns = kept.columns
         kept = corpus_pipeline.materialize(stage(spark, kept, DIR))
-        assert kept.columns == columns
     check_packing(found, [(r.doc_id, r.text) for r in kept.collect()])
