@@ -1,31 +1,49 @@
-"""Overlaps of intervals, by bins: reads on exons."""
+"""Overlaps of intervals, by bins of several sizes: reads on exons."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BIN = 16_384
+#: Bits of the smallest bin.
+LEAST_BITS = 6
+#: Right rows up to this number are broadcast.
+BROADCAST_ROWS = 200_000
 
 
-def overlaps(left: DataFrame, right: DataFrame, bin_size: int = BIN) -> DataFrame:
+def _bits(length: Column) -> Column:
+    """Bits of the smallest bin that is as long as an interval."""
+    return F.greatest(F.lit(LEAST_BITS), F.ceil(F.log2(length.cast("double"))).cast("int"))
+
+
+def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of rows on one ``contig`` whose inclusive ``start``, ``end`` overlap; other columns must not clash.
 
-    Both sides meet in the bins that they touch. A pair is kept in the first bin that both touch
-    alone, so none comes twice and nothing is deduplicated afterwards.
+    A right row lies in bins of its own length, two at most, so a long one takes no more of them than a short one and a bin holds
+    no more than what is about as long as itself. A left row probes the bins of each size that the right side has. A
+    pair is kept in the first bin that both touch alone, so none comes twice and nothing is deduplicated afterwards.
     """
+    right = right.where("start <= end").withColumn("__bits", _bits(F.col("end") - F.col("start") + 1))
+    sizes = [r[0] for r in right.select("__bits").distinct().collect()]  # at most one a power of two
+    at = F.expr("shiftright(cast(start AS bigint), __bits)"), F.expr("shiftright(cast(end AS bigint), __bits)")
 
     def binned(df: DataFrame, side: str) -> DataFrame:
-        first, last = (F.floor(F.col(c) / bin_size) for c in ("start", "end"))
-        return df.where("start <= end").withColumn("__bin", F.explode(F.sequence(first, last))).withColumn(f"__first_{side}", first).withColumnsRenamed({"start": f"{side}_start", "end": f"{side}_end"})
-
-    met = binned(left, "left").join(binned(right, "right"), ["contig", "__bin"])
+        bins = df.withColumn("__bin", F.explode(F.sequence(*at))).withColumn(f"__first_{side}", at[0])
+        return bins.withColumnsRenamed({"start": f"{side}_start", "end": f"{side}_end"})
+
+    probes = left.where("start <= end").withColumn("__bits", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")))
+    held = binned(right, "right")
+    if right.count() <= BROADCAST_ROWS:
+        held = F.broadcast(held)
+    met = binned(probes, "left").join(held, ["contig", "__bits", "__bin"])
     once = F.col("__bin") == F.greatest("__first_left", "__first_right")
-    return met.where(once & (F.col("left_start") <= F.col("right_end")) & (F.col("right_start") <= F.col("left_end"))).drop("__bin", "__first_left", "__first_right")
+    near = once & (F.col("left_start") <= F.col("right_end")) & (F.col("right_start") <= F.col("left_end"))
+    return met.where(near).drop("__bin", "__bits", "__first_left", "__first_right")
 
 
-def assign_genes(reads: DataFrame, exons: DataFrame, bin_size: int = BIN) -> DataFrame:
+def assign_genes(reads: DataFrame, exons: DataFrame) -> DataFrame:
     """(read_id, gene): the sorted genes whose exons a read overlaps, comma-joined; ``Unassigned`` for none."""
-    hits = overlaps(reads.select("read_id", "contig", "start", "end"), exons.select("gene", "contig", "start", "end"), bin_size)
-    found = hits.groupBy("read_id").agg(F.array_join(F.array_sort(F.collect_set("gene")), ",").alias("gene"))
-    return reads.select("read_id").distinct().join(found, "read_id", "left").fillna("Unassigned", subset=["gene"])
+    hits = overlaps(reads.select("read_id", "contig", "start", "end"), exons.select("gene", "contig", "start", "end"))
+    every = hits.select("read_id", "gene").unionByName(reads.select("read_id", F.lit(None).cast("string").alias("gene")))
+    found = every.groupBy("read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
+    return found.select("read_id", F.when(F.size("genes") > 0, F.array_join("genes", ",")).otherwise("Unassigned").alias("gene"))

@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.operators.ranks import global_rank
+from tallyseq.operators.skew import join_hot
+
+#: Ranks of a block.
+BLOCK = 65_536
+
 
 def quantile_normalize(values: DataFrame) -> DataFrame:
     """Give every sample the mean distribution: a value becomes the mean over samples of its rank, ties their mean.
@@ -19,10 +25,21 @@ def quantile_normalize(values: DataFrame) -> DataFrame:
 
 
 def adjust_fdr(rows: DataFrame, by: str, p: str = "p", key: str = "id") -> DataFrame:
-    """Benjamini-Hochberg adjusted values ``q`` within ``by``: the least p * n / rank from a row's rank on."""
-    sized = rows.withColumn("__n", F.count("*").over(Window.partitionBy(by))).withColumn("__r", F.row_number().over(Window.partitionBy(by).orderBy(p, key)))
-    least = F.min(F.col(p) * F.col("__n") / F.col("__r")).over(Window.partitionBy(by).orderBy(F.col("__r").desc()))
-    return sized.withColumn("q", F.least(F.lit(1.0), least)).drop("__n", "__r")
+    """Benjamini-Hochberg adjusted values ``q`` within ``by``: the least p * n / rank from a row's rank on.
+
+    Ranks come from a global order by family, value and key, so a family of any size is sorted by many tasks. The running
+    minimum is taken in blocks of ranks; the minima of later blocks, one row a block, are carried to the earlier ones.
+    """
+    ranked = global_rank(rows, F.col(by), F.col(p), F.col(key), name="__rank")
+    families = ranked.groupBy(by).agg(F.count("*").alias("__n"), F.min("__rank").alias("__first"))
+    placed = join_hot(ranked, families, by, ranked.count(), "__n").withColumn("__block", F.expr(f"__rank div {BLOCK}"))
+    valued = placed.withColumn("__v", F.col(p) * F.col("__n") / (F.col("__rank") - F.col("__first") + 1))
+    later = Window.partitionBy(by).orderBy(F.col("__block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = valued.groupBy(by, "__block").agg(F.min("__v").alias("__least")).select(by, "__block", F.min("__least").over(later).alias("__later"))
+    own = F.min("__v").over(Window.partitionBy(by, "__block").orderBy(F.col("__rank").desc()))
+    sized = valued.withColumn("__own", own).join(carried, [by, "__block"])
+    q = F.least(F.lit(1.0), F.col("__own"), F.coalesce("__later", F.lit(1.0)))
+    return sized.select(*rows.columns, q.alias("q"))
 
 
 def top_deviating(values: DataFrame, top: int) -> DataFrame:

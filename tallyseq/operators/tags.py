@@ -31,23 +31,28 @@ def with_adapters() -> Column:
 
 
 def demote_repeats(rows: DataFrame) -> DataFrame:
-    """Keep the first primary record of each mate of a name; later ones become secondary."""
+    """Keep the first primary record of each mate of a name; later ones become secondary.
+
+    Rows are dealt by sample and name, which also serves the window here and the fold that may follow: one shuffle.
+    """
     mate = F.when(has(F.col("flag"), READ1), 1).when(has(F.col("flag"), READ2), 2).otherwise(0)
     primary = ~has(F.col("flag"), NOT_PRIMARY)
     order = Window.partitionBy("sample", "qname", mate, primary).orderBy("ord")
     repeat = primary & (mate > 0) & (F.row_number().over(order) > 1)
-    return rows.withColumn("flag", F.when(repeat, F.col("flag").bitwiseOR(SECONDARY)).otherwise(F.col("flag")))
+    dealt = rows.repartition("sample", "qname")
+    return dealt.withColumn("flag", F.when(repeat, F.col("flag").bitwiseOR(SECONDARY)).otherwise(F.col("flag")))
 
 
 def fold_names(rows: DataFrame) -> DataFrame:
-    """One row per name: its gene set over all its records, and what it counts for."""
+    """One row per name: its gene set over all its records, and what it counts for. Names are taken apart after the fold, once each."""
     flag = F.col("flag")
     r1 = has(flag, READ1) & ~has(flag, NOT_PRIMARY)
-    genes = F.filter(F.split(F.coalesce("xt", F.lit("")), ","), lambda g: (g != "") & (g != "Unassigned"))
-    folded = parse_names(rows).withColumn("genes", genes).groupBy("sample", "qname", "umi1", "umi2", "primers", "fwd", "rev")
-    folded = folded.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("genes")))).alias("genes"), F.max(r1).alias("r1"), F.max(r1 & ~has(flag, UNMAPPED)).alias("mapped"))
+    folded = rows.groupBy("sample", "qname").agg(F.collect_set("xt").alias("xts"), F.max(r1).alias("r1"), F.max(r1 & ~has(flag, UNMAPPED)).alias("mapped"))
+    every = F.flatten(F.transform("xts", lambda x: F.split(x, ",")))
+    genes = F.array_sort(F.array_distinct(F.filter(every, lambda g: (g != "") & (g != "Unassigned"))))
+    named = parse_names(folded.withColumn("genes", genes)).select("sample", "qname", "umi1", "umi2", "primers", "fwd", "rev", "genes", "r1", "mapped")
     xf = F.concat_ws(",", F.when(F.size("genes") > 0, F.array_join("genes", ",")).otherwise("Unassigned"), F.col("primers"))
-    found = folded.withColumns({"xf": xf, "assigned": F.size("genes") > 0, "criteria_ok": good_umi() & with_adapters()})
+    found = named.withColumns({"xf": xf, "assigned": F.size("genes") > 0, "criteria_ok": good_umi() & with_adapters()})
     return found.withColumn("counted", F.col("mapped") & F.col("criteria_ok"))
 
 

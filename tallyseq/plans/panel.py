@@ -102,7 +102,7 @@ def location_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exon_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.table(spark, sf_dir, "lineitem").selectExpr("concat(l_orderkey, '_', l_linenumber) AS read_id", "concat('c', l_suppkey % 5) AS contig", "l_orderkey * 37 % 100000 AS start", "l_orderkey * 37 % 100000 + 99 AS end")
     exons = views.table(spark, sf_dir, "part").selectExpr("concat('G', p_partkey % 40) AS gene", "concat('c', p_partkey % 5) AS contig", "p_partkey * 91 % 100000 AS start", "p_partkey * 91 % 100000 + p_partkey % 300 AS end")
-    return intervals.assign_genes(rows, exons, 4096)
+    return intervals.assign_genes(rows, exons)
 
 
 def _assigned(spark: SparkSession, sf_dir: str, indels: bool) -> DataFrame:

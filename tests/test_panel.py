@@ -33,11 +33,12 @@ def test_simplified_names(spark):
     assert found.collect() == []
 
 
-@pytest.mark.parametrize("size", [1, 7, 1000])
-def test_overlaps_match_all_pairs(spark, size):
+@pytest.mark.parametrize("bits", [0, 3, 10])
+def test_overlaps_match_all_pairs(spark, monkeypatch, bits):
+    monkeypatch.setattr(intervals, "LEAST_BITS", bits)
     left = [(i, "c", i * 3 % 50, i * 3 % 50 + i % 9) for i in range(40)]
     right = [(100 + i, "c", i * 7 % 50, i * 7 % 50 + i % 13) for i in range(40)]
-    have = intervals.overlaps(spark.createDataFrame(left, "a long, contig string, start long, end long"), spark.createDataFrame(right, "b long, contig string, start long, end long"), size)
+    have = intervals.overlaps(spark.createDataFrame(left, "a long, contig string, start long, end long"), spark.createDataFrame(right, "b long, contig string, start long, end long"))
     want = sorted((x[0], y[0]) for x, y in itertools.product(left, right) if x[2] <= y[3] and y[2] <= x[3])
     assert sorted((r["a"], r["b"]) for r in have.collect()) == want
 
