@@ -124,6 +124,96 @@ public-domain | released (?:in|into|to) the public domain ; public domain work |
 """
 
 
+# Written by hand: label | sentences of the licence's own text or of its notice, as expressions over normalised words.
+SIGNATURES = r"""
+mit | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+mit | to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense
+mit | in no event shall the authors or copyright holders be liable for any claim damages or other liability
+mit | this (?:project|package|library|software) is (?:released|licensed|distributed) under (?:the )?(?:terms of the )?mit
+apache-2.0 | you may not use this file except in compliance with the licen[cs]e you may obtain a copy of the licen[cs]e at
+apache-2.0 | distributed on an as is basis without warranties or conditions of any kind either express or implied
+apache-2.0 | see the licen[cs]e for the specific language governing permissions and limitations under the licen[cs]e
+apache-2.0 | www apache org licenses licen[cs]e 2 0
+apache-2.0 | each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[cs]e
+apache-1.1 | the names apache and apache software foundation must not be used to endorse or promote products
+gpl-3.0 | you should have received a copy of the gnu general public licen[cs]e along with this program if not see
+gpl-3.0 | gnu general public licen[cs]e as published by the free software foundation either version 3
+gpl-3.0 | this is free software and you are welcome to redistribute it under certain conditions
+gpl-3.0 | you may convey verbatim copies of the program s source code as you receive it
+gpl-2.0 | gnu general public licen[cs]e as published by the free software foundation either version 2
+gpl-2.0 | if not write to the free software foundation inc .{1,60}? (?:fifth floor boston|temple place)
+gpl-2.0 | the licenses for most software are designed to take away your freedom to share and change it
+gpl-2.0 | you may copy and distribute verbatim copies of the program s source code as you receive it
+gpl-1.0 | gnu general public licen[cs]e as published by the free software foundation either version 1
+lgpl-3.0 | gnu lesser general public licen[cs]e as published by the free software foundation either version 3
+lgpl-2.1 | gnu lesser general public licen[cs]e as published by the free software foundation either version 2 1
+lgpl-2.0 | gnu library general public licen[cs]e as published by the free software foundation either version 2
+lgpl-2.1 | you should have received a copy of the gnu lesser general public licen[cs]e along with this library
+agpl-3.0 | gnu affero general public licen[cs]e as published by the free software foundation either version 3
+agpl-3.0 | must prominently offer all users interacting with it remotely through a computer network
+gfdl | with no invariant sections no front cover texts and no back cover texts
+bsd-3-clause | neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+bsd-3-clause | the name of the author may not be used to endorse or promote products derived from this software
+bsd | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+bsd | redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer
+bsd | this software is provided by the (?:copyright holders and contributors|regents and contributors|author) as is and any express or implied warranties
+bsd-4-clause | must display the following acknowledgement this product includes software developed by
+bsd-2-clause | the views and conclusions contained in the software and documentation are those of the authors
+isc | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
+isc | the software is provided as is and the author disclaims all warranties with regard to this software
+zlib | this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software
+zlib | the origin of this software must not be misrepresented you must not claim that you wrote the original software
+zlib | this notice may not be removed or altered from any source distribution
+libpng | the png reference library is supplied as is
+mpl-2.0 | if a copy of the mpl was not distributed with this file you can obtain one at
+mpl-2.0 | mozilla org mpl 2 0
+mpl-1.1 | the contents of this file are subject to the mozilla public licen[cs]e version 1 1
+epl-2.0 | this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e (?:v )?2 0
+epl-1.0 | this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e v1 0
+cddl | the contents of this file are subject to the terms of the common development and distribution licen[cs]e
+cpl | the accompanying program is provided under the terms of this common public licen[cs]e
+eupl | licensed under the eupl
+bsl-1.0 | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e
+unlicense | anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
+unlicense | for more information please refer to (?:http|https) unlicense org
+cc0-1.0 | the person who associated a work with this deed has dedicated the work to the public domain
+cc0-1.0 | to the extent possible under law .{1,80}? has waived all copyright and related or neighboring rights
+cc-by-sa | this work is licensed under (?:a|the) creative commons attribution share ?alike
+cc-by-nc-sa | this work is licensed under (?:a|the) creative commons attribution non ?commercial share ?alike
+cc-by-nc-nd | this work is licensed under (?:a|the) creative commons attribution non ?commercial no ?deriv
+cc-by-nc | creativecommons org licenses by nc \d 0
+cc-by-sa | creativecommons org licenses by sa \d 0
+cc-by-nd | creativecommons org licenses by nd \d 0
+cc-by-nc-sa | creativecommons org licenses by nc sa \d 0
+cc-by-nc-nd | creativecommons org licenses by nc nd \d 0
+cc-by | creativecommons org licenses by \d 0
+cc0-1.0 | creativecommons org publicdomain zero 1 0
+odbl | is made available under the open database licen[cs]e
+ofl | this font software is licensed under the sil open font licen[cs]e
+ofl | reserved font name refers to any names specified as such after the copyright statement
+psf-2.0 | psf is making python available to licensee on an as is basis
+php | this product includes php software freely available from
+ruby | you may make and give away verbatim copies of the source form of the software without restriction
+postgresql | permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement
+openssl | for use in the openssl toolkit
+wtfpl | everyone is permitted to copy and distribute verbatim or modified copies of this licen[cs]e document and changing it is allowed as long as the name is changed
+ncsa | redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers
+artistic-1.0 | the intent of this document is to state the conditions under which a package may be copied
+artistic-2.0 | this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed
+ms-pl | if you use the software you accept this licen[cs]e if you do not accept the licen[cs]e do not use the software
+beerware | you can buy me a beer in return
+vim | there are no restrictions on distributing unmodified copies of vim
+lppl | this work may be distributed and or modified under the conditions of the latex project public licen[cs]e
+sspl | offering the service source code
+busl | the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work
+elastic | you may not provide the software to third parties as a hosted or managed service
+rail | use based restrictions as referenced in paragraph 5
+proprietary | no part of this (?:publication|work|document) may be reproduced (?:or transmitted )?in any form
+proprietary | this (?:file|software|document) contains confidential and proprietary information
+public-domain | the authors? (?:hereby )?(?:disclaims?|dedicates?) .{0,40}?copyright to this source code
+"""
+
+
 def _literal(pattern: str) -> bytes:
     """The longest run of plain words of a pattern: what a text must hold before the pattern can match."""
     plain = re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)\??|\[[^\]]*\][?+*]?|\\\w[?+*]?|.\{[^}]*\}\??|[a-z0-9 ]\?", "\0", pattern)
@@ -150,6 +240,9 @@ def build_rules() -> tuple[Rule, ...]:
         for p in names:
             add(label, 2, "(?:licensed|released|distributed|available|published|provided) under (?:the (?:terms of the )?)?" + p, 0.9)
             add(label, 3, p, 0.6)
+    for line in SIGNATURES.strip().splitlines():
+        label, own = map(str.strip, line.split(" | ", 1))
+        add(label, 1, own, 1.0)
     return tuple(rules)
 
 
