@@ -1,16 +1,17 @@
-"""Command line: ``python -m tallyseq matrix|read-stats|summary|assign|panel ...``; run it with ``spark-submit`` on a cluster."""
+"""Command line: ``python -m tallyseq matrix|read-stats|summary|assign|tags|subset|panel|product|order|pools ...``; run it with ``spark-submit`` on a cluster."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.operators import anneal, counts, intervals, reads
+from tallyseq.operators import anneal, counts, design, intervals, reads, tags
 from tallyseq.plans import summary
 from tallyseq.sinks import files as sinks
-from tallyseq.sources import files
+from tallyseq.session import materialize
+from tallyseq.sources import files, inputs
 
 
 def matrix(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -49,6 +50,46 @@ def panel(spark: SparkSession, a: argparse.Namespace) -> None:
     anneal.anneal(rows, a.steps, a.chains, seed=a.seed).write.csv(a.out, sep="\t", header=True)
 
 
+def subset(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Primer rows of the target genes."""
+    table = lambda path: spark.read.csv(path, sep="\t", header=True)
+    plain = lambda df, names: df.withColumnsRenamed(names)
+    ids = {"geneSymbol": "gene_symbol", "transcriptID": "transcript_id", "geneID": "gene_id", "L_seq": "l_seq", "R_seq": "r_seq"}
+    tables = [plain(table(p), ids) for p in (a.transcripts, a.primer_seqs, a.primer_info)]
+    _, _, info = design.catalog_subset(inputs.read_gene_table(spark, a.genes), *tables)
+    info.select(*tables[2].columns).write.csv(a.out, sep="\t", header=True)
+
+
+def product(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Amplicons of selected pairs as sequences; pairs without one are told by reason."""
+    selected = inputs.selected_pairs(spark.read.csv(a.selected, sep="\t", header=True))
+    found = materialize(design.amplicon_regions(selected, inputs.read_primer_info(spark, a.info), inputs.read_reference(spark, files.expand_paths(spark, a.reference))))
+    sinks.write_regions(found, a.out)
+    for r in found.groupBy("status").count().orderBy("status").collect():
+        print(r["status"], r["count"])
+
+
+def _sheet(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    selected = inputs.selected_pairs(spark.read.csv(a.selected, sep="\t", header=True)).select("primer_index")
+    info = inputs.renamed(spark.read.csv(a.info, sep="\t", header=True), {"amplicon_index": "amplicon_index", "geneSymbol": "gene_symbol", "geneID": "gene_id", "L_seq": "l_seq", "R_seq": "r_seq", "pool": "pool"})
+    return design.order_sheet(selected, info, inputs.read_gene_table(spark, a.genes), a.linkers)
+
+
+def order(spark: SparkSession, a: argparse.Namespace) -> None:
+    _sheet(spark, a).orderBy(*[F.col(c).asc_nulls_last() for c in design.SHEET_ORDER]).write.csv(a.out, sep="\t", header=True)
+
+
+def pools(spark: SparkSession, a: argparse.Namespace) -> None:
+    design.ordered_primers(_sheet(spark, a).where("amplicon_index is not null"), a.prefix).orderBy("position").write.csv(a.out, sep="\t", header=True)
+
+
+def record_tags(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Tags of alignment records, as a table."""
+    rows = files.read_sam(spark, files.expand_paths(spark, a.alignments))
+    named = rows.select(F.lit(a.cell).alias("sample"), "ord", "qname", "flag", F.col("tags")["XT"].alias("xt"))
+    tags.record_tags(named).drop("sample").write.csv(a.out, sep="\t", header=True)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tallyseq", description=__doc__)
     sub = top.add_subparsers(required=True)
@@ -65,6 +106,11 @@ def parser() -> argparse.ArgumentParser:
     command("read-stats", read_stats, "first", "second", overwrite=False)
     command("summary", summarize, raw=None, trimmed=None, aligner=None, tagger=None, matrix=None)
     command("assign", assign, "alignments", "annotation")
+    command("subset", subset, "genes", "transcripts", "primer_seqs", "primer_info")
+    command("product", product, "selected", "info", "reference")
+    command("order", order, "selected", "info", "genes", linkers=False)
+    command("pools", pools, "selected", "info", "genes", linkers=False, prefix="pool")
+    command("tags", record_tags, "alignments", cell="-")
     command("panel", panel, "candidates", steps=1000, chains=8, seed=42)
     return top
 

@@ -58,3 +58,27 @@ def simplify(names: Column) -> Column:
 
     staged = F.element_at(F.transform(F.array(every), informative), 1)
     return F.element_at(F.transform(F.array(staged), without_members), 1)
+
+
+#: Why a name goes.
+PART_LISTED = "dropped: readthrough_component_present"
+REAL_LISTED = "dropped: pseudo_like_with_real_symbols_present"
+BASE_LISTED = "collapsed_into_base: base="
+
+
+def audit(names: Column) -> Column:
+    """The names that ``simplify`` drops, as structs (name, reason), in first-seen order."""
+    own = F.array_distinct(F.filter(F.transform(names, lambda t: F.trim(t)), lambda t: t != ""))
+    kept = simplify(names)
+
+    def reason(t: Column) -> Column:
+        base = lambda p: F.regexp_extract(t, p, 1)
+        of_family = lambda p: (F.length(base(p)) >= LEAST_BASE) & F.array_contains(kept, base(p))
+        part = F.array_contains(own, base(READTHROUGH)) | F.array_contains(own, base(READTHROUGH.replace("^([A-Za-z0-9]+)-([", "^[A-Za-z0-9]+-([")))
+        first = t.rlike(READTHROUGH) & ~t.rlike(MITOCHONDRIAL) & part
+        alike = ~t.rlike(READTHROUGH) & is_pseudo(t) & F.exists(own, lambda x: ~is_pseudo(x))
+        family = F.coalesce(*[F.when(of_family(p), base(p)) for p in FAMILY_BASES])
+        return F.when(first, PART_LISTED).when(alike, REAL_LISTED).otherwise(F.concat(F.lit(BASE_LISTED), family))
+
+    dropped = F.filter(own, lambda t: ~F.array_contains(kept, t))
+    return F.transform(dropped, lambda t: F.struct(t.alias("name"), reason(t).alias("reason")))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyseq.functions.gene_names import audit
 from tallyseq.operators import design
 from tallyseq.sources import views
 
@@ -100,6 +101,16 @@ def checked_primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return design.checked_primers(_parts(spark, sf_dir, "p_partkey AS primer_id", "concat(' ', lower(substring(cut, 1, 7)), ' ', CASE WHEN p_size % 13 = 0 THEN 'n' ELSE '' END, substring(cut, 8, 7), ' ') AS primer_seq")).drop("primer_seq")
 
 
+def name_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of up to six names of different kinds; a name is listed if its bit of the key is set."""
+    kinds = (
+        "concat('Abcd', p_partkey % 9)", "concat('Gm', 100 + p_partkey % 5)", "concat('Abcd', p_partkey % 9, '-Xyz', p_partkey % 4)", "concat('Xyz', p_partkey % 3)", "concat('mt-Co', p_partkey % 2)", "concat('Xyz', p_partkey % 3, 'P', p_partkey % 2)", "concat('Klra', p_partkey % 3)", "concat('Klra', p_partkey % 3, 'b', p_partkey % 2)",
+    )
+    listed = ", ".join(f"CASE WHEN shiftright(p_partkey, {i}) % 2 = 1 THEN {k} ELSE '' END" for i, k in enumerate(kinds))
+    rows = _parts(spark, sf_dir, "p_partkey AS id", f"array({listed}) AS names")
+    return rows.select("id", F.explode(audit(F.col("names"))).alias("d")).select("id", "d.*")
+
+
 def pair_complement_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _parts(spark, sf_dir, "p_partkey AS pair_id", "substring(cut, 1, 14) AS one", "substring(cut, 15, 14) AS two")
     return rows.select("pair_id", F.explode(design.complement_words("one", "two", 4, 8)).alias("w")).select("pair_id", "w.*")
@@ -161,6 +172,18 @@ WITH {_PARTS}, pool AS (SELECT substr(cut, 1, 5) AS primer_seq, CASE WHEN p_size
 SELECT primer_seq, 'T' || p_partkey AS transcript_id, p_size AS start, p_size + 4 AS "end", primer_type, pool FROM parts JOIN pool ON primer_seq = substr(cut, 1, 5)
 """,
     "checked_primers": f"WITH {_PARTS} SELECT p_partkey AS primer_id, substr(cut, 1, 7) || CASE WHEN p_size % 13 = 0 THEN 'N' ELSE '' END || substr(cut, 8, 7) AS seq, p_size % 13 <> 0 AS valid FROM parts",
+    "name_audit": """
+WITH kinds AS (
+    SELECT p_partkey AS id, p_partkey % 3 AS m, [x FOR x, i IN [concat('Abcd', p_partkey % 9), concat('Gm', 100 + p_partkey % 5), concat('Abcd', p_partkey % 9, '-Xyz', p_partkey % 4), concat('Xyz', p_partkey % 3),
+        concat('mt-Co', p_partkey % 2), concat('Xyz', p_partkey % 3, 'P', p_partkey % 2), concat('Klra', p_partkey % 3), concat('Klra', p_partkey % 3, 'b', p_partkey % 2)] IF (p_partkey >> (i - 1)) % 2 = 1] AS l
+    FROM part
+), each AS (
+    SELECT id, l, unnest(l) AS name, len(list_filter(l, lambda x: NOT regexp_full_match(x, 'Gm[0-9]+|Xyz[0-9]P[0-9]|Klra[0-9]b[0-9]'))) > 0 AS real FROM kinds
+)
+SELECT id, name, CASE WHEN contains(name, '-X') THEN 'dropped: readthrough_component_present' WHEN real THEN 'dropped: pseudo_like_with_real_symbols_present' END AS reason
+FROM each WHERE CASE WHEN contains(name, '-X') THEN list_contains(l, string_split(name, '-')[1]) OR list_contains(l, string_split(name, '-')[2])
+    ELSE real AND regexp_full_match(name, 'Gm[0-9]+|Xyz[0-9]P[0-9]|Klra[0-9]b[0-9]') END
+""",
     "pair_complement_words": f"""
 WITH {_PARTS}, one AS (SELECT p_partkey AS pair_id, k, i AS at_one, substr(substr(cut, 1, 14), i + 1, k) AS word FROM parts, range(4, 9) a(k), range(0, 11) b(i) WHERE i + k <= 14),
 two AS (SELECT p_partkey AS pair_id, k, i AS at_two, reverse(translate(substr(substr(cut, 15, 14), i + 1, k), 'ACGT', 'TGCA')) AS word FROM parts, range(4, 9) a(k), range(0, 11) b(i) WHERE i + k <= 14)
@@ -184,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         first_primers,
         located_primers,
         checked_primers,
+        name_audit,
         pair_complement_words,
     )
     return {f.__name__: f for f in own}

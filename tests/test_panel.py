@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from tallyseq.functions.gene_names import simplify
+from tallyseq.functions.gene_names import audit, simplify
 from tallyseq.operators import anneal, assign, intervals, primers, recover
 
 NAMES = [
@@ -33,6 +33,17 @@ def test_simplified_names(spark):
     assert found.collect() == []
 
 
+def test_audit_tells_each_dropped_name(spark):
+    rows = spark.createDataFrame(NAMES, "names string, want string").withColumn("list", F.split("names", ","))
+    found = rows.select(simplify(F.col("list")).alias("kept"), audit(F.col("list")).alias("gone"), F.array_distinct(F.filter(F.transform("list", lambda t: F.trim(t)), lambda t: t != "")).alias("every")).collect()
+    for r in found:
+        assert sorted([*r.kept, *(d.name for d in r.gone)]) == sorted(r.every) and all(d.reason for d in r.gone)
+    case = lambda names: spark.createDataFrame([(names,)], "l array<string>").select(audit(F.col("l")).alias("d")).first().d
+    assert [tuple(d) for d in case(["Abcd", "Gm12", "Klk1b1", "Klk1"])] == [("Gm12", "dropped: pseudo_like_with_real_symbols_present"), ("Klk1b1", "dropped: pseudo_like_with_real_symbols_present")]
+    assert [tuple(d) for d in case(["Sele", "Selenbp1"])] == [("Selenbp1", "collapsed_into_base: base=Sele")]
+    assert [tuple(d) for d in case(["KLRC4-KLRK1", "KLRK1"])] == [("KLRC4-KLRK1", "dropped: readthrough_component_present")]
+
+
 @pytest.mark.parametrize("bits", [0, 3, 10])
 def test_overlaps_match_all_pairs(spark, monkeypatch, bits):
     monkeypatch.setattr(intervals, "LEAST_BITS", bits)
