@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -50,6 +51,8 @@ MEMO = 600_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters below this code point have one lower-case form, wherever they stand.
 LATIN_END = "\u0250"
+#: Runs of letters on which two ways of encoding are compared.
+PROBES = ("a", "the", "tokenization", "überfüßig", "ñandúes", "œuvre", "łódź", "þorn", "ÿ", "straße", "naïveté", "zzyzxq")
 #: Pieces of a partition that share a rank bucket.
 BUCKET = 1 << 16
 
@@ -59,13 +62,26 @@ ADDED = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 _encoders: dict[str, ChunkEncoder] = {}
 
 
+class Memo(dict):
+    """Ids of chunks, made by ``make`` when first asked for."""
+
+    def __init__(self, make):
+        super().__init__({"": b""})
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.make(chunk)
+        return ids
+
+
 class ChunkEncoder:
     """Ids of whole texts as little-endian bytes, for a tokenizer whose words never span white space.
 
     A text is cut at spaces and line feeds, which that tokenizer drops, and a chunk that was
     met before is looked up. A new chunk of Latin letters, perhaps with ASCII punctuation
     behind, is put together from its lower-case letters and its punctuation, as the tokenizer
-    splits it; new runs of letters are encoded many at once and told apart by their last tokens,
+    splits it. New runs of letters go to the vocabulary's merges directly where that gives what the tokenizer gives
+    for a few probes; else they are encoded many at once and told apart by their last tokens,
     which alone carry the end-of-word mark. Any other chunk is encoded by itself.
     """
 
@@ -80,7 +96,14 @@ class ChunkEncoder:
         for token, number in vocabulary.items():
             self.ends_word[number] = bool(mark) and token.endswith(mark)
         self.marked = bool(mark)
-        self.memo: dict[str, bytes] = {"": b""}
+        # letters as the byte-level alphabet writes them: printable bytes stand for themselves, others for code points from 256 on
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+        self.alphabet = {b: 256 + n for n, b in enumerate(hidden)}
+        self.direct = all(self._merged(w) == np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in PROBES)
+        self.memo: dict[str, bytes] = self._fresh_memo()
+
+    def _fresh_memo(self) -> dict[str, bytes]:
+        return Memo(self._make) if self.direct else {"": b""}
 
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
@@ -94,6 +117,21 @@ class ChunkEncoder:
             for chunk, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
                 self.memo[chunk] = np.array(got.ids, "<u4").tobytes()
 
+    def _merged(self, run: str) -> bytes:
+        word = run if run.isascii() else run.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _make(self, chunk: str) -> bytes:
+        """The ids of one chunk; its letters and its punctuation are remembered, too."""
+        run = chunk.rstrip(PUNCTUATION)
+        low = run.lower()
+        if low and low.isalpha() and (run.isascii() or (max(run) < LATIN_END and "\u0130" not in run)):
+            tail = chunk[len(run) :]
+            if low == chunk:
+                return self._merged(low)
+            return self.memo[low] + self.memo[tail] if tail else self.memo[low]
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
     def _letters(self, runs: list[str]) -> None:
         for at in range(0, len(runs), 4096):
             some = runs[at : at + 4096]
@@ -121,8 +159,8 @@ class ChunkEncoder:
                     others.add(tail)
             else:
                 others.add(chunk)
-        self._letters(sorted(letters))
-        self._one_by_one(sorted(others))
+        self._letters([*letters])
+        self._one_by_one([*others])
         for chunk, low, tail in joined:
             memo[chunk] = memo[low] + memo[tail]
 
@@ -131,9 +169,11 @@ class ChunkEncoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO:
-            self.memo = {"": b""}
+            self.memo = self._fresh_memo()
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         memo = self.memo
+        if self.direct:
+            return [b"".join(map(memo.__getitem__, chunks)) for chunks in cut]
         if fresh := list({c for chunks in cut for c in chunks if c not in memo}):
             self._learn(fresh)
         return [b"".join(map(memo.__getitem__, chunks)) for chunks in cut]

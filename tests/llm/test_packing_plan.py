@@ -4,9 +4,10 @@ import bisect
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from tallyseq.llm import packing
+from tallyseq.llm import packing, queries
 
 
 def best_fit_decreasing(histogram, capacity=4096):
@@ -63,3 +64,14 @@ def test_dynamic_program_equals_brute_force():
         want = max(2 * a + 4 * b + 5 * c for a in range(11) for b in range(7) for c in range(5) if 3 * a + 5 * b + 7 * c <= room)
         assert best[room] == want
     assert packing.plan_sequences({}) == [] and packing.plan_sequences({4096: 2}) == [(2, ((4096, 1),))]
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_chunks_equal_the_tokenizer(direct):
+    encoder = packing.ChunkEncoder(public_tokenizers.path(queries.PACK_TOKENIZER))
+    assert encoder.direct
+    encoder.direct = direct
+    encoder.memo = encoder._fresh_memo()
+    texts = ["a.b c,,d don't I'm it's 'tis x's.", "İstanbul ß ŒUVRE ÀÉ é́ é. ǅ Ǆ ŉ", "中文 a中  x \x1c y \xa0z", "", "  ", "\n\n a", "!!! A! ÿ? Ÿ?", "ſ ﬁ ª º µ \U0001f600", "3.14 2024-01-01 a1b2 under_score CamelCase"]
+    for text, got in zip(texts, encoder.encode_all(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
