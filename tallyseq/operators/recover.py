@@ -33,6 +33,12 @@ def length_passes(length: Column, low: int = -1, high: int = -1) -> Column:
     return (F.lit(low == -1) | (length >= low)) & (F.lit(high == -1) | (length <= high))
 
 
+def mark_passing(amplicons: DataFrame, low: int = -1, high: int = -1) -> DataFrame:
+    """Add ``pass``: the length lies within the bounds and a forward primer faces a reverse one. Nothing is dropped."""
+    facing = (F.col("up_type") == "fwd") & (F.col("down_type") == "rev")
+    return amplicons.withColumn("pass", length_passes(F.col("length"), low, high) & facing)
+
+
 def group_pairs(amplicons: DataFrame) -> DataFrame:
     """One row per (fwd, rev): the first amplicon by gene and transcript, counts, and all transcripts.
 

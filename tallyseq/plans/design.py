@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import audit
-from tallyseq.operators import design
+from tallyseq.operators import design, recover
+from tallyseq.plans import catalog
 from tallyseq.sources import views
 
 FWD, REV = (design.order_prefix(k) for k in ("fwd", "rev"))
@@ -111,6 +112,17 @@ def name_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", F.explode(audit(F.col("names"))).alias("d")).select("id", "d.*")
 
 
+def passing_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recover.mark_passing(catalog.amplicons(spark, sf_dir), 20, 40)
+
+
+def parsed_sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of one to seven fields."""
+    fields = ", ".join(f"concat('{name}', p_partkey % {n})" for n, name in zip((97, 40, 7, 5, 3, 11, 2), "TGXYZSK", strict=True))
+    rows = _parts(spark, sf_dir, "p_partkey AS id", f"array_join(slice(array({fields}), 1, 1 + cast(p_partkey % 7 AS int)), '|') AS seq_id")
+    return rows.select("id", *[c.alias(n) for n, c in recover.split_seq_id(F.col("seq_id")).items()])
+
+
 def pair_complement_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _parts(spark, sf_dir, "p_partkey AS pair_id", "substring(cut, 1, 14) AS one", "substring(cut, 15, 14) AS two")
     return rows.select("pair_id", F.explode(design.complement_words("one", "two", 4, 8)).alias("w")).select("pair_id", "w.*")
@@ -172,6 +184,11 @@ WITH {_PARTS}, pool AS (SELECT substr(cut, 1, 5) AS primer_seq, CASE WHEN p_size
 SELECT primer_seq, 'T' || p_partkey AS transcript_id, p_size AS start, p_size + 4 AS "end", primer_type, pool FROM parts JOIN pool ON primer_seq = substr(cut, 1, 5)
 """,
     "checked_primers": f"WITH {_PARTS} SELECT p_partkey AS primer_id, substr(cut, 1, 7) || CASE WHEN p_size % 13 = 0 THEN 'N' ELSE '' END || substr(cut, 8, 7) AS seq, p_size % 13 <> 0 AS valid FROM parts",
+    "passing_amplicons": f"SELECT *, length BETWEEN 20 AND 40 AND up_type = 'fwd' AND down_type = 'rev' AS pass FROM ({catalog.oracle_sql()['amplicons']})",
+    "parsed_sequence_ids": """
+SELECT p_partkey AS id, concat('T', p_partkey % 97) AS transcript_id, CASE WHEN p_partkey % 7 >= 1 THEN concat('G', p_partkey % 40) ELSE '_NA' END AS gene_id,
+    CASE WHEN p_partkey % 7 >= 5 THEN concat('S', p_partkey % 11) ELSE concat('T', p_partkey % 97) END AS gene_symbol FROM part
+""",
     "name_audit": """
 WITH kinds AS (
     SELECT p_partkey AS id, p_partkey % 3 AS m, [x FOR x, i IN [concat('Abcd', p_partkey % 9), concat('Gm', 100 + p_partkey % 5), concat('Abcd', p_partkey % 9, '-Xyz', p_partkey % 4), concat('Xyz', p_partkey % 3),
@@ -208,6 +225,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         located_primers,
         checked_primers,
         name_audit,
+        parsed_sequence_ids,
+        passing_amplicons,
         pair_complement_words,
     )
     return {f.__name__: f for f in own}

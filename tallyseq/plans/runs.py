@@ -69,6 +69,17 @@ def restored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.reverse_log2_cpm(counts.log2_cpm(rows), rows).where("n > 0")
 
 
+def size_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stats.size_factors(counts.molecule_counts(views.umi_groups(spark, sf_dir)))
+    return found.select("sample", F.round("size_factor", 9).alias("size_factor"))
+
+
+def centered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = counts.molecule_counts(views.umi_groups(spark, sf_dir)).select("sample", "feature", F.col("n").cast("double").alias("value"))
+    batches = spark.range(6).selectExpr("concat('s', id) AS sample", "concat('b', id % 2) AS batch")
+    return stats.center_batches(values, batches).select("sample", "feature", F.round("value", 9).alias("value"))
+
+
 _GROUPS = """groups AS (
     SELECT concat('s', l_orderkey % 6) AS sample, concat(l_orderkey, '_', l_linenumber) AS read_id,
         concat(CASE WHEN l_partkey % 7 = 0 THEN 'Unassigned,'
@@ -160,13 +171,21 @@ WITH {_MOLECULES}, totals AS (SELECT sample, sum(n)::BIGINT AS total FROM molecu
     FROM metadata m JOIN totals t USING (sample) LEFT JOIN totals o ON o.sample = m.depth_of
 )
 SELECT concat(sample, '_rarefied_', j) AS sample, depth_of, batch, total, target, sample AS original_sample FROM wanted, range({REPEATS}) r(j) WHERE j = 0 OR total > target
+""",
+    "size_factors": f"""
+WITH {_MOLECULES}, means AS (SELECT feature, avg(ln(n)) AS m FROM molecules GROUP BY feature HAVING count(*) = (SELECT count(DISTINCT sample) FROM molecules))
+SELECT sample, round(exp(median(ln(n) - m)), 9) AS size_factor FROM molecules JOIN means USING (feature) GROUP BY sample
+""",
+    "centered_batches": f"""
+WITH {_MOLECULES}, b AS (SELECT *, substr(sample, 2)::INT % 2 AS batch FROM molecules)
+SELECT sample, feature, round(n - avg(n) OVER (PARTITION BY feature, batch) + avg(n) OVER (PARTITION BY feature), 9) AS value FROM b
 """,
     "restored_counts": f"WITH {_MOLECULES} SELECT sample, feature, n FROM molecules",
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (qc_metrics, record_tags, mate_counts, repeated_reads, base_statistics, normalized_counts, torn_reads, rarefaction_plan, restored_counts)
+    own = (qc_metrics, record_tags, mate_counts, repeated_reads, base_statistics, normalized_counts, torn_reads, rarefaction_plan, restored_counts, size_factors, centered_batches)
     return {f.__name__: f for f in own}
 
 
