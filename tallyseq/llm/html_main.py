@@ -41,7 +41,8 @@ CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 KEEPS_OPEN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 _PLAIN = re.compile(r"[^>\"']*")
 _NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
-_ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))|\s(hidden)\b")
+#: A name, taken whole, and its value if it has one; a run of letters is read once.
+_ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 TOKEN_GROUPS = {
     "nav": "nav navbar navigation menu breadcrumb breadcrumbs toc tabs pagination pager links skip",
@@ -176,7 +177,7 @@ def parse(page: str) -> Node:
             if over:
                 leave(min(over))
         whole = page[start:end]
-        attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTR.finditer(whole) if a[1]} if " " in whole or "\n" in whole else {}
+        attrs = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTR.finditer(whole) if a.lastindex > 1} if " " in whole or "\n" in whole else {}
         run = None
         if name in VOID:
             continue

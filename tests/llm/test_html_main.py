@@ -41,6 +41,11 @@ SHAPES = {
     "quotes that never close": lambda n: "<a b='" * n,
     "cells": lambda n: "<td>" * n,
     "signs": lambda n: "</" * n + "<" * n,
+    "letters in a tag": lambda n: "<div " + "a" * 13 * n + ">",
+    "spaces in a tag": lambda n: "<div a" + " " * 13 * n + ">",
+    "names in a tag": lambda n: "<div " + "a " * 6 * n + ">",
+    "signs in a tag": lambda n: "<div " + "a=" * 6 * n + ">",
+    "quotes in a tag": lambda n: "<div " + "a='' b=\"" * 2 * n + ">",
 }
 
 
@@ -54,6 +59,7 @@ def test_parser_is_linear(shape):
             best = min(best, time.perf_counter() - began)
         return best
 
+    assert shape.endswith("in a tag") is False or seconds(80_000) < 1  # a tag of 1 MB
     assert seconds(80_000) < 16 * seconds(10_000) + 0.2  # eight times as long; the square would be 64 times
 
 
