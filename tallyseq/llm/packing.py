@@ -6,8 +6,9 @@ from the lengths themselves, each round the best configurations under the prices
 programming, and the price of what they cover too often falls. The best prices seen also bound the number
 of sequences from below. Rounding makes whole sequences: the longest piece that is left opens one, the dynamic program over
 what is left completes it, and the sequence is repeated as often as the pieces allow. The shortest
-pieces may wait, a small share of all tokens, until the same program puts them into the gaps. Weights
-move only if the sequences rounded from the prices before are not close enough to the bound. No piece is placed by another rule.
+pieces may wait, a small share of all tokens, until the same program puts them into the gaps. No piece is placed by another rule.
+Where sequences can be filled to the brim the lengths are themselves the best prices, and the rounds find no higher bound; where
+they cannot, say with pieces of a third to a half of a sequence, the weights move.
 Sequences are kept as groups of equal content, so that the work does not grow with their number. Pieces
 then find their places by their length and their rank among pieces of that length.
 
@@ -44,10 +45,9 @@ CLASSES = 128
 ROUNDS = 150
 #: Share of the tokens, in the shortest pieces, that may wait for gaps.
 FILLER = 0.06
-#: Sequences above the bound that are close enough, as a share.
-CLOSE = 0.001
-#: Distinct chunks of text whose ids a worker remembers at most.
-MEMO = 600_000
+#: Bytes that a worker remembers of chunks of text and their ids before it begins anew, and the longest chunk that it remembers.
+MEMO_BYTES = 1 << 27
+LONG_CHUNK = 64
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters below this code point have one lower-case form, wherever they stand.
 LATIN_END = "\u0250"
@@ -63,14 +63,20 @@ _encoders: dict[str, ChunkEncoder] = {}
 
 
 class Memo(dict):
-    """Ids of chunks, made by ``make`` when first asked for."""
+    """Ids of chunks, made by ``make`` when first asked for; ``held`` is about the bytes that they take."""
 
-    def __init__(self, make):
+    def __init__(self, make=None):
         super().__init__({"": b""})
-        self.make = make
+        self.make, self.held = make, 0
+
+    def __setitem__(self, chunk: str, ids: bytes) -> None:
+        super().__setitem__(chunk, ids)
+        self.held += 4 * len(chunk) + len(ids) + 160
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self[chunk] = self.make(chunk)
+        ids = self.make(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            self[chunk] = ids
         return ids
 
 
@@ -100,10 +106,10 @@ class ChunkEncoder:
         hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
         self.alphabet = {b: 256 + n for n, b in enumerate(hidden)}
         self.direct = all(self._merged(w) == np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in PROBES)
-        self.memo: dict[str, bytes] = self._fresh_memo()
+        self.memo = self._fresh_memo()
 
-    def _fresh_memo(self) -> dict[str, bytes]:
-        return Memo(self._make) if self.direct else {"": b""}
+    def _fresh_memo(self) -> Memo:
+        return Memo(self._make if self.direct else None)
 
     @classmethod
     def of(cls, path: str) -> ChunkEncoder:
@@ -168,7 +174,7 @@ class ChunkEncoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO:
+        if self.memo.held > MEMO_BYTES:
             self.memo = self._fresh_memo()
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         memo = self.memo
@@ -257,7 +263,7 @@ def weighted_prices(lengths: np.ndarray, counts: np.ndarray, capacity: int, clas
     """Prices of the lengths by multiplicative weights; no configuration of size classes costs more than 1.
 
     A round takes, for each class, the best configuration that holds it, if its price is within ``slack`` of the best of all.
-    Of the prices of all rounds and their average those of the highest bound are returned.
+    Of the prices of all rounds and their average those of the highest bound are returned, in a class in proportion to the lengths.
     """
     of, sizes, demand = size_classes(lengths, counts, classes)
     prices, average, top, found = sizes / capacity, np.zeros(len(sizes)), 0.0, sizes / capacity
@@ -280,7 +286,8 @@ def weighted_prices(lengths: np.ndarray, counts: np.ndarray, capacity: int, clas
         over = cover * bound / dealt / demand - 1
         prices = prices * np.exp(-step / np.sqrt(1 + turn / 12) * np.clip(over, -1, 1.5))
     average /= best_values(average, sizes, capacity)[-1]
-    return (average if float((demand * average).sum()) > top else found)[of]
+    chosen = average if float((demand * average).sum()) > top else found
+    return (chosen / sizes)[of] * lengths
 
 
 def rounded(lengths: np.ndarray, counts: np.ndarray, prices: np.ndarray, capacity: int, waiting: float) -> list[Group]:
@@ -340,18 +347,9 @@ def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, classes:
     if not len(lengths):
         return whole
     counts = np.array([histogram[int(l)] for l in lengths], dtype=np.int64)
-    start = lengths / capacity
-    close = -(-int((lengths * counts).sum()) // capacity) * (1 + CLOSE)
-    best = None
-    for prices in (lambda: start, lambda: weighted_prices(lengths, counts, capacity, classes, rounds)):
-        own = 0.999 * prices() + 0.001 * start  # of equal prices the fuller sequence
-        for waiting in (FILLER, 0.0):
-            made = rounded(lengths, counts, own, capacity, waiting)
-            if best is None or sum(n for n, _ in made) < sum(n for n, _ in best):
-                best = made
-            if sum(n for n, _ in best) <= close:
-                return whole + best
-    return whole + best
+    prices = weighted_prices(lengths, counts, capacity, classes, rounds)
+    own = 0.999 * prices + 0.001 * lengths / capacity  # of equal prices the fuller sequence
+    return whole + min((rounded(lengths, counts, own, capacity, waiting) for waiting in (FILLER, 0.0)), key=lambda made: sum(n for n, _ in made))
 
 
 def runs_of(plan: list[tuple[int, tuple[tuple[int, int], ...]]]) -> np.ndarray:

@@ -1,6 +1,7 @@
 """The packing plan against best-fit-decreasing, piece by piece."""
 
 import bisect
+import time
 from collections import Counter
 
 import numpy as np
@@ -57,6 +58,41 @@ def test_plan_needs_no_more_than_best_fit(name, histogram):
     assert sum(n for n, _ in plan) <= best_fit_decreasing(histogram)
 
 
+def test_weights_make_the_plan(spark, monkeypatch):
+    """The plan of the documents' own histogram is rounded from the weights' prices, at each size; where lengths price badly they move."""
+    encoder = packing.ChunkEncoder.of(public_tokenizers.path(queries.PACK_TOKENIZER))
+    lengths = [len(encoder.encode(r.text or "")) // 4 + 1 for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    histogram = Counter(l % 4096 for l in lengths if l % 4096) + Counter({4096: sum(l // 4096 for l in lengths)})
+    made = []
+    monkeypatch.setattr(packing, "weighted_prices", lambda *a, own=packing.weighted_prices: made.append((own(*a), a[0])) or made[-1][0])
+    for times, most in ((1, 221), (100, 22_056), (1000, 220_557)):
+        began = time.perf_counter()
+        plan = packing.plan_sequences({l: times * n for l, n in histogram.items()})
+        assert sum(n for n, _ in plan) <= most and time.perf_counter() - began < 30
+        prices = dict(zip(made[-1][1].tolist(), made[-1][0].tolist(), strict=True))
+        priced = [sum(c * prices[l] for l, c in content) for n, content in plan if content != ((4096, 1),) for _ in range(1)]
+        assert max(priced) <= 1 + 1e-9 and np.median(priced) > 0.98  # columns of the program at these prices
+    packing.plan_sequences(dict.fromkeys(range(1300, 2100), 100))
+    prices, sizes = made[-1]
+    assert len(made) == 4 and np.ptp(prices / sizes) > 0.1 * (prices / sizes).mean()
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_memory_of_the_encoder(monkeypatch, direct):
+    """Unspaced texts are not remembered; what is stays under a bound of bytes."""
+    monkeypatch.setattr(packing, "MEMO_BYTES", 1 << 20)
+    encoder = packing.ChunkEncoder(public_tokenizers.path(queries.PACK_TOKENIZER))
+    encoder.direct = direct
+    encoder.memo = encoder._fresh_memo()
+    for k in range(40):
+        text = "".join(chr(0x4E00 + (k * 7919 + i * 31) % 20_000) for i in range(20_000))
+        lines = "\n".join(text[i : i + 1000] for i in range(0, len(text), 1000))
+        for one in (text, lines, " ".join(f"w{k}x{i}" for i in range(3000))):
+            encoder.encode(one)
+            assert sum(len(c.encode()) + len(i) for c, i in encoder.memo.items()) < 3 << 20
+    assert encoder.encode("w1x1 is new") == np.array(encoder.tokenizer.encode("w1x1 is new", add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_dynamic_program_equals_brute_force():
     sizes, prices = np.array([3, 5, 7]), np.array([2.0, 4.0, 5.0])
     best = packing.best_values(prices, sizes, 30)
