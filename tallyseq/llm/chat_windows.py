@@ -7,10 +7,11 @@ once. A turn that is longer than the budget makes a window of its own, whole. A
 ``system_budget`` tokens stands in the first window only, as one of its new turns; so windows never repeat more than
 the system and history budgets allow, and a window is over its budget only where one turn does not fit beside the system turn.
 
-A conversation of usual length is formatted by one task, whose rows stream by in order after one shuffle. The rows of a
-long conversation are cut into blocks of turn numbers that are formatted by different tasks; a block gets the
+No window crosses a multiple of ``BLOCK`` turn numbers, so the windows of a conversation depend on it and the budgets alone.
+A conversation of usual length is formatted by one task, whose rows stream by in order after one shuffle. The blocks of a
+long conversation are formatted by different tasks, which give the same windows: a block gets the
 system turn and the last turns before it in order, however turn numbers are spread. What counts as long follows from the number of rows,
-so that long conversations are few enough to broadcast their ids.
+so that long conversations are few enough to broadcast their ids; it decides who formats a conversation, not how.
 
 Defined results for odd input: a null text or role is empty; a text of any length is formatted whole; a null turn sorts first; rows
 of one turn number are ordered by role and text, equal rows are turns of their own; a null conversation is one like any other;
@@ -25,7 +26,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -93,6 +94,13 @@ class Windows:
         self.past: deque = deque(maxlen=max(history_turns, 1))
         self.new: list[tuple[str, str, int]] = []
         self.new_tokens, self.number, self.lead = 0, 0, 0
+        self.began = False  # whether a turn of the conversation itself has come
+
+    def go_on(self, block) -> Iterator[dict]:
+        """Enter the next block of the conversation."""
+        if self.new:
+            yield self.close()
+        self.block, self.number = block, 0
 
     def _history(self) -> list:
         out, room = [], self.history_budget
@@ -152,12 +160,14 @@ def _format_rows(tokenizer: tuple[str, str], *budgets: int):
         open_, key = None, None
         for rows in batches:
             out = []
-            for conv, block, part, role, text in zip(rows["conv_id"], rows["block"], rows["part"], rows["role"], rows["text"], strict=True):
+            for conv, whole, block, part, role, text in zip(rows["conv_id"], rows["whole"], rows["block"], rows["part"], rows["role"], rows["text"], strict=True):
                 conv = None if pd.isna(conv) else int(conv)
-                if open_ is None or (conv, block) != key:
+                if open_ is None or (conv, None if whole else block) != key:
                     if open_ is not None and open_.new:
                         out.append(open_.close())
-                    open_, key = Windows(conv, block, *budgets), (conv, block)
+                    open_, key = Windows(conv, block, *budgets), (conv, None if whole else block)
+                elif block != open_.block:
+                    out += open_.go_on(block)
                 turn = (role, text, len(encoding.encode_to_numpy(format_turn(role, text)[0], disallowed_special=())))
                 if part == 0:  # the system turn of a block that does not hold it
                     open_.keep(turn)
@@ -165,8 +175,9 @@ def _format_rows(tokenizer: tuple[str, str], *budgets: int):
                     open_.past.append(turn)
                 else:
                     out += open_.add(turn)
-                    if part == 2 and open_.system is None and open_.number == 0 and len(open_.new) == 1 and role == "system":
+                    if part == 2 and not open_.began and role == "system":
                         open_.keep(turn)
+                    open_.began = True
             if out:
                 yield pd.DataFrame(out, columns=_columns(KIND)).astype({"conv_id": "Int64"})
         if open_ is not None and open_.new:
@@ -175,15 +186,29 @@ def _format_rows(tokenizer: tuple[str, str], *budgets: int):
     return run
 
 
+#: What the formatter reads: whether a task has the whole conversation, and the role that a row has in its block.
+ROW = ("conv_id", "whole", "block", "part", "turn", "role", "text")
+
+
+def _block_of(turn: Column, block: int) -> Column:
+    return F.coalesce(F.floor(turn / block), F.lit(-(1 << 62)))
+
+
 def _in_order(rows: DataFrame) -> DataFrame:
     """The rows of each block in one partition, context first."""
     own = F.when(F.col("part") > 1, 2).otherwise(F.col("part"))
     return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", own, "turn", "role", "text")
 
 
+def _whole(rows: DataFrame, block: int) -> DataFrame:
+    """The rows of each conversation in one partition, in order."""
+    marked = rows.withColumns({"whole": F.lit(True), "block": _block_of(F.col("turn"), block), "part": F.lit(2)})
+    return marked.select(*ROW).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+
+
 def _blocks(rows: DataFrame, block: int, history_turns: int) -> DataFrame:
     """The rows of long conversations with their blocks, and what each block repeats of the rows before it."""
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))))
+    rows = rows.withColumn("block", _block_of(F.col("turn"), block))
     known = rows.groupBy("conv_id", "block").agg(F.min(F.struct("turn", "role", "text")).alias("first"))
     home = known.groupBy("conv_id").agg(F.min(F.struct("block", "first")).alias("f")).select(F.col("conv_id").alias("of"), F.col("f.block").alias("home"), F.col("f.first").alias("first"))
     same = F.col("conv_id").eqNullSafe(F.col("of"))
@@ -228,13 +253,12 @@ def split_windows(
     sizes = materialize(rows.groupBy("conv_id").agg(F.count("*").alias("turns")).where(F.col("turns") > long))
     longest = max(long, -(-rows.count() // MOST_LONG))
     of = sizes.where(F.col("turns") > longest).select(F.col("conv_id").alias("of"))
-    one_block = lambda some: some.select("conv_id", F.lit(0).cast("long").alias("block"), F.lit(2).alias("part"), "turn", "role", "text")
     if not of.limit(1).count():
-        return _in_order(one_block(rows)).mapInPandas(made, KIND), None
+        return _whole(rows, block).mapInPandas(made, KIND), None
     same = F.col("conv_id").eqNullSafe(F.col("of"))
-    usual = _in_order(one_block(rows.join(F.broadcast(of), same, "left_anti"))).mapInPandas(made, KIND)
+    usual = _whole(rows.join(F.broadcast(of), same, "left_anti"), block).mapInPandas(made, KIND)
     parted = _blocks(rows.join(F.broadcast(of), same, "left_semi"), block, history_turns)
-    return usual, _in_order(parted.select("conv_id", "block", "part", "turn", "role", "text")).mapInPandas(made, KIND)
+    return usual, _in_order(parted.withColumn("whole", F.lit(False)).select(*ROW)).mapInPandas(made, KIND)
 
 
 def format_windows(turns: DataFrame, tokenizer: tuple[str, str], **how: int) -> DataFrame:
