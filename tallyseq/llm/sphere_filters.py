@@ -53,6 +53,11 @@ def words_for(vectors: int, least_filters: int) -> int:
     return min(MOST_WORDS, max(FEWEST_WORDS, math.ceil(wanted)))
 
 
+def codes_for(words: int, codes: int) -> int:
+    """Codes that keep recall where they have many words: a code of more words tells less of a pair, so 2 come with each doubling above 300."""
+    return codes + max(0, math.ceil(2.1 * math.log2(words / 300)))
+
+
 class ProductCode:
     """``words ** 4`` directions in ``dim`` dimensions; fewer dimensions than blocks need are filled up with zeros."""
 
@@ -258,6 +263,7 @@ def embedding_duplicates(
     rows = vectors.select(F.col(id_col).alias("id"), F.when(usable, v).alias("v"))
     rows = rows.withColumns({"h1": F.xxhash64(F.lit(1), "v"), "h2": F.xxhash64(F.lit(2), "v")})
     words = words_for(vectors.count(), least_filters)
+    codes = codes_for(words, codes)
     classes = rows.where("v is not null").groupBy("h1", "h2").agg(F.min("id").alias("low"), F.count("*").alias("copies"), F.any_value("v").alias("v"))
     classes = classes.withColumn("rep", F.monotonically_increasing_id())
     kind = {f.name: f.dataType.simpleString() for f in classes.schema}

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from tallyseq.llm import sphere_filters
 
 
-@pytest.mark.parametrize(("cosine", "words", "least"), [(0.95, 50, 0.99), (0.96, 50, 0.99), (0.95, 300, 0.97)])
+@pytest.mark.parametrize(("cosine", "words", "least"), [(0.95, 50, 0.99), (0.96, 50, 0.99), (0.95, 300, 0.97), (0.95, 600, 0.97), (0.95, 1000, 0.97), (0.95, sphere_filters.MOST_WORDS, 0.97)])
 def test_recall_near_the_threshold(cosine, words, least):
     draw, n, dim = np.random.default_rng(4), 3000, 64
+    codes = sphere_filters.codes_for(words, 6)
     v, u = (draw.standard_normal((n, dim)) for _ in range(2))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
     u -= (u * v).sum(axis=1, keepdims=True) * v
     w = cosine * v + math.sqrt(1 - cosine**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
-    a, b = (sphere_filters.filters_of([*x], words, 6, 6, 7) for x in (v, w))
+    a, b = (sphere_filters.filters_of([*x], words, 6, codes, 7) for x in (v, w))
     met = [bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True)]
     assert np.mean(met) >= least
 
