@@ -24,6 +24,12 @@ def umi_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as counts (sample, feature, n) of twelve samples, odd ones with other depths and one feature less."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_suppkey % 12 AS s", "l_partkey % 60 AS f").where("f <> 59 OR s % 2 = 0")
+    return rows.groupBy("s", "f").agg(F.count("*").alias("n")).selectExpr("concat('s', s) AS sample", "concat('G', f) AS feature", "n * (1 + f % 5 * (1 + s % 2)) AS n")
+
+
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as alignment records, some mates and some repeated primaries, in order ``ord``."""
     return table(spark, sf_dir, "lineitem").selectExpr(
