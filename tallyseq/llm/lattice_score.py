@@ -13,6 +13,8 @@ word's count and score come back to the documents. Words with more than 1 / ``HO
 a join. The expected counts that reach the driver are one number per piece of the vocabulary. They are whole
 numbers, so sums don't depend on the order of the tasks.
 
+Words of one length go through the recursion together, as arrays over a table of transitions; those longer than ``KEY_BYTES`` go alone.
+
 Memory: a task counts at most ``MOST_WORDS`` words or ``MOST_BYTES`` of text before it passes them on, long texts are cut at white
 space for it, words longer than ``KEY_BYTES`` are compared by a digest, and the recursion keeps two numbers per byte of a word.
 
@@ -57,6 +59,8 @@ PARTS = 1 << 24
 NOTHING, BEGINNING = 1.0, 2.0
 #: Names within the program; an id named so comes out as name + ``_input``.
 ADDED_NAMES = "held text rid words base log_p known rest rest_base rest_log_p rest_known held_out n_tokens n_known train_tokens base_score score".split()
+#: Words that go through the recursion together.
+TOGETHER = 2048
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -134,6 +138,86 @@ def expect(word: bytes, times: int, table: dict[bytes, float], longest: int, int
                 into[piece] = into.get(piece, 0) + part * times
 
 
+class Lattice:
+    """A model as a table of transitions between beginnings of pieces: state 0 leads nowhere, state 1 is the empty beginning."""
+
+    def __init__(self, model: dict[bytes, float]):
+        self.table, self.longest = log_table(model)
+        self.names = [b"", b"", *self.table]
+        number = {name: i for i, name in enumerate(self.names)}
+        number[b""] = 1
+        self.step = np.zeros((len(self.names), 256), np.int32)
+        self.log_p = np.full(len(self.names), -np.inf)
+        for i, name in enumerate(self.names[2:], 2):
+            self.step[number[name[:-1]], name[-1]] = i
+            if (p := self.table[name]) <= 0:
+                self.log_p[i] = p
+
+    def _states(self, words: np.ndarray) -> list[np.ndarray]:
+        """For each length of a piece, the state that it reaches from each place of each word."""
+        out, state = [], np.ones(words.shape, np.int32)
+        for size in range(1, min(words.shape[1], self.longest) + 1):
+            state = self.step[state[:, : words.shape[1] - size + 1], words[:, size - 1 :]]
+            if not state.any():
+                break
+            out.append(state)
+            state = state[:, :-1] if state.shape[1] > 1 else state
+        return out
+
+    def reached(self, words: np.ndarray, logs: list[np.ndarray]) -> np.ndarray:
+        """Log of the summed probability of all cuts of each beginning."""
+        n = words.shape[1]
+        alpha = np.full((len(words), n + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        for j in range(1, n + 1):
+            alpha[:, j] = _log_sum([alpha[:, j - k] + logs[k - 1][:, j - k] for k in range(1, min(j, len(logs)) + 1)])
+        return alpha
+
+    def scores(self, words: np.ndarray) -> np.ndarray:
+        """Log probability of each row of bytes."""
+        return self.reached(words, [self.log_p[s] for s in self._states(words)])[:, -1]
+
+    def expected(self, words: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States of pieces and their expected occurrences in whole ``PARTS``, as Python numbers."""
+        n, states = words.shape[1], self._states(words)
+        logs = [self.log_p[s] for s in states]
+        alpha = self.reached(words, logs)
+        beta = np.full((len(words), n + 1), -np.inf)
+        beta[:, n] = 0.0
+        for i in range(n - 1, -1, -1):
+            beta[:, i] = _log_sum([logs[k - 1][:, i] + beta[:, i + k] for k in range(1, min(n - i, len(logs)) + 1)])
+        high, low = (np.zeros(len(self.names), np.int64) for _ in range(2))
+        for k, (state, log_p) in enumerate(zip(states, logs, strict=True), 1):
+            parts = np.rint(np.exp(alpha[:, : n - k + 1] + log_p + beta[:, k:] - alpha[:, n:]) * PARTS).astype(np.int64)
+            some = np.nonzero(parts)
+            part, own = parts[some], times[some[0]]
+            np.add.at(low, state[some], part * (own & 0xFFFFF))
+            np.add.at(high, state[some], part * (own >> 20))
+        held = np.flatnonzero((low > 0) | (high > 0))
+        return held, low[held].astype(object) + high[held].astype(object) * (1 << 20)
+
+
+def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
+    if len(terms) == 1:
+        return terms[0]
+    stacked = np.stack(terms)
+    top = stacked.max(axis=0)
+    return top + np.log(np.exp(stacked - top).sum(axis=0))
+
+
+def by_length(words: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
+    """Marked words of up to ``KEY_BYTES`` in groups of one length: their places, and a row of bytes for each."""
+    places: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        if len(word) <= KEY_BYTES:
+            places.setdefault(len(word), []).append(i)
+    for size, at in places.items():
+        for k in range(0, len(at), TOGETHER):
+            some = at[k : k + TOGETHER]
+            data = np.frombuffer(b"".join([MARK + words[i] for i in some]), np.uint8)
+            yield some, data.reshape(len(some), size + len(MARK))
+
+
 def text_words(text: bytes | None) -> Iterator[list[bytes]]:
     """The words of a text, A to Z in lower case, in lists of about ``CHUNK`` bytes."""
     at, text = 0, text or b""
@@ -177,7 +261,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         yield from flush()
 
     rows = docs.select("held", "text").mapInArrow(count, "key binary, word binary, trained long, seen long")
-    return rows.groupBy("key").agg(F.first("word", ignorenulls=True).alias("word"), F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
+    return rows.groupBy("key", "word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
 
 
 def train(words: DataFrame, ends: int, prior: dict[bytes, float], rounds: int = ROUNDS) -> dict[bytes, float]:
@@ -185,13 +269,17 @@ def train(words: DataFrame, ends: int, prior: dict[bytes, float], rounds: int =
     learned = words.where("trained > 0").select(F.coalesce("word", "key").alias("word"), "trained")
     model = prior
     for _ in range(rounds):
-        table, longest = log_table(model)
 
-        def expected(batches: Iterable[pa.RecordBatch], table: dict = table, longest: int = longest) -> Iterator[pa.RecordBatch]:
-            into: dict[bytes, int] = {}
+        def expected(batches: Iterable[pa.RecordBatch], model: dict = model) -> Iterator[pa.RecordBatch]:
+            lattice, into = Lattice(model), {}
             for batch in batches:
-                for word, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    expect(MARK + word, times, table, longest, into)
+                words, times = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+                for some, data in by_length(words):
+                    for state, parts in zip(*lattice.expected(data, times[some]), strict=True):
+                        into[lattice.names[state]] = into.get(lattice.names[state], 0) + parts
+                for word, n in zip(words, times.tolist(), strict=True):
+                    if len(word) > KEY_BYTES:
+                        expect(MARK + word, n, lattice.table, lattice.longest, into)
             yield pa.RecordBatch.from_arrays([pa.array(into, pa.binary()), pa.array(map(Decimal, into.values()), pa.decimal128(38, 0))], ["piece", "parts"])
 
         sums = learned.mapInArrow(expected, "piece binary, parts decimal(38,0)").groupBy("piece").agg(F.sum("parts").alias("parts"))
@@ -205,12 +293,17 @@ def train(words: DataFrame, ends: int, prior: dict[bytes, float], rounds: int =
 def score_words(words: DataFrame, model: dict[bytes, float]) -> DataFrame:
     """Add ``log_p``, the log probability of a word over all its cuts."""
 
-    table, longest = log_table(model)
-
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(model)
         for batch in batches:
-            told = [forward(MARK + (word or key), table, longest)[-1] for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(told, pa.float64())], ["key", "trained", "seen", "log_p"])
+            words = [word or key for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            told = np.zeros(len(words))
+            for some, data in by_length(words):
+                told[some] = lattice.scores(data)
+            for i, word in enumerate(words):
+                if len(word) > KEY_BYTES:
+                    told[i] = forward(MARK + word, lattice.table, lattice.longest)[-1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(told)], ["key", "trained", "seen", "log_p"])
 
     return words.select("key", "word", "trained", "seen").mapInArrow(score, "key binary, trained long, seen long, log_p double")
 
