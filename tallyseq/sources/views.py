@@ -74,3 +74,30 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN k % 13 = 0 THEN 'no_adapter' ELSE concat('F', k % 11) END AS adapter1",
         "concat('R', k % 11) AS adapter2",
     )
+
+
+#: Primers of a panel for each supplier.
+PANEL_EACH = 5
+
+
+def panel(spark: SparkSession, sf_dir: str, mate: str) -> DataFrame:
+    """Suppliers as five primers each, of 20 to 24 bases; ``mate`` is F or R and begins their names."""
+    rows = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k", f"explode(sequence(0, {PANEL_EACH - 1})) AS j")
+    rows = rows.selectExpr("k", "j", f"concat('{mate}', k, '_', j) AS adapter")
+    return rows.select("adapter", F.translate(F.substring(F.md5("adapter"), F.lit(1), (20 + (F.col("k") + F.col("j")) % 5).cast("int")), *BASES).alias("primer"))
+
+
+def primed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as pairs of reads, each with a primer of its panel: whole, with errors of each kind, cut at the read's start, or none."""
+    bases = "translate(md5(concat('{}', o_orderkey)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    rows = table(spark, sf_dir, "orders")
+    for mate, number, shift in (("F", 1, 0), ("R", 2, 3)):
+        key = f"concat('{mate}', (o_orderkey + {shift}) % 100 + 1, '_', o_custkey % {PANEL_EACH})"
+        rows = rows.join(panel(spark, sf_dir, mate).selectExpr("adapter AS of", f"primer AS p{number}").withColumnRenamed("of", f"of{number}"), F.expr(key) == F.col(f"of{number}"), "left")
+        p, kind = f"coalesce(p{number}, '')", f"(o_orderkey + {shift}) % 8"
+        changed = f"""CASE {kind} WHEN 0 THEN {p} WHEN 1 THEN concat(substring({p}, 1, 9), 'A', substring({p}, 11)) WHEN 2 THEN concat(substring({p}, 1, 6), substring({p}, 8))
+            WHEN 3 THEN concat(substring({p}, 1, 11), 'G', substring({p}, 12)) WHEN 4 THEN concat(substring({p}, 1, 4), 'T', substring({p}, 6, 9), 'C', substring({p}, 16))
+            WHEN 5 THEN substring({p}, 2) WHEN 6 THEN concat('G', substring({p}, 2, 8), 'G', substring({p}, 11, 7), 'G', substring({p}, 19)) ELSE '' END"""
+        before = f"CASE WHEN {kind} = 5 THEN '' ELSE substring({bases.format(f'a{number}')}, 1, cast(o_custkey % 7 AS int)) END"
+        rows = rows.withColumn(f"r{number}_seq", F.expr(f"concat({before}, {changed}, substring({bases.format(f'b{number}')}, 1, 24))"))
+    return rows.selectExpr("concat('q', o_orderkey) AS read_id", "r1_seq", "r2_seq")
