@@ -29,17 +29,23 @@ def adjust_fdr(rows: DataFrame, by: str, p: str = "p", key: str = "id") -> DataF
 
     Ranks come from a global order by family, value and key, so a family of any size is sorted by many tasks. The running
     minimum is taken in blocks of ranks; the minima of later blocks, one row a block, are carried to the earlier ones.
+    Null is a family like any other.
     """
-    ranked = global_rank(rows, F.col(by), F.col(p), F.col(key), name="__rank")
-    families = ranked.groupBy(by).agg(F.count("*").alias("__n"), F.min("__rank").alias("__first"))
-    placed = join_hot(ranked, families, by, ranked.count(), "__n").withColumn("__block", F.expr(f"__rank div {BLOCK}"))
+    rows, whole = rows.withColumns({"__none": F.col(by).isNull(), "__family": F.col(by)}), rows.columns
+    keys = ["__none", "__key"]
+    kind = rows.schema["__family"].dataType
+    filler = {"string": F.lit("")}.get(kind.simpleString(), F.lit(0).cast(kind))  # joins and windows see no null
+    rows = rows.withColumn("__key", F.coalesce("__family", filler)).drop("__family")
+    ranked = global_rank(rows, *[F.col(k) for k in keys], F.col(p), F.col(key), name="__rank")
+    families = ranked.groupBy(*keys).agg(F.count("*").alias("__n"), F.min("__rank").alias("__first"))
+    placed = join_hot(ranked, families, keys, ranked.count(), "__n").withColumn("__block", F.expr(f"__rank div {BLOCK}"))
     valued = placed.withColumn("__v", F.col(p) * F.col("__n") / (F.col("__rank") - F.col("__first") + 1))
-    later = Window.partitionBy(by).orderBy(F.col("__block").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = valued.groupBy(by, "__block").agg(F.min("__v").alias("__least")).select(by, "__block", F.min("__least").over(later).alias("__later"))
-    own = F.min("__v").over(Window.partitionBy(by, "__block").orderBy(F.col("__rank").desc()))
-    sized = valued.withColumn("__own", own).join(carried, [by, "__block"])
+    later = Window.partitionBy(*keys).orderBy(F.col("__block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = valued.groupBy(*keys, "__block").agg(F.min("__v").alias("__least")).select(*keys, "__block", F.min("__least").over(later).alias("__later"))
+    own = F.min("__v").over(Window.partitionBy(*keys, "__block").orderBy(F.col("__rank").desc()))
+    sized = valued.withColumn("__own", own).join(carried, [*keys, "__block"])
     q = F.least(F.lit(1.0), F.col("__own"), F.coalesce("__later", F.lit(1.0)))
-    return sized.select(*rows.columns, q.alias("q"))
+    return sized.select(*whole, q.alias("q"))
 
 
 def top_deviating(values: DataFrame, top: int) -> DataFrame:

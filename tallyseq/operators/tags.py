@@ -31,13 +31,13 @@ def with_adapters() -> Column:
 
 
 def demote_repeats(rows: DataFrame) -> DataFrame:
-    """Keep the first primary record of each mate of a name; later ones become secondary.
+    """Keep the first primary record of each mate of a name (of equal places that of the least gene); later ones become secondary.
 
     Rows are dealt by sample and name, which also serves the window here and the fold that may follow: one shuffle.
     """
     mate = F.when(has(F.col("flag"), READ1), 1).when(has(F.col("flag"), READ2), 2).otherwise(0)
     primary = ~has(F.col("flag"), NOT_PRIMARY)
-    order = Window.partitionBy("sample", "qname", mate, primary).orderBy("ord")
+    order = Window.partitionBy("sample", "qname", mate, primary).orderBy("ord", *[c for c in ("xt",) if c in rows.columns])
     repeat = primary & (mate > 0) & (F.row_number().over(order) > 1)
     dealt = rows.repartition("sample", "qname")
     return dealt.withColumn("flag", F.when(repeat, F.col("flag").bitwiseOR(SECONDARY)).otherwise(F.col("flag")))
@@ -74,25 +74,29 @@ def run_totals(names: DataFrame) -> DataFrame:
 def record_tags(rows: DataFrame, cell: str | None = "sample") -> DataFrame:
     """Each record with its plain name, flag and tags.
 
-    A primary first mate gets cb (``cell``'s value), us (first UMI), pr (primers), uc (both UMIs, if whole and both primers
-    are known) and, where the assigner wrote none, xn = -1 and xt = Unassigned. The first of its name also gets
-    xf. Other records keep xt and get no tag; repeated primaries become secondary.
+    Repeated primaries of a mate become secondary first, which their flag shows. A primary first mate gets cb (``cell``'s value), us
+    (first UMI), pr (primers), uc (both UMIs, if whole and both primers are known) and, where the assigner wrote none, xn = -1 and
+    xt = Unassigned, and xf, the genes of all records of its name. Other records keep xt and get no tag. A record that was
+    demoted keeps the tags of a first mate but xf. Records are dealt by sample and name once.
     """
-    flag = F.col("flag")
-    tagged = has(flag, READ1) & ~has(flag, NOT_PRIMARY)
-    order = Window.partitionBy("sample", "qname", tagged).orderBy("ord", "xt")
-    names = fold_names(rows).select("sample", "qname", "xf")
-    parsed = parse_names(rows).withColumn("is_first", tagged & (F.row_number().over(order) == 1)).join(names, ["sample", "qname"])
-    on = lambda c: F.when(tagged, c)
+    before = has(F.col("flag"), READ1) & ~has(F.col("flag"), NOT_PRIMARY)
+    marked = demote_repeats(rows.withColumn("tagged", before))
+    name = Window.partitionBy("sample", "qname")
+    every = F.flatten(F.collect_set(F.split("xt", ",")).over(name))
+    genes = F.array_sort(F.array_distinct(F.filter(every, lambda g: (g != "") & (g != "Unassigned"))))
+    parsed = parse_names(marked.withColumn("genes", genes))
+    on = lambda c: F.when(F.col("tagged"), c)
+    xf = F.concat_ws(",", F.when(F.size("genes") > 0, F.array_join("genes", ",")).otherwise("Unassigned"), F.col("primers"))
     return parsed.select(
         "sample",
         "read_id",
         "ord",
+        F.col("flag"),
         on(F.col(cell) if cell else F.lit(None).cast("string")).alias("cb"),
         on(F.col("umi1")).alias("us"),
         on(F.col("primers")).alias("pr"),
         on(F.when(good_umi() & with_adapters(), F.concat("umi1", "umi2"))).alias("uc"),
         on(F.when(F.col("xt").isNull(), F.lit(-1))).alias("xn"),
-        F.when(tagged, F.coalesce("xt", F.lit("Unassigned"))).otherwise(F.col("xt")).alias("xt"),
-        F.when(F.col("is_first"), F.col("xf")).alias("xf"),
+        F.when(F.col("tagged"), F.coalesce("xt", F.lit("Unassigned"))).otherwise(F.col("xt")).alias("xt"),
+        F.when(F.col("tagged") & ~has(F.col("flag"), NOT_PRIMARY), xf).alias("xf"),
     )

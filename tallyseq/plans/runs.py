@@ -31,7 +31,13 @@ def qc_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.record_tags(views.alignments(spark, sf_dir))
+    return tags.record_tags(views.alignments(spark, sf_dir)).drop("flag")
+
+
+def record_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags after the demotion of repeated primaries, and which records carry the gene tag."""
+    found = tags.record_tags(views.alignments(spark, sf_dir))
+    return found.select("sample", "read_id", "ord", "flag", F.col("xf").isNotNull().alias("folded"))
 
 
 def mate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +139,11 @@ SELECT sample, read_id, ord, CASE WHEN tagged THEN sample END AS cb, CASE WHEN t
     CASE WHEN tagged AND xt IS NULL THEN -1 END AS xn, CASE WHEN tagged AND xt IS NULL THEN 'Unassigned' ELSE xt END AS xt,
     CASE WHEN tagged AND place = 1 THEN concat(coalesce(array_to_string(found, ','), 'Unassigned'), ',', primers) END AS xf
 FROM placed LEFT JOIN genes USING (sample, read_id, umi1, umi2, primers)
+""",
+    "record_flags": f"""
+WITH {_NAMES}, mates AS (SELECT *, CASE WHEN (flag & 64) <> 0 THEN 1 WHEN (flag & 128) <> 0 THEN 2 ELSE 0 END AS mate, (flag & 2304) = 0 AS main FROM names),
+placed AS (SELECT *, main AND mate > 0 AND row_number() OVER (PARTITION BY sample, read_id, umi1, umi2, fwd, rev, mate, main ORDER BY ord, xt NULLS FIRST) > 1 AS again FROM mates)
+SELECT sample, read_id, ord, (CASE WHEN again THEN flag | 256 ELSE flag END)::INTEGER AS flag, main AND mate = 1 AND NOT again AS folded FROM placed
 """,
     "mate_counts": f"""
 WITH {_NAMES}, n AS (
@@ -185,7 +196,7 @@ SELECT sample, feature, round(n - avg(n) OVER (PARTITION BY feature, batch) + av
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (qc_metrics, record_tags, mate_counts, repeated_reads, base_statistics, normalized_counts, torn_reads, rarefaction_plan, restored_counts, size_factors, centered_batches)
+    own = (qc_metrics, record_tags, record_flags, mate_counts, repeated_reads, base_statistics, normalized_counts, torn_reads, rarefaction_plan, restored_counts, size_factors, centered_batches)
     return {f.__name__: f for f in own}
 
 

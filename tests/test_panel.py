@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import audit, simplify
-from tallyseq.operators import anneal, assign, intervals, primers, recover
+from tallyseq.operators import anneal, assign, intervals, primers, recover, stats, tags
 
 NAMES = [
     ("KLRC4-KLRK1,KLRK1", "KLRK1"),
@@ -78,3 +78,18 @@ def test_primers_with_one_error_and_none(spark):
     panel = spark.createDataFrame([("P", "ACGTACGTACGT"), ("Q", "")], "adapter string, primer string")
     found = {r["read_id"]: (r["adapter"], r["start"], r["errors"]) for r in assign.assign_primers(reads, panel, 0.1).collect()}
     assert found == {"a": ("P", 2, 1), "b": ("no_adapter", None, None), "c": ("no_adapter", None, None)}
+
+
+def test_fdr_keeps_null_families(spark):
+    rows = spark.createDataFrame([(1, "a", 0.01), (2, None, 0.02), (3, None, 0.04), (4, "", 0.5)], "id int, family string, p double")
+    got = {r.id: (r.family, round(r.q, 12)) for r in stats.adjust_fdr(rows, "family").collect()}
+    assert got == {1: ("a", 0.01), 2: (None, 0.04), 3: (None, 0.04), 4: ("", 0.5)}
+    numbers = spark.createDataFrame([(1, None, 0.5), (2, 0, 0.25), (3, 0, 0.5)], "id int, family int, p double")
+    assert {r.id: r.q for r in stats.adjust_fdr(numbers, "family").collect()} == {1: 0.5, 2: 0.5, 3: 0.5}
+
+
+def test_repeated_primaries_are_told_apart(spark):
+    name = "q1_ACGTAC_ACGTAC_F1+R1"
+    rows = spark.createDataFrame([("s", 1, name, 99, "G2"), ("s", 2, name, 99, None), ("s", 3, name, 147, "G1"), ("s", 4, name, 355, "Unassigned")], "sample string, ord int, qname string, flag int, xt string")
+    got = {r.ord: (r.flag, r.us, r.xt, r.xf) for r in tags.record_tags(rows).collect()}
+    assert got == {1: (99, "ACGTAC", "G2", "G1,G2,F1+R1"), 2: (355, "ACGTAC", "Unassigned", None), 3: (147, None, "G1", None), 4: (355, None, "Unassigned", None)}
