@@ -33,9 +33,9 @@ def molecule_counts(groups: DataFrame) -> DataFrame:
 def group_umis(reads: DataFrame) -> DataFrame:
     """Group reads by (sample, gene, umi) where all are known: adds ``umi_count`` and a ``unique_id`` hash of the group."""
     key = ["sample", "gene", "umi"]
-    known = reads.dropna(subset=key)
-    sizes = known.groupBy(*key).agg(F.count("*").alias("umi_count"))
-    return known.join(sizes, key).withColumn("unique_id", F.xxhash64(*key))
+    dealt = reads.dropna(subset=key).repartition(*key)  # the one shuffle: the count and the join find their rows in place
+    sizes = dealt.groupBy(*key).agg(F.count("*").alias("umi_count"))
+    return dealt.join(sizes.hint("merge"), key).withColumn("unique_id", F.xxhash64(*key))
 
 
 def complete(counts: DataFrame, samples: DataFrame) -> DataFrame:

@@ -16,12 +16,17 @@ BLOCK = 65_536
 def quantile_normalize(values: DataFrame) -> DataFrame:
     """Give every sample the mean distribution: a value becomes the mean over samples of its rank, ties their mean.
 
-    The table is dense, as every rank must have a value from each sample. A sample's features bound its window.
+    The table is dense, as every rank must have a value from each sample. Ranks come from one global order, so a sample of any
+    number of features is sorted by many tasks; samples and ties of many cells meet their row by a bounded broadcast.
     """
-    ranked = values.withColumn("rank", F.row_number().over(Window.partitionBy("sample").orderBy("value", "feature")))
-    means = ranked.groupBy("rank").agg(F.avg("value").alias("mean"))
-    tied = F.avg("mean").over(Window.partitionBy("sample", "value"))
-    return ranked.join(means, "rank").select("sample", "feature", tied.alias("value"))
+    ranked = global_rank(values, F.col("sample"), F.col("value"), F.col("feature"))
+    total = ranked.count()
+    firsts = ranked.groupBy("sample").agg(F.min("rank").alias("first"), F.count("*").alias("members"))
+    placed = join_hot(ranked, firsts, "sample", total).withColumn("rank", F.col("rank") - F.col("first"))
+    means = placed.groupBy("rank").agg(F.avg("value").alias("mean"))
+    met = placed.select("sample", "feature", "value", "rank").join(means, "rank")
+    tied = met.groupBy("sample", "value").agg(F.avg("mean").alias("out"), F.count("*").alias("members"))
+    return join_hot(met.select("sample", "feature", "value"), tied, ["sample", "value"], total).select("sample", "feature", F.col("out").alias("value"))
 
 
 def adjust_fdr(rows: DataFrame, by: str, p: str = "p", key: str = "id") -> DataFrame:

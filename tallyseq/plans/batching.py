@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.operators import batches, counts, draws, pairing
+from tallyseq.operators import batches, counts, draws, pairing, stabilize
 from tallyseq.plans import runs
 from tallyseq.sources import views
 
 #: Dispersions of the two batches.
 PHI = {"b0": 0.05, "b1": 0.2}
 NEIGHBOURS, TOP = 2, 40
+TREND = stabilize.Trend(0.08, 2.5)
 
 
 def _samples(spark: SparkSession, sf_dir: str, group: str) -> DataFrame:
@@ -73,6 +74,17 @@ def drawn_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy("sample", "original_sample", "target").agg(F.sum("n").alias("drawn"), F.count_if(F.col("own").isNull() | (F.col("n") > F.col("own"))).alias("too_many"))
 
 
+def stabilized_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transform under a given trend, zeros too."""
+    found = stabilize.stabilized(views.batch_counts(spark, sf_dir), TREND)
+    return found.select("sample", "feature", F.round("value", 8).alias("value"))
+
+
+def feature_dispersions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stabilize.dispersions(views.batch_counts(spark, sf_dir), _samples(spark, sf_dir, "g0").select("sample", "batch"))
+    return found.select("feature", F.round("mean", 8).alias("mean"), F.round("dispersion", 8).alias("dispersion"))
+
+
 _COUNTS = """counts AS (
     SELECT concat('s', l_suppkey % 12) AS sample, concat('G', l_partkey % 60) AS feature, count(*) * (1 + l_partkey % 60 % 5 * (1 + l_suppkey % 12 % 2)) AS n
     FROM lineitem WHERE l_partkey % 60 <> 59 OR l_suppkey % 2 = 0 GROUP BY l_suppkey % 12, l_partkey % 60
@@ -100,6 +112,8 @@ fitted AS (SELECT sample, feature, n, batch, phi, depth * exp(eta) AS mu, eta FR
 _VALUES = f"""{_COUNTS}, grid AS (SELECT sample, feature, coalesce(n, 0) AS n FROM (SELECT DISTINCT sample FROM counts) CROSS JOIN (SELECT DISTINCT feature FROM counts) LEFT JOIN counts USING (sample, feature)),
 depth AS (SELECT sample, sum(n) AS depth FROM grid GROUP BY sample),
 vals AS (SELECT sample, feature, log2(1 + n / depth * least((SELECT avg(depth) FROM depth), 1e6::DOUBLE)) AS value, CASE WHEN substr(sample, 2)::INT % 6 < 3 THEN 'g0' ELSE 'g1' END AS grp FROM grid JOIN depth USING (sample))"""
+_FACTORS = """ratios AS (SELECT feature, avg(ln(n)) AS m FROM counts GROUP BY feature HAVING count(*) = (SELECT count(DISTINCT sample) FROM counts)),
+factors AS (SELECT sample, exp(median(ln(n) - m)) AS size_factor FROM counts JOIN ratios USING (feature) GROUP BY sample)"""
 _PAIRS = f"""{_VALUES}, tops AS (SELECT feature FROM vals GROUP BY feature ORDER BY stddev_samp(value) DESC, feature LIMIT {TOP}),
 centred AS (SELECT sample, grp, feature, value - avg(value) OVER (PARTITION BY feature, grp) AS x FROM vals JOIN tops USING (feature)),
 cors AS (
@@ -136,13 +150,22 @@ tails AS (SELECT feature, t, abs(t) / sqrt(10 + t * t) AS s, 10 / (10 + t * t) A
 ps AS (SELECT feature, t, 1 - s * (1 + c / 2 + 3 * c * c / 8 + 5 * c ** 3 / 16 + 35 * c ** 4 / 128) AS p FROM tails),
 ranked AS (SELECT *, p * count(*) OVER () / row_number() OVER (ORDER BY p, feature) AS v, row_number() OVER (ORDER BY p, feature) AS r FROM ps)
 SELECT feature, round(t, 8) AS t, round(p, 8) AS p, round(least(1, min(v) OVER (ORDER BY r DESC)), 8) AS q FROM ranked
+""",
+    "stabilized_counts": f"""
+WITH {_COUNTS}, {_FACTORS}, grid AS (SELECT sample, feature, coalesce(n, 0) / size_factor AS q FROM factors CROSS JOIN (SELECT DISTINCT feature FROM counts) LEFT JOIN counts USING (sample, feature))
+SELECT sample, feature, round(log2((1 + {TREND.slope} + 2 * {TREND.floor} * q + 2 * sqrt({TREND.floor} * q * (1 + {TREND.slope} + {TREND.floor} * q))) / (4 * {TREND.floor})), 8) AS value FROM grid
+""",
+    "feature_dispersions": f"""
+WITH {_COUNTS}, {_FACTORS}, grid AS (SELECT sample, feature, substr(sample, 2)::INT % 2 AS batch, coalesce(n, 0) / size_factor AS q FROM factors CROSS JOIN (SELECT DISTINCT feature FROM counts) LEFT JOIN counts USING (sample, feature)),
+moved AS (SELECT *, q - avg(q) OVER (PARTITION BY feature, batch) AS d FROM grid)
+SELECT feature, round(avg(q), 8) AS mean, round((sum(d * d) / (count(*) - 2) - (SELECT avg(1 / size_factor) FROM factors) * avg(q)) / (avg(q) * avg(q)), 8) AS dispersion FROM moved GROUP BY feature
 """,
     "drawn_samples": f"{runs._SQL['rarefaction_plan'].replace('SELECT concat(sample', ', named AS (SELECT concat(sample')}) SELECT sample, original_sample, target, least(target, total)::BIGINT AS drawn, 0::BIGINT AS too_many FROM named",
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (batch_means, batch_corrected, batch_corrected_groups, nearest_pairs, pair_corrected, group_regression, drawn_samples)
+    own = (batch_means, batch_corrected, batch_corrected_groups, nearest_pairs, pair_corrected, group_regression, stabilized_counts, feature_dispersions, drawn_samples)
     return {f.__name__: f for f in own}
 
 
