@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyseq.plans import batching, catalog, design, panel, priming, runs
+from tallyseq.plans import batching, catalog, design, mapping, panel, priming, runs
 
 FLAGSHIP = catalog.FLAGSHIP
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return catalog.queries() | panel.queries() | runs.queries() | design.queries() | batching.queries() | priming.queries()
+    return catalog.queries() | panel.queries() | runs.queries() | design.queries() | batching.queries() | priming.queries() | mapping.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return catalog.oracle_sql() | panel.oracle_sql() | runs.oracle_sql() | design.oracle_sql() | batching.oracle_sql() | priming.oracle_sql()
+    return catalog.oracle_sql() | panel.oracle_sql() | runs.oracle_sql() | design.oracle_sql() | batching.oracle_sql() | priming.oracle_sql() | mapping.oracle_sql()
