@@ -1,4 +1,4 @@
-"""Command line: ``python -m tallyseq matrix|read-stats|summary|assign|tags|subset|panel|product|order|pools ...``; run it with ``spark-submit`` on a cluster."""
+"""Command line: ``python -m tallyseq matrix|read-stats|summary|assign|tags|subset|panel|product|order|pools|recover|rarefy|correct ...``; run it with ``spark-submit`` on a cluster."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyseq.operators import anneal, counts, design, intervals, reads, tags
+from tallyseq.operators import anneal, batches, counts, design, draws, intervals, primers, reads, recover, tags
 from tallyseq.plans import summary
 from tallyseq.sinks import files as sinks
 from tallyseq.session import materialize
@@ -83,6 +83,38 @@ def pools(spark: SparkSession, a: argparse.Namespace) -> None:
     design.ordered_primers(_sheet(spark, a).where("amplicon_index is not null"), a.prefix).orderBy("position").write.csv(a.out, sep="\t", header=True)
 
 
+def recover_pool(spark: SparkSession, a: argparse.Namespace) -> None:
+    """From an ordered pool (pool, sequence) and transcripts to the pairs behind it, as rows of an order; checks beside them."""
+    ordered = spark.read.csv(files.expand_paths(spark, a.ordered), sep="\t", header=True)
+    pool = materialize(recover.classify(ordered.toDF("pool", "sequence"), a.linkers))
+    transcripts = inputs.read_reference(spark, files.expand_paths(spark, a.reference))
+    kinds = pool.groupBy(F.upper("primer_seq").alias("pattern")).agg(F.min("primer_type").alias("primer_type"))
+    located = materialize(primers.locate(transcripts, kinds.select("pattern")).join(kinds, "pattern"))
+    found = recover.mark_passing(primers.amplicons(located), a.low, a.high).where("pass")
+    named = materialize(recover.named_amplicons(found, pool))
+    design.recovered_orders(recover.list_pairs(named), linkers=a.linkers).orderBy("gene_id", "amplicon_index").write.csv(a.out, sep="\t", header=True)
+    places = located.withColumn("gene_id", recover.split_seq_id(F.col("seq_id"))["gene_id"])
+    pairs = named.select(F.col("primer_seq_fwd").alias("fwd"), F.col("primer_seq_rev").alias("rev"), "gene_id", "pool_fwd", "pool_rev")
+    recover.sanity_report(pool, places, pairs).write.csv(f"{a.out}_checks", sep="\t", header=True)
+
+
+def rarefy(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Draws of a count matrix to a depth per sample, and the metadata of the draws."""
+    rows = files.read_matrix(spark, a.matrix)
+    metadata = spark.read.csv(a.metadata, sep="\t", header=True) if a.metadata else rows.select("sample").distinct()
+    plan = materialize(counts.rarefaction_plan(rows, metadata, a.repeats, a.depth or None, a.key))
+    drawn = draws.draw_samples(rows, plan, a.seed)
+    sinks.write_matrix(counts.complete(drawn, plan.select("sample")), a.out)
+    plan.orderBy("sample").write.csv(f"{a.out}_metadata", sep="\t", header=True)
+
+
+def correct(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Batch-corrected counts of a matrix; ``samples`` has sample, batch and, if known, group."""
+    known = spark.read.csv(a.samples, sep="\t", header=True)
+    known = known if "group" in known.columns else known.withColumn("group", F.lit(""))
+    sinks.write_matrix(batches.correct_batches(files.read_matrix(spark, a.matrix), known.select("sample", "batch", "group"), keep_zero=a.keep_zero), a.out)
+
+
 def record_tags(spark: SparkSession, a: argparse.Namespace) -> None:
     """Tags of alignment records, as a table."""
     rows = files.read_sam(spark, files.expand_paths(spark, a.alignments))
@@ -111,6 +143,9 @@ def parser() -> argparse.ArgumentParser:
     command("order", order, "selected", "info", "genes", linkers=False)
     command("pools", pools, "selected", "info", "genes", linkers=False, prefix="pool")
     command("tags", record_tags, "alignments", cell="-")
+    command("recover", recover_pool, "ordered", "reference", linkers=False, low=-1, high=-1)
+    command("rarefy", rarefy, "matrix", metadata=None, repeats=20, depth=0, key=None, seed=42)
+    command("correct", correct, "matrix", "samples", keep_zero=False)
     command("panel", panel, "candidates", steps=1000, chains=8, seed=42)
     return top
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tallyseq.functions.negbin import incomplete_beta
-from tallyseq.operators.stats import adjust_fdr, top_deviating
+from tallyseq.operators.counts import complete, log2_cpm
+from tallyseq.operators.stats import adjust_fdr, quantile_normalize, reverse_log2_cpm, top_deviating
 from tallyseq.session import materialize
 
 #: Samples of a block of products.
@@ -117,3 +116,22 @@ def regress_groups(values: DataFrame, groups: DataFrame) -> DataFrame:
     t = F.when(error > 1e-14, gap / error).when(F.abs(gap) > 1e-14, F.signum(gap) * float("inf"))
     told = fit.where((df > 0) & F.col("n0").isNotNull() & F.col("n1").isNotNull()).select("feature", t.alias("t"), df.alias("df")).where("t is not null")
     return adjust_fdr(told.select("feature", "t", t_tail(F.col("t"), F.col("df")).alias("p"), F.lit("").alias("family")), "family", "p", "feature").drop("family")
+
+
+def match_groups(counts: DataFrame, groups: DataFrame, top: int = MOST_FEATURES, reverse: bool = False) -> DataFrame:
+    """From counts to corrected values: log2 counts per million, quantile normalisation, pairing over ``top`` features, correction.
+
+    With ``reverse`` the values go back to counts (sample, feature, n) at each sample's own depth. Negative counts, and samples
+    without a group, raise.
+    """
+    checked = counts.withColumn("n", F.when(F.col("n") >= 0, F.col("n")).otherwise(F.raise_error(F.concat(F.lit("a count below 0: "), F.col("feature"))).cast("long")))
+    if lost := checked.join(groups, "sample", "left_anti").select("sample").first():
+        raise ValueError(f"a sample without a group: {lost[0]}")
+    values = quantile_normalize(log2_cpm(complete(checked, checked.select("sample"))))
+    found = pair_corrected(values, nearest(values, groups, 1, top))
+    return reverse_log2_cpm(found, checked) if reverse else found
+
+
+def differential_features(counts: DataFrame, groups: DataFrame, top: int = MOST_FEATURES) -> DataFrame:
+    """P-values of the second group's coefficient on corrected values, and their adjusted ones (feature, t, p, q)."""
+    return regress_groups(match_groups(counts, groups, top), groups)

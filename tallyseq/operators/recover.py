@@ -51,6 +51,41 @@ def group_pairs(amplicons: DataFrame) -> DataFrame:
     return found.select("fwd", "rev", "first.*", "num_transcripts", "num_genes", "num_amplicons", "transcript_id_all")
 
 
+#: The fields of an amplicon in a pair's listing.
+LISTED = ("transcript_id", "gene_id", "gene_symbol", "start_up", "end_up", "start_down", "end_down", "amplicon_length")
+
+
+def named_amplicons(amplicons: DataFrame, primers: DataFrame) -> DataFrame:
+    """Amplicons of ``primers.amplicons`` with the names that ``list_pairs`` wants: fields of the sequence id, and the pools of both primers.
+
+    ``primers``: primer_seq, primer_type, pool. A primer of several pools gives rows for each, which ``list_pairs`` refuses.
+    """
+    ids = split_seq_id(F.col("seq_id"))
+    rows = amplicons.select(
+        F.col("up").alias("primer_seq_fwd"), F.col("down").alias("primer_seq_rev"), *[c.alias(n) for n, c in ids.items()],
+        F.col("up_start").alias("start_up"), F.col("up_end").alias("end_up"), F.col("down_start").alias("start_down"), F.col("down_end").alias("end_down"), F.col("length").alias("amplicon_length"),
+    )
+    pool = lambda kind: primers.where(F.col("primer_type") == kind).select(F.upper("primer_seq").alias(f"primer_seq_{kind}"), F.col("pool").alias(f"pool_{kind}")).distinct()
+    return rows.join(pool("fwd"), "primer_seq_fwd").join(pool("rev"), "primer_seq_rev")
+
+
+def list_pairs(amplicons: DataFrame) -> DataFrame:
+    """One row per primer pair, as ``design.recovered_orders`` takes it: its first amplicon by gene and transcript, counts and the listing.
+
+    The listing has the eight ``LISTED`` fields of each amplicon, bar-joined, in order of gene, transcript and place; its length follows the
+    pair's amplicons, by its form. A pair whose primer is of several pools raises. An empty table gives an empty result.
+    """
+    keys = ["primer_seq_fwd", "primer_seq_rev"]
+    rank = F.struct("gene_id", "transcript_id", "start_up", "end_up", "start_down", "end_down", "gene_symbol", F.concat_ws("|", *[F.col(c).cast("string") for c in LISTED]).alias("told"))
+    one_pool = lambda side: F.when(F.min(f"pool_{side}").eqNullSafe(F.max(f"pool_{side}")), F.min(f"pool_{side}")).otherwise(F.raise_error(F.concat(F.lit(f"several pools of {side}: "), F.col(f"primer_seq_{side}"))).cast("string"))
+    found = amplicons.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(rank)).alias("all"), one_pool("fwd").alias("pool_fwd"), one_pool("rev").alias("pool_rev"),
+        F.count_distinct("transcript_id").alias("num_transcripts"), F.count_distinct("gene_id").alias("num_genes"),
+    )
+    first = [F.col("all")[0][c].alias(c) for c in ("transcript_id", "gene_id", "gene_symbol", "start_up", "end_up", "start_down", "end_down")]
+    return found.select(*keys, *first, "pool_fwd", "pool_rev", "num_transcripts", "num_genes", F.array_join(F.transform("all", lambda a: a["told"]), ";").alias("transcript_id_all"))
+
+
 def location_checks(located: DataFrame) -> DataFrame:
     """Per pattern: places, transcripts, and transcripts that hold it more than once."""
     each = located.groupBy("pattern", "seq_id").agg(F.count("*").alias("n"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import audit
-from tallyseq.operators import design, recover
+from tallyseq.operators import design, primers, recover
 from tallyseq.plans import catalog
 from tallyseq.sources import views
 
@@ -116,6 +116,23 @@ def passing_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recover.mark_passing(catalog.amplicons(spark, sf_dir), 20, 40)
 
 
+def pool_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered pool traced to its pairs: all primers on all transcripts, each in two forms, and the order that they come from."""
+    pool = views.primers(spark, sf_dir).selectExpr("primer_seq", "primer_type", "concat('p', pair_id % 3) AS pool")
+    forms = views.sequences(spark, sf_dir).selectExpr("explode(array('a', 'b')) AS form", "seq_id AS p", "seq")
+    transcripts = forms.selectExpr("concat('T', p, form, '.1|E', p % 9, '.2|x|y|z|S', p % 9) AS seq_id", "seq")
+    kinds = pool.groupBy(F.upper("primer_seq").alias("pattern")).agg(F.min("primer_type").alias("primer_type"))
+    located = primers.locate(transcripts, kinds.select("pattern")).join(kinds, "pattern")
+    found = recover.mark_passing(primers.amplicons(located), 20, 40).where("pass")
+    return design.recovered_orders(recover.list_pairs(recover.named_amplicons(found, pool)))
+
+
+def complement_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complementary places of each primer in the whole pool, words of 4 to 8 bases."""
+    pool = views.primers(spark, sf_dir).select(F.concat("pair_id", F.lit("_"), "primer_type").alias("id"), F.col("primer_seq").alias("seq"))
+    return primers.complement_loads(pool).select("id", "hits", F.round("load", 4).alias("load"))
+
+
 def parsed_sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of one to seven fields."""
     fields = ", ".join(f"concat('{name}', p_partkey % {n})" for n, name in zip((97, 40, 7, 5, 3, 11, 2), "TGXYZSK", strict=True))
@@ -150,6 +167,23 @@ _ORDERED = f"""{_SHEET}, rows AS (
 )"""
 
 _SQL = {
+    "pool_orders": f"""
+WITH {catalog._SEQ}, {catalog._POOL}, forms AS (SELECT id, form, seq FROM seqs, (VALUES ('a'), ('b')) f(form)),
+spots AS (SELECT id, form, pos, substr(seq, pos, 14) AS word FROM forms, unnest(range(1, 52)) AS t(pos)),
+kinds AS (SELECT seq AS pattern, min(primer_type) AS kind, min(pair_id) AS pair_id FROM pool GROUP BY seq),
+ups AS (SELECT s.*, pattern, pair_id FROM spots s JOIN kinds ON word = pattern AND kind = 'fwd'), downs AS (SELECT s.*, pattern, pair_id FROM spots s JOIN kinds ON word = {catalog._RC.format("pattern")} AND kind = 'rev'),
+met AS (
+    SELECT u.id, u.form, u.pattern AS fwd, d.pattern AS rev, u.pos AS us, d.pos AS ds, d.pos + 13 - u.pos + 1 AS len, u.pair_id % 3 AS up, d.pair_id % 3 AS dp, concat('E', u.id % 9, '.2') AS gene, concat('T', u.id, u.form, '.1') AS t
+    FROM ups u JOIN downs d ON u.id = d.id AND u.form = d.form AND u.pos + 13 < d.pos AND d.pos + 13 - u.pos + 1 BETWEEN 20 AND 40
+), told AS (SELECT *, concat_ws('|', t, gene, concat('S', id % 9), us, us + 13, ds, ds + 13, len) AS one FROM met)
+SELECT 'default' AS "group", arg_min(concat('S', id % 9), (gene, t, us, ds)) AS gene_symbol, split_part(min(gene), '.', 1) AS gene_id, 0 AS chosen_index, concat(split_part(arg_min(t, (gene, t, us, ds)), '.', 1), '_0') AS amplicon_index,
+    fwd AS l_seq, rev AS r_seq, '{FWD}' || fwd AS order_forward, '{REV}' || rev AS order_reverse, 'p' || min(up) AS l_pool, 'p' || min(dp) AS r_pool, string_agg(one, ';' ORDER BY gene, t, us, ds) AS multi_mapping
+FROM told GROUP BY fwd, rev
+""",
+    "complement_loads": f"""
+WITH {catalog._POOL}, w AS (SELECT concat(pair_id, '_', primer_type) AS id, substr(seq, (length(seq) - d - k + 1)::INT, k::INT) AS kmer, d::INT AS d FROM pool, range(4, 9) r(k), range(0, 60) q(d) WHERE d + k <= length(seq))
+SELECT a.id, count(*) AS hits, round(sum({catalog._SCORE.format("a.kmer")} / ((1 + a.d) * (1 + b.d))), 4) AS load FROM w a JOIN w b ON a.kmer = {catalog._RC.format("b.kmer")} GROUP BY a.id
+""",
     "subset_transcripts": f"WITH {_SUBSET} SELECT 'T' || k AS transcript_id, 'G' || (k % 40) AS gene_symbol, 'E' || (k % 40) AS gene_id FROM targeted WHERE k % 40 IN (SELECT g FROM info)",
     "subset_primer_seqs": f"WITH {_SUBSET} SELECT 'T' || k AS transcript_id, concat('T', k, '_', j) AS transcript_index FROM seqs",
     "subset_primer_info": f"WITH {_SUBSET} SELECT concat('T', p_partkey, '_', p_size % 4) AS transcript_index, 'E' || g AS gene_id, cut AS l_seq FROM info",
@@ -211,6 +245,8 @@ SELECT pair_id, k::INT AS k, at_one::INT AS at_one, at_two::INT AS at_two, word
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
+        pool_orders,
+        complement_loads,
         subset_transcripts,
         subset_primer_seqs,
         subset_primer_info,
