@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyseq.operators import primer_index
+from tallyseq.operators import primer_index, trimming
 from tallyseq.sources import views
 
 RATE, OVERLAP = 0.1, 20
@@ -17,6 +17,11 @@ def paired_primer_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return primer_index.assign_pairs(views.primed_pairs(spark, sf_dir), views.panel(spark, sf_dir, "F"), views.panel(spark, sf_dir, "R"), RATE, OVERLAP)
 
 
+def trimmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs without bad tails and adapters."""
+    return trimming.trim_pairs(views.quality_pairs(spark, sf_dir), [views.ADAPTERS[0]], [views.ADAPTERS[1]])
+
+
 def _bases(text: str) -> str:
     return f"translate(md5({text}), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
@@ -38,8 +43,26 @@ found{number} AS (SELECT *, substr(s, start + 1, size) AS match, levenshtein(sub
 best{number} AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY errors - m, errors, start, abs(size - m), adapter, size) AS place FROM found{number} WHERE errors <= e)"""
 
 
+def _trimmed(k: int) -> str:
+    adapter, bad = views.ADAPTERS[k - 1], views.BAD.replace("'", "''")
+    both = f"translate(concat(md5(concat('i{k}', o_orderkey)), md5(concat('t{k}', o_orderkey))), '{views.BASES[0]}', '{views.BASES[1]}')"
+    return f"""raw{k} AS (
+    SELECT o_orderkey AS k, 44 - (o_custkey + {k}) % 17 AS good, concat(md5(concat('q{k}', o_orderkey)), md5(concat('r{k}', o_orderkey))) AS marks,
+        concat({both}[:20 + o_custkey % 29], CASE (o_orderkey + {k}) % 6 WHEN 0 THEN '' WHEN 1 THEN '{adapter[:3]}A{adapter[4:]}' WHEN 2 THEN '{adapter[:7]}{adapter[8:]}' ELSE '{adapter}' END, {both}[33:])[:48] AS s FROM orders
+), scored{k} AS (SELECT k, s, concat(translate(marks[:good], '{views.BASES[0]}', '{views.GOOD}'), translate(marks[good + 1:48], '{views.BASES[0]}', '{bad}'))[:length(s)] AS q FROM raw{k}),
+cut{k} AS (
+    SELECT k, s[:n] AS s, q[:n] AS q FROM (SELECT *, coalesce(list_max(list_filter(range(4, length(q) + 1), lambda p: ascii(q[p]) + ascii(q[p - 1]) + ascii(q[p - 2]) + ascii(q[p - 3]) - 132 >= 80)), 0) AS n FROM scored{k})
+), parts{k} AS (SELECT m, left('{adapter}', m) AS p, floor(0.1::DOUBLE * m + 1e-9)::INT AS e FROM unnest(range(5, {len(adapter) + 1})) AS t(m)),
+ends{k} AS (
+    SELECT k, s, m, p, e, b, size FROM cut{k}, parts{k}, unnest(range(m - e, m + e + 1)) AS t(size), unnest(range(CASE WHEN m = {len(adapter)} THEN 0 ELSE length(s) - size END, length(s) - size + 1)) AS u(b) WHERE b >= 0
+), hits{k} AS (SELECT *, levenshtein(substr(s, b + 1, size), p) AS errors FROM ends{k}),
+best{k} AS (SELECT k, b, row_number() OVER (PARTITION BY k ORDER BY errors - m, errors, length(s) - b - size, abs(size - m), size) AS place FROM hits{k} WHERE errors <= e),
+told{k} AS (SELECT c.k, s[:coalesce(b, length(s))] AS s, q[:coalesce(b, length(s))] AS q FROM cut{k} c LEFT JOIN best{k} x ON x.k = c.k AND place = 1)"""
+
+
 _TOLD = ", ".join(f"coalesce(b{n}.adapter, 'no_adapter') AS adapter{n}, coalesce(b{n}.match, '') AS match{n}, b{n}.start::INTEGER AS start{n}, b{n}.errors::INTEGER AS errors{n}" for n in (1, 2))
 _SQL = {
+    "trimmed_pairs": f"WITH {_trimmed(1)}, {_trimmed(2)} SELECT concat('q', a.k) AS read_id, a.s AS r1_seq, a.q AS r1_qual, b.s AS r2_seq, b.q AS r2_qual FROM told1 a JOIN told2 b USING (k)",
     "paired_primer_assignment": f"""
 WITH {_mate("F", 1, 0)}, {_mate("R", 2, 3)}
 SELECT concat('q', o_orderkey) AS read_id, {_TOLD} FROM orders LEFT JOIN best1 b1 ON b1.k = o_orderkey AND b1.place = 1 LEFT JOIN best2 b2 ON b2.k = o_orderkey AND b2.place = 1
@@ -48,7 +71,7 @@ SELECT concat('q', o_orderkey) AS read_id, {_TOLD} FROM orders LEFT JOIN best1 b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"paired_primer_assignment": paired_primer_assignment}
+    return {f.__name__: f for f in (paired_primer_assignment, trimmed_pairs)}
 
 
 def oracle_sql() -> dict[str, str]:

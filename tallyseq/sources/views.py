@@ -101,3 +101,24 @@ def primed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         before = f"CASE WHEN {kind} = 5 THEN '' ELSE substring({bases.format(f'a{number}')}, 1, cast(o_custkey % 7 AS int)) END"
         rows = rows.withColumn(f"r{number}_seq", F.expr(f"concat({before}, {changed}, substring({bases.format(f'b{number}')}, 1, 24))"))
     return rows.selectExpr("concat('q', o_orderkey) AS read_id", "r1_seq", "r2_seq")
+
+
+#: Letters that stand for good and for bad qualities.
+GOOD, BAD = "IHGFEDCBA@?>=<;:", "#$%&'()*+,-./012"
+ADAPTERS = ("AGATCGGAAGAGCACACG", "AGATCGGAAGAGCGTCGT")
+
+
+def quality_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as pairs of reads of 48 bases: an insert, an adapter that some miss a base of or have one wrong, and a tail of varied quality."""
+    rows = table(spark, sf_dir, "orders")
+    out = ["concat('q', o_orderkey) AS read_id"]
+    for k, adapter in enumerate(ADAPTERS, 1):
+        bases = f"translate(concat(md5(concat('i{k}', o_orderkey)), md5(concat('t{k}', o_orderkey))), '{BASES[0]}', '{BASES[1]}')"
+        kind = f"(o_orderkey + {k}) % 6"
+        worn = f"CASE {kind} WHEN 0 THEN '' WHEN 1 THEN concat(substring('{adapter}', 1, 3), 'A', substring('{adapter}', 5)) WHEN 2 THEN concat(substring('{adapter}', 1, 7), substring('{adapter}', 9)) ELSE '{adapter}' END"
+        insert = f"substring({bases}, 1, 20 + cast(o_custkey % 29 AS int))"
+        marks = f"concat(md5(concat('q{k}', o_orderkey)), md5(concat('r{k}', o_orderkey)))"
+        good = f"(44 - cast((o_custkey + {k}) % 17 AS int))"
+        qual = f"concat(translate(substring({marks}, 1, {good}), '{BASES[0]}', '{GOOD}'), translate(substring({marks}, {good} + 1, 48 - {good}), '{BASES[0]}', \"{BAD}\"))"
+        out += [f"substring(concat({insert}, {worn}, substring({bases}, 33)), 1, 48) AS r{k}_seq", f"substring({qual}, 1, length(substring(concat({insert}, {worn}, substring({bases}, 33)), 1, 48))) AS r{k}_qual"]
+    return rows.selectExpr(*out)
