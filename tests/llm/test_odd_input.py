@@ -202,7 +202,7 @@ def test_pipeline_stages(spark, docs, labels):
     after = run("quality_classifier")
     assert ids(after) == [i for i in ids(rows) if scored(ranking, told[i]) >= ranker.DECISION]
     rows = after
-    after = run("simhash_near_dedup")
+    after = run("near_dedup")
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := (texts[i] or "").lower().split()) else set() for i in ids(rows)}
     group = {i: i for i in sets}
     pairs = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
