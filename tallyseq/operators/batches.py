@@ -150,7 +150,7 @@ def dispersions(cells: DataFrame, design: Design) -> dict[str, float]:
 def fit_effects(cells: DataFrame, design: Design, phi: dict[str, float], reference: str) -> DataFrame:
     """Per feature: ``eta``, the log rate of each kind of sample, and ``effect``, its batch's part of it (0 for the reference).
 
-    Reweighted least squares under fixed dispersions; rounds end when no feature's likelihood can gain.
+    Reweighted least squares under fixed dispersions; rounds end when no feature's likelihood can gain more than 1e-10.
     """
     matrix, n_kinds = design.matrix(reference), len(design.kinds)
     effects = matrix.copy()
@@ -187,7 +187,7 @@ def fit_effects(cells: DataFrame, design: Design, phi: dict[str, float], referen
         met = cells.join(state.select("feature", "coef", "eta"), "feature")
         sums = met.groupBy("feature").agg(F.first("coef").alias("coef"), by_kind(rate / (1 + own * rate)).alias("weight"), by_kind((F.col("n") - rate) / (1 + own * rate)).alias("score"))
         state = materialize(sums.mapInArrow(solve, schema))
-        if not state.where("gain > 1e-16").limit(1).count():
+        if not state.where("gain > 1e-10").limit(1).count():
             break
     return state.select("feature", "eta", "effect")
 
