@@ -11,7 +11,7 @@ from tallyseq.operators import anneal, batches, counts, design, draws, intervals
 from tallyseq.plans import summary
 from tallyseq.sinks import files as sinks
 from tallyseq.session import materialize
-from tallyseq.sources import files, inputs
+from tallyseq.sources import bam, files, inputs
 
 
 def matrix(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -39,7 +39,7 @@ def summarize(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def assign(spark: SparkSession, a: argparse.Namespace) -> None:
     """Genes of aligned reads by their start and the length of their bases."""
-    rows = files.read_sam(spark, files.expand_paths(spark, a.alignments)).where("contig <> '*'")
+    rows = bam.read_alignments(spark, files.expand_paths(spark, a.alignments)).where("contig <> '*'")
     spans = rows.select(F.col("qname").alias("read_id"), "contig", F.col("pos").alias("start"), (F.col("pos") + F.length("seq") - 1).alias("end"))
     exons = files.read_gtf(spark, files.expand_paths(spark, a.annotation)).where("feature = 'exon'")
     intervals.assign_genes(spans, exons.select(F.col("gene_id").alias("gene"), F.col("seqname").alias("contig"), (F.col("start") - 1).alias("start"), (F.col("end") - 1).alias("end"))).write.csv(a.out, sep="\t", header=True)
@@ -116,10 +116,17 @@ def correct(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def record_tags(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Tags of alignment records, as a table."""
-    rows = files.read_sam(spark, files.expand_paths(spark, a.alignments))
-    named = rows.select(F.lit(a.cell).alias("sample"), "ord", "qname", "flag", F.col("tags")["XT"].alias("xt"))
-    tags.record_tags(named).drop("sample").write.csv(a.out, sep="\t", header=True)
+    """Alignment records with their tags: whole records as a folder of files if ``out`` ends in .bam or .sam, else a table of the tags."""
+    paths = files.expand_paths(spark, a.alignments)
+    rows = bam.read_alignments(spark, paths)
+    cell = None if a.cell == "-" else a.cell
+    if a.out.endswith(".bam"):
+        bam.write_bam(tags.tagged_records(rows, cell), a.out, bam.alignment_header(spark, paths))
+    elif a.out.endswith(".sam"):
+        sinks.write_sam(tags.tagged_records(rows, cell), a.out, bam.alignment_header(spark, paths))
+    else:
+        named = rows.select(F.lit(a.cell).alias("sample"), "ord", "qname", "flag", F.col("tags")["XT"].alias("xt"))
+        tags.record_tags(named).drop("sample").write.csv(a.out, sep="\t", header=True)
 
 
 def parser() -> argparse.ArgumentParser:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 READ1, READ2, UNMAPPED, NOT_PRIMARY, SECONDARY = 0x40, 0x80, 0x4, 0x900, 0x100
+NEW_TAGS = ("cb", "us", "pr", "uc", "xn", "xt", "xf")
 
 
 def has(flag: Column, bits: int) -> Column:
@@ -71,13 +72,13 @@ def run_totals(names: DataFrame) -> DataFrame:
     )
 
 
-def record_tags(rows: DataFrame, cell: str | None = "sample") -> DataFrame:
+def record_tags(rows: DataFrame, cell: str | None = "sample", *carried: str) -> DataFrame:
     """Each record with its plain name, flag and tags.
 
     Repeated primaries of a mate become secondary first, which their flag shows. A primary first mate gets cb (``cell``'s value), us
     (first UMI), pr (primers), uc (both UMIs, if whole and both primers are known) and, where the assigner wrote none, xn = -1 and
     xt = Unassigned, and xf, the genes of all records of its name. Other records keep xt and get no tag. A record that was
-    demoted keeps the tags of a first mate but xf. Records are dealt by sample and name once.
+    demoted keeps the tags of a first mate but xf. Records are dealt by sample and name once. ``carried`` columns stay as they are.
     """
     before = has(F.col("flag"), READ1) & ~has(F.col("flag"), NOT_PRIMARY)
     marked = demote_repeats(rows.withColumn("tagged", before))
@@ -99,4 +100,20 @@ def record_tags(rows: DataFrame, cell: str | None = "sample") -> DataFrame:
         on(F.when(F.col("xt").isNull(), F.lit(-1))).alias("xn"),
         F.when(F.col("tagged"), F.coalesce("xt", F.lit("Unassigned"))).otherwise(F.col("xt")).alias("xt"),
         F.when(F.col("tagged") & ~has(F.col("flag"), NOT_PRIMARY), xf).alias("xf"),
+        *carried,
     )
+
+
+def tagged_records(records: DataFrame, cell: str | None = None) -> DataFrame:
+    """Whole alignment records (``read_alignments``) with their plain names, new flags and new tags, in order ``ord``.
+
+    New tags take the place of old ones of the same name; the other old ones stay. Without ``cell`` no cell is told.
+    """
+    rest = [c for c in records.columns if c not in ("ord", "qname", "flag")]
+    rows = records.withColumns({"sample": F.lit(cell).cast("string"), "xt": F.element_at("tags", "XT")})
+    found = record_tags(rows, "sample" if cell else None, *rest)
+    new = F.map_filter(F.create_map(*[x for c in NEW_TAGS for x in (F.lit(c.upper()), F.col(c).cast("string"))]), lambda _, v: v.isNotNull())
+    kinds = F.transform_values("new", lambda k, _: F.when(k == "XN", "i").otherwise("Z"))
+    merge = lambda old, added: F.map_concat(F.map_filter(F.coalesce(old, F.create_map().cast("map<string,string>")), lambda k, _: ~F.map_contains_key("new", k)), added)
+    merged = found.withColumn("new", new).withColumns({"tags": merge(F.col("tags"), F.col("new")), "tag_types": merge(F.col("tag_types"), kinds)})
+    return merged.withColumnRenamed("read_id", "qname").select(*records.columns).repartitionByRange("ord").sortWithinPartitions("ord")

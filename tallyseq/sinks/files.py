@@ -31,11 +31,18 @@ def write_regions(regions: DataFrame, path: str) -> None:
     write_fasta(ok.select(F.col("primer_index").alias("seq_id"), F.col("region").alias("seq"), "description"), path, F.col("description"))
 
 
-def write_sam(records: DataFrame, path: str) -> None:
-    """Records without a header; tags are written as text (``Z``), in the order of their names."""
+def write_sam(records: DataFrame, path: str, header: str = "") -> None:
+    """Records with their tags in the order of names, each of its kind in ``tag_types``, else text (``Z``).
+
+    The header's lines, if any, are a part before the records' parts: all parts one after another are one whole file.
+    """
     fields = [F.col(n) + 1 if n in ("pos", "mate_pos") else F.col(n) for n in SAM_FIELDS]
-    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit(":Z:"), e["value"]))
-    records.select(F.concat_ws("\t", *[c.cast("string") for c in fields], tags)).write.text(path)
+    kinds = F.col("tag_types") if "tag_types" in records.columns else F.lit(None).cast("map<string,string>")
+    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e["key"], F.lit(":"), F.coalesce(F.element_at(kinds, e["key"]), F.lit("Z")), F.lit(":"), e["value"]))
+    lines = records.select(F.concat_ws("\t", *[c.cast("string") for c in fields], tags).alias("value"))
+    if header:
+        lines = records.sparkSession.createDataFrame([(header.rstrip("\n"),)], "value string").coalesce(1).union(lines)
+    lines.write.text(path)
 
 
 def write_matrix(counts: DataFrame, path: str, label: str | None = None, most_features: int = 100_000) -> None:

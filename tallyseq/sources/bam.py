@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from tallyseq.sources import files
+
 FORMAT = "tallyseq_bam"
 SCHEMA = (
     "qname string, flag int, contig string, pos long, mapq int, cigar string, mate_contig string, mate_pos long, "
@@ -440,6 +442,23 @@ def read_bam(spark: SparkSession, paths: list[str], split_bytes: int = 64 << 20)
     return rows.select(F.monotonically_increasing_id().alias("ord"), "*")
 
 
+def _is_binary(paths: list[str]) -> bool:
+    kinds = {p.endswith(".bam") for p in paths}
+    if len(kinds) != 1:
+        raise ValueError("files of binary alignments and of text are read apart")
+    return kinds.pop()
+
+
+def read_alignments(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Records of binary files (``.bam``) or of text ones."""
+    return read_bam(spark, paths) if _is_binary(paths) else files.read_sam(spark, paths)
+
+
+def alignment_header(spark: SparkSession, paths: list[str]) -> str:
+    """The header's text of the first file."""
+    return bam_header(paths[0]) if _is_binary(paths) else files.sam_header(spark, paths[0])
+
+
 def write_bam(records: DataFrame, path: str, header: str) -> None:
     """Records as a folder of whole files, one per task, in the order of the tasks; ``header`` is the text of each file's header.
 

@@ -97,13 +97,21 @@ def read_fasta(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Alignment records in order ``ord``: the fixed fields (positions from 0) and ``tags``; unmapped ones stay."""
+    """Alignment records in order ``ord``: the fixed fields (positions from 0), ``tags`` and the kinds of their values; unmapped ones stay."""
     rows = spark.read.text(paths).where(~F.col("value").rlike(r"^@[A-Z]{2}\t|^\s*$")).select(F.monotonically_increasing_id().alias("ord"), F.split("value", "\t").alias("f"))
     fields = {n: F.col("f")[i] for i, n in enumerate(SAM_FIELDS)}
     fields |= {n: fields[n].cast("int") for n in ("flag", "mapq")} | {n: fields[n].cast("long") for n in ("pos", "mate_pos", "template_length")}
     fields |= {n: fields[n] - 1 for n in ("pos", "mate_pos")}
-    tags = F.map_from_entries(F.transform(F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0))), lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substr(t, F.lit(6)).alias("value"))))
-    return rows.select("ord", *[c.alias(n) for n, c in fields.items()], tags.alias("tags"))
+    found = F.slice("f", 12, F.greatest(F.size("f") - 11, F.lit(0)))
+    entries = lambda value: F.map_from_entries(F.transform(found, lambda t: F.struct(F.substring(t, 1, 2).alias("key"), value(t).alias("value"))))
+    tags, kinds = entries(lambda t: F.substr(t, F.lit(6))), entries(lambda t: F.substring(t, 4, 1))
+    return rows.select("ord", *[c.alias(n) for n, c in fields.items()], tags.alias("tags"), kinds.alias("tag_types"))
+
+
+def sam_header(spark: SparkSession, path: str) -> str:
+    """The header's lines of one file, which stand at its beginning."""
+    lines = spark.read.text(path).where(F.col("value").rlike(r"^@[A-Z]{2}\t")).select("value", F.monotonically_increasing_id().alias("at"))
+    return "".join(f"{r['value']}\n" for r in lines.orderBy("at").collect())
 
 
 def read_groups(spark: SparkSession, paths: list[str]) -> DataFrame:

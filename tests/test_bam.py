@@ -7,6 +7,7 @@ import struct
 import pytest
 from pyspark.errors import PySparkException
 
+from tallyseq.__main__ import main
 from tallyseq.sources import bam, files
 
 HEADER = "@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:900000\n@SQ\tSN:chr2\tLN:5000\n"
@@ -88,3 +89,27 @@ def test_nulls_long_steps_and_contigs_that_are_not_in_the_header(spark, tmp_path
         bam.write_bam(spark.createDataFrame([("q", 0, "chr9", 1, 1, "*", "*", -1, 0, "*", "*", {}, {})], bam.SCHEMA), str(tmp_path / "bad"), HEADER)
     assert not [p for p in (tmp_path / "bad").glob("*") if p.is_file()] and not [*(tmp_path / "bad").glob("_job*/*")]
     bam.write_bam(spark.createDataFrame([], bam.SCHEMA), str(tmp_path / "empty"), HEADER)
+
+
+def test_tags_command_rewrites_records(spark, tmp_path):
+    fields = "chr1\t11\t60\t4M\t=\t21\t14\tACGT\tIIII"
+    names = ("r1_ACGTAC_TTTTTT_F+R", "r2_ACGTAC_NTTTTT_F+R")
+    lines = [f"{names[0]}\t99\t{fields}\tNH:i:2\tXT:Z:G2", f"{names[0]}\t99\t{fields}\tNH:i:2\tXT:Z:G1", f"{names[0]}\t147\t{fields}", f"{names[1]}\t99\t{fields}\tXF:Z:old\tXS:B:c,1,-2"]
+    (tmp_path / "in.sam").write_text(HEADER + "".join(f"{x}\n" for x in lines))
+    main(["tags", str(tmp_path / "in.sam"), str(tmp_path / "out.bam"), "--cell", "s1"])
+    main(["tags", str(tmp_path / "in.sam"), str(tmp_path / "out.sam"), "--cell", "s1"])
+    found = [r for p in files.expand_paths(spark, str(tmp_path / "out.bam"), (".bam",)) for r in bam.read_bam(spark, [p]).orderBy("ord").collect()]
+    own = {"CB": "s1", "US": "ACGTAC", "PR": "F+R"}
+    assert [(r.qname, r.flag, dict(r.tags)) for r in found] == [
+        ("r1", 99, {"NH": "2", **own, "UC": "ACGTACTTTTTT", "XT": "G2", "XF": "G1,G2,F+R"}),
+        ("r1", 99 | 256, {"NH": "2", **own, "UC": "ACGTACTTTTTT", "XT": "G1"}),
+        ("r1", 147, {}),
+        ("r2", 99, {**own, "XS": "c,1,-2", "XN": "-1", "XT": "Unassigned", "XF": "Unassigned,F+R"}),
+    ]
+    assert found[3].tag_types["XN"] == "i" and found[3].tag_types["XS"] == "B" and found[0].contig == "chr1" and found[0].seq == "ACGT"
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out.sam").glob("part-*")))
+    assert text.startswith(HEADER) and len(text.splitlines()) == 7 and "\tNH:i:2\t" in text and "\tXN:i:-1\t" in text and "\tXS:B:c,1,-2\t" in text
+    (tmp_path / "again.sam").write_text(text)
+    assert sorted((r.qname, r.flag, sorted(r.tags.items())) for r in files.read_sam(spark, [str(tmp_path / "again.sam")]).collect()) == sorted((r.qname, r.flag, sorted(r.tags.items())) for r in found)
+    with pytest.raises(ValueError, match="apart"):
+        bam.read_alignments(spark, ["a.bam", "b.sam"])
