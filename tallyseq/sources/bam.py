@@ -16,6 +16,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs as stores
@@ -48,7 +49,7 @@ TO_BASES = str.maketrans("0123456789abcdef", BASES)
 FROM_BASES = {ord(b): f"{i:x}" for i, b in enumerate(BASES)} | {ord(b.lower()): f"{i:x}" for i, b in enumerate(BASES)}
 TO_QUALITY = bytes(min(q + 33, 126) for q in range(256))
 FROM_QUALITY = bytes(max(q - 33, 0) for q in range(256))
-FIELDS = struct.Struct("<iiiBBHHHiiii")
+FIELDS, RECORD = struct.Struct("<iiiBBHHHiiii"), struct.Struct("<iiBBHHHiiii")
 #: Records that must follow one another for a place to be taken as a record's start.
 CHAIN = 8
 #: Longest record, bytes read at once, rows of a batch.
@@ -221,6 +222,8 @@ def _tags(data: bytes, at: int) -> Iterator[tuple[str, str, str]]:
         if kind in "ZH":
             end = data.index(0, at)
             value, at = data[at:end].decode("utf-8", "replace"), end + 1
+        elif kind in "cC":
+            value, at = str(data[at] - (256 if kind == "c" and data[at] > 127 else 0)), at + 1
         elif kind == "A":
             value, at = chr(data[at]), at + 1
         elif kind == "B":
@@ -236,10 +239,15 @@ def _number(value: float) -> str:
     return str(value) if isinstance(value, int) else f"{value:.9g}"
 
 
+@lru_cache(4096)
+def _steps_text(packed: bytes) -> str:
+    return "".join(f"{v >> 4}{STEPS[v & 15]}" for v in struct.unpack(f"<{len(packed) // 4}I", packed))
+
+
 def _row(data: bytes, contigs: list[tuple[str, int]]) -> tuple:
-    ref, pos, name, mapq, _, n, flag, bases, mate, mate_pos, length = struct.unpack_from("<iiBBHHHiiii", data)
+    ref, pos, name, mapq, _, n, flag, bases, mate, mate_pos, length = RECORD.unpack_from(data)
     at = 32 + name
-    steps = "".join(f"{v >> 4}{STEPS[v & 15]}" for v in struct.unpack_from(f"<{n}I", data, at))
+    steps = _steps_text(data[at : at + 4 * n]) if n < 256 else _steps_text.__wrapped__(data[at : at + 4 * n])
     at += 4 * n
     seq = data[at : at + (bases + 1) // 2].hex().translate(TO_BASES)[:bases]
     at += (bases + 1) // 2
@@ -287,8 +295,11 @@ class BamReader(DataSourceReader):
         yield from _batches(_row(r, header.contigs) for r in _records(file, header, partition.start, partition.end))
 
 
-def _steps(cigar: str) -> list[int]:
-    return [] if cigar == "*" else [int(n) << 4 | STEPS.index(s) for n, s in re.findall(r"(\d+)(\D)", cigar)]
+@lru_cache(4096)
+def _steps(cigar: str) -> tuple[list[int], int]:
+    """Steps as numbers, and how many places of the contig they take."""
+    steps = [] if cigar == "*" else [int(n) << 4 | STEPS.index(s) for n, s in re.findall(r"(\d+)(\D)", cigar)]
+    return steps, sum(s >> 4 for s in steps if STEPS[s & 15] in "MDN=X")
 
 
 def _tag(name: str, kind: str, value: str) -> bytes:
@@ -312,27 +323,46 @@ def _bin(start: int, end: int) -> int:
     return 0
 
 
-def _encoded(r: dict, ids: dict[str, int]) -> bytes:
-    text = lambda key: "*" if r[key] is None else r[key]
-    number = lambda key, other=0: other if r[key] is None else r[key]
-    name, steps, seq, qual = text("qname").encode("latin-1"), _steps(text("cigar")), text("seq"), text("qual")
+def _values(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _entries(maps: pa.MapArray) -> Iterator[list[tuple]]:
+    """Pairs of each map, none for null."""
+    ends, keys, values = _values(maps.offsets), _values(maps.keys), _values(maps.items)
+    first = ends[0] if ends else 0
+    for start, end, ok in zip(ends, ends[1:], _values(maps.is_valid()), strict=False):
+        yield [*zip(keys[start - first : end - first], values[start - first : end - first], strict=True)] if ok else []
+
+
+def _plain_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows with nulls as the format writes them; maps are lists of pairs."""
+    none = {"pos": -1, "mate_pos": -1}
+    fill = lambda c, f: _values(c.fill_null("*" if pa.types.is_string(f.type) else none.get(f.name, 0)))
+    return zip(*[_entries(c) if pa.types.is_map(f.type) else fill(c, f) for c, f in zip(batch.columns, batch.schema, strict=True)], strict=True)
+
+
+def _encoded(row: tuple, ids: dict[str, int]) -> bytes:
+    """The bytes of a row of ``_plain_rows``."""
+    qname, flag, contig, pos, mapq, cigar, mate_contig, mate_pos, length, seq, qual, tags, kinds = row
+    name, (steps, span) = qname.encode("latin-1"), (_steps if len(cigar) < 1000 else _steps.__wrapped__)(cigar)
     if len(name) > 254:
         raise ValueError(f"a name of {len(name)} characters; the format has room for 254")
-    ref, pos = ids[text("contig")], number("pos", -1)
-    mate = ref if text("mate_contig") == "=" else ids[text("mate_contig")]
+    ref = ids[contig]
+    mate = ref if mate_contig == "=" else ids[mate_contig]
     bases = 0 if seq == "*" else len(seq)
     if qual != "*" and len(qual) != bases:
-        raise ValueError(f"{text('qname')}: {bases} bases, {len(qual)} qualities")
-    span = sum(s >> 4 for s in steps if STEPS[s & 15] in "MDN=X")
-    tags = b"".join(_tag(k, dict(r["tag_types"] or ()).get(k) or "Z", v) for k, v in r["tags"] or () if v is not None)
+        raise ValueError(f"{qname}: {bases} bases, {len(qual)} qualities")
+    kind_of = dict(kinds)
+    packed_tags = b"".join([_tag(k, kind_of.get(k) or "Z", v) for k, v in tags if v is not None])
     if len(steps) > 65535:
-        tags += b"CGBI" + struct.pack(f"<i{len(steps)}I", len(steps), *steps)
+        packed_tags += b"CGBI" + struct.pack(f"<i{len(steps)}I", len(steps), *steps)
         steps = [bases << 4 | STEPS.index("S"), span << 4 | STEPS.index("N")]
     packed = bytes.fromhex((seq + "=" * (bases % 2)).translate(FROM_BASES)) if bases else b""
     quality = qual.encode("latin-1").translate(FROM_QUALITY) if qual != "*" else b"\xff" * bases
     place = _bin(pos, pos + max(span, 1) - 1) & 65535
-    fixed = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, number("mapq"), place, len(steps), number("flag"), bases, mate, number("mate_pos", -1), number("template_length"))
-    body = fixed + name + b"\0" + struct.pack(f"<{len(steps)}I", *steps) + packed + quality + tags
+    fixed = RECORD.pack(ref, pos, len(name) + 1, mapq, place, len(steps), flag, bases, mate, mate_pos, length)
+    body = b"".join((fixed, name, b"\0", struct.pack(f"<{len(steps)}I", *steps), packed, quality, packed_tags))
     return struct.pack("<i", len(body)) + body
 
 
@@ -385,8 +415,8 @@ class BamWriter(DataSourceArrowWriter):
 
             flush(1)
             for batch in iterator:
-                for r in batch.to_pylist():
-                    record = _encoded(r, ids)
+                for row in _plain_rows(batch):
+                    record = _encoded(row, ids)
                     if held and len(held) + len(record) > BLOCK_BYTES:
                         flush(1)
                     held += record
