@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyseq.operators import anneal, batches, counts, design, draws, intervals, primers, reads, recover, tags
 from tallyseq.plans import summary
-from tallyseq.sinks import files as sinks
+from tallyseq.sinks import files as sinks, workbooks
 from tallyseq.session import materialize
 from tallyseq.sources import bam, files, inputs
+from tallyseq.sources.workbooks import read_order
 
 
 def matrix(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -75,17 +76,26 @@ def _sheet(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return design.order_sheet(selected, info, inputs.read_gene_table(spark, a.genes), a.linkers)
 
 
+def _write_table(rows: DataFrame, path: str, *keys: str) -> None:
+    """A workbook if the path ends in .xlsx, else a folder of text."""
+    if path.endswith(".xlsx"):
+        workbooks.write_workbook(rows, path, *[F.col(c).asc_nulls_last() for c in keys])
+    else:
+        rows.orderBy(*[F.col(c).asc_nulls_last() for c in keys]).write.csv(path, sep="\t", header=True)
+
+
 def order(spark: SparkSession, a: argparse.Namespace) -> None:
-    _sheet(spark, a).orderBy(*[F.col(c).asc_nulls_last() for c in design.SHEET_ORDER]).write.csv(a.out, sep="\t", header=True)
+    _write_table(_sheet(spark, a), a.out, *design.SHEET_ORDER)
 
 
 def pools(spark: SparkSession, a: argparse.Namespace) -> None:
-    design.ordered_primers(_sheet(spark, a).where("amplicon_index is not null"), a.prefix).orderBy("position").write.csv(a.out, sep="\t", header=True)
+    _write_table(design.ordered_primers(_sheet(spark, a).where("amplicon_index is not null"), a.prefix), a.out, "position")
 
 
 def recover_pool(spark: SparkSession, a: argparse.Namespace) -> None:
-    """From an ordered pool (pool, sequence) and transcripts to the pairs behind it, as rows of an order; checks beside them."""
-    ordered = spark.read.csv(files.expand_paths(spark, a.ordered), sep="\t", header=True)
+    """From an ordered pool (pool, sequence), a workbook or text, and transcripts to the pairs behind it, as rows of an order; checks beside them."""
+    paths = files.expand_paths(spark, a.ordered)
+    ordered = read_order(spark, paths).select("pool", "sequence") if paths[0].endswith(".xlsx") else spark.read.csv(paths, sep="\t", header=True)
     pool = materialize(recover.classify(ordered.toDF("pool", "sequence"), a.linkers))
     transcripts = inputs.read_reference(spark, files.expand_paths(spark, a.reference))
     kinds = pool.groupBy(F.upper("primer_seq").alias("pattern")).agg(F.min("primer_type").alias("primer_type"))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.operators.quality import quality_histogram
 from tallyseq.sources.files import file_name, read_fasta, read_lines
+from tallyseq.sources.workbooks import zipped_reports
 
 #: Endings of files of reads and of alignments.
 READ_ENDINGS = (".fq.gz", ".fastq.gz", ".fq", ".fastq")
@@ -137,8 +139,11 @@ def read_primer_names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quality_reports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """sample, read, quality, count of text reports of read qualities, one folder a report: ``<sample>_..._R1_001_fastqc/fastqc_data.txt``."""
-    rows = spark.read.text(paths, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder"), F.explode(quality_histogram(F.col("value"))).alias("q"))
+    """sample, read, quality, count of text reports of read qualities, one folder a report: ``<sample>_..._R1_001_fastqc/fastqc_data.txt``; a zip holds such folders."""
+    zips, plain = [p for p in paths if p.endswith(".zip")], [p for p in paths if not p.endswith(".zip")]
+    parts = [zipped_reports(spark, zips)] if zips else []
+    parts += [spark.read.text(plain, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder"), "value")] if plain or not zips else []
+    rows = reduce(DataFrame.unionByName, parts).select("folder", F.explode(quality_histogram(F.col("value"))).alias("q"))
     read = F.when(F.col("folder").contains("_R1_001"), "r1").otherwise("r2")
     return rows.select(F.split_part("folder", F.lit("_"), F.lit(1)).alias("sample"), read.alias("read"), "q.quality", "q.count")
 
