@@ -29,6 +29,13 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows by ``keys`` over at least two tasks a core, whatever files they come from; adaptive plans keep that number."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

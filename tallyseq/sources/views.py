@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyseq.session import spread
+
 BASES = ("0123456789abcdef", "ACGTACGTACGTACGT")
 
 
@@ -12,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table dealt by the first one: where much is made of each row, a file of few row groups must not be the work of few tasks."""
+    return spread(table(spark, sf_dir, name).select(*columns), columns[0])
+
+
 def umi_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as grouped reads: sample, read_id, gene (genes and a primer pair, comma-joined), final_umi."""
     return table(spark, sf_dir, "lineitem").selectExpr(
@@ -45,7 +52,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as transcripts of 64 bases."""
-    return table(spark, sf_dir, "part").select(
+    return dealt(spark, sf_dir, "part", "p_partkey").select(
         F.col("p_partkey").alias("seq_id"),
         F.translate(F.concat(F.md5(F.col("p_partkey").cast("string")), F.md5(F.concat(F.lit("x"), F.col("p_partkey").cast("string")))), *BASES).alias("seq"),
     )
@@ -54,14 +61,14 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def primers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as primers of 14 bases cut from transcripts: one forward and one reverse each."""
     cut = F.translate(F.md5(F.col("s_suppkey").cast("string")), *BASES)
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pair_id"), F.substring(cut, 3, 14).alias("fwd"), F.reverse(F.translate(F.substring(cut, 19, 14), "ACGT", "TGCA")).alias("rev"))
+    rows = dealt(spark, sf_dir, "supplier", "s_suppkey").select(F.col("s_suppkey").alias("pair_id"), F.substring(cut, 3, 14).alias("fwd"), F.reverse(F.translate(F.substring(cut, 19, 14), "ACGT", "TGCA")).alias("rev"))
     return rows.select("pair_id", F.expr("stack(2, 'fwd', fwd, 'rev', rev) AS (primer_type, primer_seq)"))
 
 
 def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as read pairs: tags of six bases (seven for some), a primer of eight, and a rest; some matched no primer."""
     bases = "translate(md5(cast({} AS string)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
-    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", f"{bases.format('o_orderkey')} AS b1", f"{bases.format('o_orderkey + 7')} AS b2")
+    rows = dealt(spark, sf_dir, "orders", "o_orderkey").selectExpr("o_orderkey AS k", f"{bases.format('o_orderkey')} AS b1", f"{bases.format('o_orderkey + 7')} AS b2")
     return rows.selectExpr(
         "concat('s', k % 6) AS sample",
         "concat('q', k) AS read_id",
@@ -90,7 +97,7 @@ def panel(spark: SparkSession, sf_dir: str, mate: str) -> DataFrame:
 def primed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as pairs of reads, each with a primer of its panel: whole, with errors of each kind, cut at the read's start, or none."""
     bases = "translate(md5(concat('{}', o_orderkey)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
-    rows = table(spark, sf_dir, "orders")
+    rows = dealt(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     for mate, number, shift in (("F", 1, 0), ("R", 2, 3)):
         key = f"concat('{mate}', (o_orderkey + {shift}) % 100 + 1, '_', o_custkey % {PANEL_EACH})"
         rows = rows.join(panel(spark, sf_dir, mate).selectExpr("adapter AS of", f"primer AS p{number}").withColumnRenamed("of", f"of{number}"), F.expr(key) == F.col(f"of{number}"), "left")
@@ -110,7 +117,7 @@ ADAPTERS = ("AGATCGGAAGAGCACACG", "AGATCGGAAGAGCGTCGT")
 
 def quality_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as pairs of reads of 48 bases: an insert, an adapter that some miss a base of or have one wrong, and a tail of varied quality."""
-    rows = table(spark, sf_dir, "orders")
+    rows = dealt(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     out = ["concat('q', o_orderkey) AS read_id"]
     for k, adapter in enumerate(ADAPTERS, 1):
         bases = f"translate(concat(md5(concat('i{k}', o_orderkey)), md5(concat('t{k}', o_orderkey))), '{BASES[0]}', '{BASES[1]}')"
