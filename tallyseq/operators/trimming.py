@@ -1,34 +1,53 @@
 """Read pairs without bad tails and without adapters at their 3' side.
 
-The tail is cut in built-in functions. Adapters are looked up by the index of primers turned round: an adapter that the end of a read cuts short
-is, read backwards, a primer that the start of a read cuts short. Reads pass once, in Arrow batches, and are not shuffled.
+Adapters are looked up by the index of primers turned round: an adapter that the end of a read cuts short
+is, read backwards, a primer that the start of a read cuts short. Reads pass in Arrow batches and are not shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tallyseq.operators.primer_index import MOST_BASES, Index
+from tallyseq.operators.primer_index import MOST_BASES, Index, slices
 
 #: Quality characters start here.
 QUALITY_BASE = 33
 
 
+def tail_sizes(quals: list[str], window: int, mean: float) -> np.ndarray:
+    """Bases of each read up to the end of its last good window, from running sums over all reads together."""
+    sizes = np.array([len(q) for q in quals], np.int64)
+    told = np.zeros(len(quals), np.int32)
+    scores = np.frombuffer("".join(quals).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) - QUALITY_BASE
+    sums = np.concatenate([[0], np.cumsum(scores)])
+    owner = np.repeat(np.arange(len(quals)), sizes)
+    ends = np.arange(1, len(scores) + 1)
+    place = ends - (np.cumsum(sizes) - sizes)[owner]
+    size = np.minimum(sizes, window)[owner]
+    good = np.flatnonzero(place >= size)
+    good = good[sums[ends[good]] - sums[ends[good] - size[good]] >= mean * size[good]]
+    told[owner[good]] = place[good]  # the last one of a read stays
+    return told
+
+
 def tail_length(qual: Column, window: int = 4, mean: float = 20.0) -> Column:
     """Bases up to the end of the last window whose mean quality reaches ``mean``; a read shorter than a window is one. Null counts as empty."""
     if window < 1:
         raise ValueError("a window has one base at least")
-    n = F.length(qual)
-    scores = F.transform(F.sequence(F.lit(1), n), lambda i: F.ascii(F.substr(qual, i, F.lit(1))) - QUALITY_BASE)
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, b: a + b)
-    size = F.least(n, F.lit(window))
-    ends = F.filter(F.sequence(size, n), lambda p: total(F.slice(scores, p - size + 1, size)) >= mean * size)
-    return F.when(n > 0, F.coalesce(F.array_max(ends), F.lit(0))).otherwise(0)
+
+    @F.pandas_udf(IntegerType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for quals in batches:
+            yield pd.Series(tail_sizes([q or "" for q in quals], window, mean))
+
+    return run(qual)
 
 
 def adapter_starts(rows: DataFrame, columns: dict[str, list[str]], rate: float = 0.1, min_overlap: int = 5) -> DataFrame:
@@ -44,6 +63,8 @@ def adapter_starts(rows: DataFrame, columns: dict[str, list[str]], rate: float =
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indexes = {c: Index([a.upper()[::-1] for a in sorted(adapters)], rate, min_overlap) for c, adapters in columns.items()}
+        for c in columns:
+            batches = slices(batches, names.index(c))
         for batch in batches:
             ends = []
             for c, index in indexes.items():

@@ -1,11 +1,13 @@
 """Tails by windows of quality, adapters at any place and cut short at the end, odd reads."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyseq.operators import trimming
+from tallyseq.sources import views
 
 
 def test_tails(spark):
@@ -32,3 +34,17 @@ def test_adapters(spark):
     assert [got[i].r1_seq for i in range(9)] == ["ACGTTT", "ACGTTT", "ACGTTTAGAT", "ACGTTT", "", "CCCCCC", None, "ACGTTT", "NNNNNNNN"]
     assert all(len(r.r1_qual or "") == len(r.r1_seq or "") and r.r2_seq == "ACGTACGT" for r in got.values())
     assert trimming.trim_pairs(pairs.limit(0), [adapter], [adapter]).count() == 0
+
+
+def test_pairs_of_one_file_are_dealt(spark):
+    pairs = views.quality_pairs(spark, "/root/testdata/sf0.001")
+    assert pairs.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_a_tail_takes_time_that_grows_with_the_read():
+    times = []
+    for n in (20_000, 320_000):
+        began = time.perf_counter()
+        assert trimming.tail_sizes(["I" * n + "#" * n] * 3, 4, 20).tolist() == [n + 2] * 3
+        times.append(time.perf_counter() - began)
+    assert times[1] < 100 * times[0] + 0.1
