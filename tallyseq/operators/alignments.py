@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyseq.operators.intervals import overlaps
+from tallyseq.operators.intervals import merged, overlaps
 from tallyseq.operators.ranks import global_rank
 
 #: Bits of a bin of the index of a sorted table.
@@ -52,7 +52,7 @@ def assign_features(rows: DataFrame, exons: DataFrame, strand: int = 1, overlap:
     gives each gene 1 / (hits * genes), else 1. Strands that are null fit no gene unless any fits. Rows are told apart by all their columns, equal rows come once each.
     """
     numbered = rows.select("read_id", "contig", "start", "end", "strand", F.greatest(F.coalesce("hits", F.lit(1)), F.lit(1)).alias("hits"))
-    met = overlaps(numbered.select("contig", "start", "end", "strand").distinct(), exons.select("contig", "start", "end", "gene", F.col("strand").alias("gene_strand")))
+    met = overlaps(numbered.select("contig", "start", "end", "strand").distinct(), merged(exons.where("gene is not null").select("contig", "start", "end", "gene", F.col("strand").alias("gene_strand")), "contig", "gene", "gene_strand"))
     fits = met.where(_strands_fit(strand)).groupBy(F.col("contig").alias("of_contig"), F.col("left_start").alias("of_start"), F.col("left_end").alias("of_end"), F.col("strand").alias("of_strand")).agg(F.array_sort(F.collect_set("gene")).alias("genes"))
     same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ("contig", "start", "end", "strand")]
     told = numbered.join(fits, same[0] & same[1] & same[2] & same[3], "left").select(*numbered.columns, F.coalesce("genes", F.array().cast("array<string>")).alias("genes"))

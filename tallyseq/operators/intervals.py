@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Bits of the smallest bin.
 LEAST_BITS = 6
@@ -41,9 +42,23 @@ def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     return met.where(near).drop("__bin", "__bits", "__first_left", "__first_right")
 
 
+def merged(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, start, end): intervals of equal keys that overlap, as one. What overlaps an interval of a key overlaps one of these, and no other does."""
+    order = Window.partitionBy(*keys).orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = rows.where("start <= end").select(*keys, "start", "end").distinct().withColumn("__first", F.coalesce(F.col("start") > before, F.lit(True)).cast("long"))
+    numbered = apart.withColumn("__run", F.sum("__first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__run")
+
+
 def assign_genes(reads: DataFrame, exons: DataFrame) -> DataFrame:
-    """(read_id, gene): the sorted genes whose exons a read overlaps, comma-joined; ``Unassigned`` for none."""
-    hits = overlaps(reads.select("read_id", "contig", "start", "end"), exons.select("gene", "contig", "start", "end"))
-    every = hits.select("read_id", "gene").unionByName(reads.select("read_id", F.lit(None).cast("string").alias("gene")))
-    found = every.groupBy("read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
+    """(read_id, gene): the sorted genes whose exons a read overlaps, comma-joined; ``Unassigned`` for none.
+
+    Exons of a gene are merged and equal places of reads looked up once, so neither deep exons nor deep reads multiply rows.
+    """
+    rows = reads.select("read_id", "contig", "start", "end")
+    hits = overlaps(rows.select("contig", "start", "end").distinct(), merged(exons.where("gene is not null"), "gene", "contig"))
+    fits = hits.groupBy(F.col("contig").alias("of_contig"), F.col("left_start").alias("of_start"), F.col("left_end").alias("of_end")).agg(F.collect_set("gene").alias("genes"))
+    told = rows.join(fits, (F.col("contig") == F.col("of_contig")) & (F.col("start") == F.col("of_start")) & (F.col("end") == F.col("of_end")), "left")
+    found = told.groupBy("read_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("genes")))).alias("genes"))
     return found.select("read_id", F.when(F.size("genes") > 0, F.array_join("genes", ",")).otherwise("Unassigned").alias("gene"))

@@ -54,6 +54,13 @@ def test_overlaps_match_all_pairs(spark, monkeypatch, bits):
     assert sorted((r["a"], r["b"]) for r in have.collect()) == want
 
 
+def test_exons_of_a_gene_are_merged_before_reads_meet_them(spark):
+    exons = spark.createDataFrame([("G1", "c", i, i + 9) for i in range(0, 300, 3)] + [("G1", "c", 400, 410), ("G2", "c", 305, 306), (None, "c", 1, 2), ("G3", "c", 9, 5)], "gene string, contig string, start long, end long")
+    assert sorted(map(tuple, intervals.merged(exons.where("gene is not null"), "gene", "contig").collect())) == [("G1", "c", 0, 306), ("G1", "c", 400, 410), ("G2", "c", 305, 306)]
+    reads = spark.createDataFrame([("a", "c", 306, 399), ("a", "c", 410, 500), ("b", "c", 307, 399), ("n", None, 1, 2), ("d", "d", 1, 2)], "read_id string, contig string, start long, end long")
+    assert sorted(map(tuple, intervals.assign_genes(reads, exons).collect())) == [("a", "G1,G2"), ("b", "Unassigned"), ("d", "Unassigned"), ("n", "Unassigned")]
+
+
 def test_annealing_finds_the_harmless_design(spark):
     rows = [("g1", 1, "ACGTACGTACGT", "GGGGCCCCGGGG"), ("g1", 2, "AAAAAACAAAAA", "AAACAAAAAACA"), ("g2", 3, "AACAACAACAAC", "CAAAACAAAACA"), (None, 4, "A", "A")]
     candidates = spark.createDataFrame(rows, "gene string, amplicon_index long, l_seq string, r_seq string")
