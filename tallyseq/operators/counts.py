@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tallyseq.functions.sequence import features_of
 from tallyseq.operators.graph import connected_components
+from tallyseq.session import spread
 
 
 #: Samples or features up to this number are broadcast.
@@ -155,16 +156,16 @@ def rarefy(counts: DataFrame, depth: int, seed: int = 42, block: int = 4096) ->
 
     Molecules are ordered by a hash. Buckets of hash values hold about ``block`` molecules each,
     whatever the sample's depth; buckets are taken whole until the one that holds the last drawn
-    molecule, and only there molecules are ranked. A cell's copies are made in pieces of a bounded size.
+    molecule, and only there molecules are ranked. A cell's copies are made in pieces of a bounded size, dealt to all cores.
     """
     totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
     rows = counts.where("n > 0").join(totals, "sample")
-    piece = 1 << 16
-    pieces = rows.where(F.col("total") > depth).withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})"))).repartition("sample", "feature", "piece")
+    piece = 1 << 13
+    pieces = spread(rows.where(F.col("total") > depth).withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})"))), "sample", "feature", "piece")
     deep = pieces.withColumn("copy", F.explode(F.expr(f"sequence(piece * {piece} + 1, least(n, (piece + 1) * {piece}))")))
     key = F.md5(F.concat_ws(":", "sample", "feature", "copy", F.lit(seed)))
-    spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
-    deep = deep.withColumn("key", key).withColumn("bucket", F.floor(spread * F.ceil(F.col("total") / block)))
+    part = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
+    deep = deep.withColumn("key", key).withColumn("bucket", F.floor(part * F.ceil(F.col("total") / block)))
     sizes = deep.groupBy("sample", "bucket").agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.partitionBy("sample").orderBy("bucket")) - F.col("size")
     wanted = sizes.withColumn("need", depth - before).where("need > 0").select("sample", "bucket", "need", (F.col("need") < F.col("size")).alias("partly"))
