@@ -118,10 +118,11 @@ def passing_amplicons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pool_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An ordered pool traced to its pairs: all primers on all transcripts, each in two forms, and the order that they come from."""
-    pool = views.primers(spark, sf_dir).selectExpr("primer_seq", "primer_type", "concat('p', pair_id % 3) AS pool")
+    named = views.primers(spark, sf_dir).groupBy("primer_seq").agg(F.min("primer_type").alias("primer_type"), F.min("pair_id").alias("pair_id"))
+    pool = named.selectExpr("primer_seq", "primer_type", "concat('p', pair_id % 3) AS pool")  # a sequence that was ordered again belongs to its first pair
     forms = views.sequences(spark, sf_dir).selectExpr("explode(array('a', 'b')) AS form", "seq_id AS p", "seq")
     transcripts = forms.selectExpr("concat('T', p, form, '.1|E', p % 9, '.2|x|y|z|S', p % 9) AS seq_id", "seq")
-    kinds = pool.groupBy(F.upper("primer_seq").alias("pattern")).agg(F.min("primer_type").alias("primer_type"))
+    kinds = pool.select(F.col("primer_seq").alias("pattern"), "primer_type")
     located = primers.locate(transcripts, kinds.select("pattern")).join(kinds, "pattern")
     found = recover.mark_passing(primers.amplicons(located), 20, 40).where("pass")
     return design.recovered_orders(recover.list_pairs(recover.named_amplicons(found, pool)))

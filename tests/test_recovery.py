@@ -2,12 +2,14 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyseq.__main__ import main
 from tallyseq.operators import counts, pairing, primers, recover, stats
+from tallyseq.plans import design
 from tallyseq.sources import files
 
 
@@ -94,3 +96,22 @@ def test_matching_of_groups(spark):
         pairing.match_groups(rows, groups.where("sample <> 's3'"))
     with pytest.raises(Exception, match="below 0"):  # the job that ranks the values raises it
         pairing.match_groups(rows.withColumn("n", -F.col("n") - 1), groups).collect()
+
+
+def test_a_primer_of_two_pools_belongs_to_its_first_pair(spark, tmp_path):
+    """Suppliers 26986 and 40749 have one forward primer and different pools."""
+    for table, key in (("supplier", "s_suppkey"), ("part", "p_partkey")):
+        spark.createDataFrame([(26986,), (40749,), (5,)], f"{key} long").write.parquet(f"{tmp_path}/{table}.parquet")
+    con = duckdb.connect()
+    for table in ("supplier", "part"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    found = design.pool_orders(spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in found.columns)} FROM ({design.oracle_sql()['pool_orders']})").fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(want) and len(want) >= 3
+
+
+def test_rarefied_molecules_are_dealt_to_all_cores(spark):
+    rows = spark.createDataFrame([("s", "f", 100_000)], "sample string, feature string, n long")
+    found = counts.rarefy(rows, 500)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("s", "f", 500)]
