@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 from tallyseq.operators import primers
+from tallyseq.plans import registry
 
 SEQS = {"a": "TTACGGATCCGTA", "b": "AACGGATC", "c": "GATC", "d": "CCC"}
 
@@ -16,3 +17,18 @@ def test_words_of_four_to_eight_bases(spark, own, end):
     want = Counter((i, j, u, d, e) for i, u, d in words for j, v, e in words if u == rc(v) and (i < j or own and i == j))
     found = primers.complement_hits(spark.createDataFrame([*SEQS.items()], "id string, seq string"), include_self=own, most_from_end=end)
     assert Counter((r.id_1, r.id_2, r.kmer, r.d_1, r.d_2) for r in found.collect()) == want and want
+
+
+def test_frequent_words_are_cut_into_parts(spark, monkeypatch):
+    pool = spark.createDataFrame([(f"{i}{s}", seq) for i in range(5) for s, seq in SEQS.items()], "id string, seq string")
+    told = lambda: Counter(map(tuple, primers.complement_hits(pool).collect()))
+    whole = told()
+    monkeypatch.setattr(primers, "TOGETHER", 2)
+    assert told() == whole and whole
+
+
+@pytest.mark.parametrize("name", ["pattern_locations", "location_checks", "amplicons", "passing_amplicons", "pair_complement_words", "name_audit"])
+def test_rows_of_one_row_group_are_dealt(spark, name):
+    """Otherwise the task that reads a small table makes everything of it."""
+    found = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
