@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyseq.functions.sequence import reverse_complement
+from tallyseq.functions.sequence import kmers, reverse_complement
 from tallyseq.operators.ranks import global_rank
 from tallyseq.operators.recover import LINKERS, PREFIXES
 
@@ -150,11 +150,12 @@ def complement_words(one: str, two: str, k_min: int, k_max: int) -> Column:
     """Distinct words of column ``one`` whose reverse complement stands in ``two``, as (k, at_one, at_two, word) structs; bounds are checked."""
     if not 0 < k_min <= k_max:
         raise ValueError("0 < k_min <= k_max is needed")
-    windows = lambda c, k: F.when(F.length(c) >= k, F.transform(F.sequence(F.lit(0), F.length(c) - k), lambda i: F.struct(i.alias("at"), F.substr(c, i + 1, F.lit(k)).alias("word"))))
+    windows = lambda c, k: kmers(F.col(c), k)
 
     def met(k: int) -> Column:
-        other = F.coalesce(windows(two, k), F.array())
-        pairs = lambda a: F.transform(F.filter(other, lambda b: reverse_complement(b["word"]) == a["word"]), lambda b: F.struct(F.lit(k).alias("k"), a["at"].alias("at_one"), b["at"].alias("at_two"), a["word"].alias("word")))
-        return F.flatten(F.transform(F.coalesce(windows(one, k), F.array()), pairs))
+        # the words of ``two`` are turned round once and held by the outer lambda: what stands inside one is made again for each element
+        other = F.transform(windows(two, k), lambda b: F.struct(b["at"].alias("at"), reverse_complement(b["kmer"]).alias("turned")))
+        pairs = lambda a, held: F.transform(F.filter(held, lambda b: b["turned"] == a["kmer"]), lambda b: F.struct(F.lit(k).alias("k"), a["at"].alias("at_one"), b["at"].alias("at_two"), a["kmer"].alias("word")))
+        return F.flatten(F.transform(F.array(other), lambda held: F.flatten(F.transform(windows(one, k), lambda a: pairs(a, held)))))
 
     return F.flatten(F.array(*[met(k) for k in range(k_min, k_max + 1)]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyseq.functions.gene_names import audit
 from tallyseq.operators import design, primers, recover
 from tallyseq.plans import catalog
+from tallyseq.session import spread
 from tallyseq.sources import views
 
 FWD, REV = (design.order_prefix(k) for k in ("fwd", "rev"))
@@ -20,6 +21,11 @@ def _parts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return views.table(spark, sf_dir, "part").selectExpr("*", f"{cut} AS cut").selectExpr(*columns)
 
 
+def _dealt_parts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Parts for queries that make much of each."""
+    return spread(_parts(spark, sf_dir, "p_partkey", "cut"), "p_partkey").selectExpr(*columns)
+
+
 def _subset(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     targets = views.table(spark, sf_dir, "nation").selectExpr("concat('G', n_nationkey) AS gene")
     transcripts = _parts(spark, sf_dir, "concat('T', p_partkey) AS transcript_id", "concat('G', p_partkey % 40) AS gene_symbol", "concat('E', p_partkey % 40) AS gene_id")
@@ -108,7 +114,7 @@ def name_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('Abcd', p_partkey % 9)", "concat('Gm', 100 + p_partkey % 5)", "concat('Abcd', p_partkey % 9, '-Xyz', p_partkey % 4)", "concat('Xyz', p_partkey % 3)", "concat('mt-Co', p_partkey % 2)", "concat('Xyz', p_partkey % 3, 'P', p_partkey % 2)", "concat('Klra', p_partkey % 3)", "concat('Klra', p_partkey % 3, 'b', p_partkey % 2)",
     )
     listed = ", ".join(f"CASE WHEN shiftright(p_partkey, {i}) % 2 = 1 THEN {k} ELSE '' END" for i, k in enumerate(kinds))
-    rows = _parts(spark, sf_dir, "p_partkey AS id", f"array({listed}) AS names")
+    rows = _dealt_parts(spark, sf_dir, "p_partkey AS id", f"array({listed}) AS names")
     return rows.select("id", F.explode(audit(F.col("names"))).alias("d")).select("id", "d.*")
 
 
@@ -142,7 +148,7 @@ def parsed_sequence_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_complement_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _parts(spark, sf_dir, "p_partkey AS pair_id", "substring(cut, 1, 14) AS one", "substring(cut, 15, 14) AS two")
+    rows = _dealt_parts(spark, sf_dir, "p_partkey AS pair_id", "substring(cut, 1, 14) AS one", "substring(cut, 15, 14) AS two")
     return rows.select("pair_id", F.explode(design.complement_words("one", "two", 4, 8)).alias("w")).select("pair_id", "w.*")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.operators import alignments
-from tallyseq.session import shared_dir
+from tallyseq.session import shared_dir, spread
 from tallyseq.sources import bam, files, views
 
 
@@ -64,7 +64,7 @@ _RECORD = {
 
 def binary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments written as binary files and read from them in splits."""
-    rows = views.table(spark, sf_dir, "lineitem").selectExpr(*[f"{c} AS {n}" for n, c in _RECORD.items()])
+    rows = spread(views.table(spark, sf_dir, "lineitem"), "l_orderkey").selectExpr(*[f"{c} AS {n}" for n, c in _RECORD.items()])
     tags = F.map_filter(F.create_map(F.lit("NH"), F.col("hits").cast("string"), F.lit("XT"), F.col("gene")), lambda _, v: v.isNotNull())
     whole = rows.withColumns({"mapq": F.lit(60), "mate_contig": F.lit("*"), "mate_pos": F.lit(-1), "template_length": F.lit(0), "tags": tags, "tag_types": F.create_map(F.lit("NH"), F.lit("i"))})
     path = f"{shared_dir(spark)}/tallyseq-{uuid.uuid4().hex}"
