@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.session import spread
+
 #: The universal prefixes of forward and reverse primers, with their random bases.
 PREFIXES = {"fwd": "CCTACACGACGCTCTTCCGATCTNNNNNN", "rev": "TCAGACGTGTGCTCTTCCGATCTNNNNNN"}
 #: The optional linkers after the prefixes.
@@ -43,11 +45,13 @@ def group_pairs(amplicons: DataFrame) -> DataFrame:
     """One row per (fwd, rev): the first amplicon by gene and transcript, counts, and all transcripts.
 
     ``amplicons`` has fwd, rev, gene_id, transcript_id, start, end. The listing of a group is an
-    aggregate of distinct names: repeated places do not lengthen it.
+    aggregate of distinct names: repeated places do not lengthen it. Amplicons are dealt by pair once; both
+    aggregates find their rows in place, and numbers of names come from the sets.
     """
-    rows = amplicons.groupBy("fwd", "rev", "gene_id", "transcript_id").agg(F.min(F.struct("start", "end")).alias("place"), F.count("*").alias("n"))
+    rows = spread(amplicons.select("fwd", "rev", "gene_id", "transcript_id", "start", "end"), "fwd", "rev").groupBy("fwd", "rev", "gene_id", "transcript_id").agg(F.min(F.struct("start", "end")).alias("place"), F.count("*").alias("n"))
     first = F.min(F.struct("gene_id", "transcript_id", F.col("place.start").alias("start"), F.col("place.end").alias("end")))
-    found = rows.groupBy("fwd", "rev").agg(first.alias("first"), F.count_distinct("transcript_id").alias("num_transcripts"), F.count_distinct("gene_id").alias("num_genes"), F.sum("n").alias("num_amplicons"), F.array_join(F.array_sort(F.collect_set("transcript_id")), ";").alias("transcript_id_all"))
+    number = lambda c: F.size(F.collect_set(c)).cast("long")
+    found = rows.groupBy("fwd", "rev").agg(first.alias("first"), number("transcript_id").alias("num_transcripts"), number("gene_id").alias("num_genes"), F.sum("n").alias("num_amplicons"), F.array_join(F.array_sort(F.collect_set("transcript_id")), ";").alias("transcript_id_all"))
     return found.select("fwd", "rev", "first.*", "num_transcripts", "num_genes", "num_amplicons", "transcript_id_all")
 
 

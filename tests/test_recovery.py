@@ -115,3 +115,11 @@ def test_rarefied_molecules_are_dealt_to_all_cores(spark):
     found = counts.rarefy(rows, 500)
     assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [("s", "f", 500)]
+
+
+def test_groups_of_pairs_shuffle_amplicons_once(spark):
+    rows = spark.createDataFrame([("A", "C", "g2", "t2", 1, 9), ("A", "C", "g1", "t1", 5, 9), ("A", "C", "g1", "t1", 2, 9), ("A", "C", None, "t3", 1, 2)], "fwd string, rev string, gene_id string, transcript_id string, start int, end int")
+    found = recover.group_pairs(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange") == 1
+    assert [(r.num_transcripts, r.num_genes, r.num_amplicons, r.transcript_id_all) for r in found.collect()] == [(3, 2, 4, "t1;t2;t3")]
