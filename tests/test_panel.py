@@ -71,6 +71,17 @@ def test_annealing_finds_the_harmless_design(spark):
     assert found["g1"]["loss"] == pytest.approx(loss)
 
 
+def test_a_chain_makes_only_the_tails_that_it_looks_at(spark):
+    bases = "translate(md5(cast({} as string)), '0123456789abcdef', 'ACGTACGTACGTACGT')"
+    rows = spark.range(210_000).selectExpr("concat('g', id % 3) AS gene", "id AS amplicon_index", f"substring({bases.format('id')}, 1, 14) AS l_seq", f"substring({bases.format('id')}, 15, 14) AS r_seq")
+    found = {r["gene"]: r["design"] for r in anneal.anneal(rows, 10, chains=1).collect()}
+    assert {g: d % 3 for g, d in found.items()} == {"g0": 0, "g1": 1, "g2": 2}
+    asked = set()
+    tails_of = lambda at: asked.add(at) or anneal.design_tails("ACGTACGTACGTAC", None, 4, 12, 2)
+    losses, best = anneal.run_chain([range(0, 100_000), range(100_000, 100_001)], tails_of, 20, 1)
+    assert len(losses) == 31 and len(asked) <= 32 and best[1] == 100_000
+
+
 def test_sanity_report_and_record_ids(spark):
     pool = spark.createDataFrame([("A", "fwd", "1"), ("A", "rev", "1"), ("C", "rev", "2")], "primer_seq string, primer_type string, pool string")
     located = spark.createDataFrame([("A", "t1", "g1", 1, 1), ("A", "t1", "g1", 5, 5), ("A", "t2", "g2", 1, 2)], "pattern string, seq_id string, gene_id string, start long, end long")
