@@ -69,6 +69,23 @@ def test_loads_equal_hits(spark):
             assert got[k][0] == n and abs(got[k][1] - load) < 1e-9
 
 
+def test_loads_shuffle_sums_and_no_words_of_primers(spark):
+    dice = random.Random(6)
+    half = ["".join(dice.choice("ACGT") for _ in range(12)) for _ in range(6)]
+    turned = [s[::-1].translate(str.maketrans("ACGT", "TGCA")) for s in half]
+    pool = spark.createDataFrame([*enumerate(half + turned), (12, None), (13, "AC")], "id int, seq string")
+    plan = primers.complement_loads(pool)._jdf.queryExecution().executedPlan().toString()
+    dealt = [x.split(")")[0] for x in plan.split("hashpartitioning(id#")[1:]]
+    assert dealt and not any("kmer" in keys for keys in dealt)
+    want = {}
+    for r in primers.complement_hits(pool, 7, 11).collect():  # longer words are joined and not sent
+        for own in {r.id_1, r.id_2}:
+            n, load = want.get(own, (0, 0.0))
+            want[own] = n + 1, load + r.score / (2 if r.id_1 == r.id_2 else 1)
+    got = {r.id: (r.hits, r.load) for r in primers.complement_loads(pool, 7, 11).collect()}
+    assert set(got) == set(want) and all(got[k][0] == n and abs(got[k][1] - load) < 1e-6 for k, (n, load) in want.items())
+
+
 def test_rarefy_and_correct_commands(spark, tmp_path):
     dice = random.Random(1)
     (tmp_path / "m.csv").write_text("sample,x,y,z\n" + "".join(f"s{i},{dice.randint(20, 60)},{dice.randint(30, 90) * (1 + i % 2)},{dice.randint(5, 9)}\n" for i in range(6)))
