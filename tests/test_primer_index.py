@@ -98,3 +98,16 @@ def test_many_reads_are_cut_into_steps(spark, monkeypatch):
     monkeypatch.setattr(primer_index, "TOGETHER", 100)
     index = primer_index.Index(["ACGTACGTACGTACGT"], 0.1, 16)
     assert np.array_equal(index.best([r.encode() for r in reads]), np.tile(index.best([reads[0].encode()]), (50, 1)))
+
+
+def test_candidates_are_few_beside_a_large_panel():
+    dice = random.Random(3)
+    some = lambda n: "".join(dice.choice("ACGT") for _ in range(n))
+    primers = [some(20) for _ in range(3000)]
+    index = primer_index.Index(primers, 0.1, 20)
+    reads = [some(4) + p[:5] + some(1) + p[5:14] + p[15:] + some(20) for p in primers[:200]]  # a base more between pieces, one less in another
+    codes = primer_index.CODES[np.frombuffer("".join(reads).encode(), np.uint8)]
+    sizes = np.array([len(r) for r in reads])
+    assert len(index.candidates(codes, np.cumsum(sizes) - sizes, sizes)[0]) < 10 * len(reads)
+    told = index.best([r.encode() for r in reads])
+    assert (told[:, 0] >= 0).all() and [primers[index.rank[t]] for t in told[:, 0]] == primers[:200]
