@@ -32,7 +32,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, exact similarity of 0.8 or more."""
+    """One document of each group of near copies: SimHash blocks over five-word shingles, then bands for what they miss; exact similarity of 0.8 or more."""
     return near_copies.keep_one(docs.select(*COLUMNS))
 
 

@@ -1,7 +1,9 @@
-"""Near copies by shared word shingles: min-hash bands find candidates, exact Jaccard decides.
+"""Near copies by shared word shingles: SimHash blocks and min-hash bands find candidates, exact Jaccard decides.
 
 A text is its set of lower-case shingles of five words, each a 64-bit hash. Two texts are
-linked if ``|A & B| / |A | B|`` is at least 0.8, counted on the sets themselves. Candidates
+linked if ``|A & B| / |A | B|`` is at least 0.8, counted on the sets themselves. First candidates are
+those whose SimHash fingerprints over the set differ in at most ``DISTANCE`` bits, by the pigeonhole blocks of ``simhash``. Those bits
+meet only part of the pairs that are similar, so more candidates
 agree on all rows of one of the bands; a pair at exactly 0.8 meets in none with probability
 ``(1 - 0.8 ** ROWS) ** BANDS`` (7 in a million), more similar ones with less.
 
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyseq.llm import simhash
 from tallyseq.llm.keep import keep_decided, text_key
 from tallyseq.llm.names import clear_of
 from tallyseq.operators.graph import connected_components
@@ -37,6 +40,8 @@ from tallyseq.session import materialize
 BANDS = 65
 ROWS = 8
 SHINGLE = 5
+#: Bits in which fingerprints of candidates differ at most.
+DISTANCE = 3
 #: At least this share, as a fraction of whole numbers: no rounding at the edge.
 SIMILAR = (4, 5)
 #: Members outside a bucket's largest group up to which they are paired with all others.
@@ -79,14 +84,15 @@ def band_keys(some: np.ndarray) -> np.ndarray:
 
 
 def _shape(text: Column) -> Column:
-    """A key of the whole set, its size, and its bands."""
+    """A key of the whole set, its size, its fingerprint, and its bands."""
 
-    @F.pandas_udf("set_key long, n long, bands array<long>")
+    @F.pandas_udf("set_key long, n long, fp long, bands array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             sets = [shingles(t) for t in texts]
             keys = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"set_key": keys, "n": [len(s) for s in sets], "bands": [band_keys(s) for s in sets]})
+            fps = np.array([simhash.majority([s]) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({"set_key": keys, "n": [len(s) for s in sets], "fp": fps, "bands": [band_keys(s) for s in sets]})
 
     return run(text)
 
@@ -121,22 +127,23 @@ def _could(a: Column, b: Column) -> Column:
 def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id, ``text_key``, ``component_id`` (smallest id that links reach), ``keeper``.
 
-    Equal sets collapse first. In each bucket one seeded member meets the others. Then members of a bucket that are
+    Equal sets collapse first. Sets of near fingerprints meet, and in each bucket one seeded member meets the others. Then members of a bucket that are
     still in different groups meet. Pairs in one group need no comparison, so a large group is not squared.
     """
     marked = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), _shape(F.col(text_col)).alias("s"))
     marked = materialize(marked.select("id", "text_key", "s.*"))
     low = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("low")
-    classes = materialize(marked.groupBy(F.col("set_key").alias("node"), "n").agg(low, F.any_value("bands").alias("bands"), F.count("*").alias("members")))
+    classes = materialize(marked.groupBy(F.col("set_key").alias("node"), "n").agg(low, F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.count("*").alias("members")))
     total = marked.count()
     spots = classes.select("node", "n", F.explode("bands").alias("bucket"))
     members = _led(spots)
-    candidates = members.select("node").distinct().join(classes.select("node", "low"), "node")
+    near = _near_fingerprints(classes.select("node", "fp"))
+    candidates = members.select("node").union(near.select("src")).union(near.select("dst")).distinct().join(classes.select("node", "low"), "node")
     candidates = candidates.select("node", F.col("low.id").alias("__id"), F.col("low.text_key").alias("__key"))
     rows = docs.select(F.col(id_col).alias("__of"), text_key(F.col(text_col)).alias("__text_key"), F.col(text_col).alias("__text"))
     texts = rows.join(candidates, (F.col("__text_key") == F.col("__key")) & F.col("__of").eqNullSafe(F.col("__id")))
     sets = materialize(texts.select("node", _set_of(F.col("__text")).alias("some")).dropDuplicates(["node"]))
-    links, parts = _stars(members, sets)
+    links, parts = _stars(members, sets, near)
     parts = _rest(members, sets, links, parts)
     of = classes.select("node", "low", "members").join(parts, "node", "left").select("node", "low", "members", F.coalesce("component", "node").alias("part"))
     lows = of.groupBy("part").agg(F.min("low").alias("first"), F.count("*").alias("parts"))
@@ -159,10 +166,20 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
 
 
-def _stars(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each bucket's lead meets the other members: the links, and the groups that they make."""
+def _near_fingerprints(classes: DataFrame) -> DataFrame:
+    """Pairs (src, dst) of classes (node, fp) by SimHash: those of one fingerprint with the first of them, and the first ones of linked fingerprints."""
+    leads = materialize(classes.groupBy("fp").agg(F.min("node").alias("lead"), F.count("*").alias("members")))
+    links = simhash.hamming_links(leads.select("fp"), DISTANCE, simhash.blocks_for(leads.count(), DISTANCE))
+    one, other = (leads.select(F.col("fp").alias(end), F.col("lead").alias(f"{end}_lead")) for end in ("src", "dst"))
+    across = links.distinct().join(one, "src").join(other, "dst").select(*_pair("src_lead", "dst_lead"))
+    within = join_hot(classes, leads.where("members > 1"), "fp", classes.count()).where("node <> lead").select(*_pair("node", "lead"))
+    return materialize(across.union(within).distinct())
+
+
+def _stars(members: DataFrame, sets: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sets of near fingerprints meet, and each bucket's lead meets the other members: the links, and the groups that they make."""
     rows = members.where("node <> lead").where(_could(F.col("n"), F.col("lead_n")))
-    links = materialize(_linked(rows.select(*_pair("node", "lead")).distinct(), sets))
+    links = materialize(_linked(near.union(rows.select(*_pair("node", "lead"))).distinct(), sets))
     return links, connected_components(links)
 
 

@@ -10,7 +10,7 @@ output column comes out as name + ``_input``; ``keep_one`` returns the columns o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -43,11 +43,16 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     else:
         parts = [b" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)]
     digest = xxhash.xxh64_intdigest
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(parts), 65536):
-        some = np.array([digest(p, seed) for p in parts[at : at + 65536]], dtype="<u8")
-        votes += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > len(parts), bitorder="little").tobytes(), "little")
+    return majority(np.array([digest(p, seed) for p in parts[at : at + 65536]], dtype=np.uint64) for at in range(0, len(parts), 65536))
+
+
+def majority(hashes: Iterable[np.ndarray]) -> int:
+    """The bits that are set in over half of the hashes, which come in parts; 0 for none."""
+    votes, total = np.zeros(BITS, np.int64), 0
+    for some in hashes:
+        votes += np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(some)
+    return int.from_bytes(np.packbits(votes * 2 > total, bitorder="little").tobytes(), "little")
 
 
 def fingerprint(text: Column, shingle: int = 3, seed: int = 42) -> Column:

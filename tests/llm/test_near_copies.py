@@ -105,3 +105,25 @@ def test_odd_rows(spark):
     table = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], KIND)
     assert sorted((r.doc_id or 0, r.text or "") for r in near_copies.keep_one(table).collect()) == [(0, "no id"), (1, ""), (4, "a b c d e f"), (4, "g h i j k")]
     assert near_copies.keep_one(table.limit(0)).count() == 0
+
+
+def test_simhash_blocks_find_near_copies_by_themselves(spark, monkeypatch):
+    dice = random.Random(8)
+    rows = []
+    for i in range(12):
+        words = [f"w{dice.randrange(10**6)}" for _ in range(400)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:-1], "other"]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    led = near_copies._led
+    monkeypatch.setattr(near_copies, "_led", lambda spots: led(spots).limit(0))  # no bands
+    found = {r.doc_id: r.component_id for r in near_copies.copy_groups(docs).collect()}
+    assert all(c in (d, d - d % 2) for d, c in found.items())
+    assert sum(found[2 * i + 1] == 2 * i for i in range(12)) >= 6
+
+
+def test_near_fingerprints_are_checked_exactly(spark):
+    classes = spark.createDataFrame([(1, 5), (2, 5), (3, 4), (4, -1)], "node long, fp long")
+    near = near_copies._near_fingerprints(classes)
+    assert sorted(map(tuple, near.collect())) == [(1, 2), (1, 3)]
+    sets = spark.createDataFrame([(1, [1, 2, 3, 4, 5]), (2, [1, 2, 3, 4]), (3, [6])], "node long, some array<long>")
+    assert [tuple(r) for r in near_copies._linked(near, sets).collect()] == [(1, 2)]
