@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyseq.operators.intervals import merged, overlaps
 from tallyseq.operators.ranks import global_rank
 
+_PLACE = ["contig", "start", "end", "strand"]
 #: Bits of a bin of the index of a sorted table.
 INDEX_BITS = 14
 
@@ -37,6 +38,10 @@ def place_index(rows: DataFrame, *ties: str) -> DataFrame:
     return placed.groupBy("contig", "bin").agg(F.min("rank").alias("first"), F.count("*").alias("records"))
 
 
+def _hits() -> Column:
+    return F.greatest(F.coalesce("hits", F.lit(1)), F.lit(1)).alias("hits")
+
+
 def _strands_fit(strand: int) -> Column:
     if strand not in (0, 1, 2):
         raise ValueError("strand is 0 (any), 1 (the gene's own) or 2 (the other one)")
@@ -51,7 +56,17 @@ def assign_features(rows: DataFrame, exons: DataFrame, strand: int = 1, overlap:
     several hits counts only if ``multiple``, one with several genes only if ``overlap``. With ``fraction`` an alignment
     gives each gene 1 / (hits * genes), else 1. Strands that are null fit no gene unless any fits. Rows are told apart by all their columns, equal rows come once each.
     """
-    numbered = rows.select("read_id", "contig", "start", "end", "strand", F.greatest(F.coalesce("hits", F.lit(1)), F.lit(1)).alias("hits"))
+    return _told(rows.select("read_id", *_PLACE, _hits()), exons, strand, overlap, multiple, fraction)
+
+
+def feature_counts(rows: DataFrame, exons: DataFrame, strand: int = 1, overlap: bool = True, multiple: bool = True, fraction: bool = False) -> DataFrame:
+    """``feature_totals`` of ``assign_features``, where alignments of one place and number of hits are counted before they meet a gene."""
+    counted = rows.select(*_PLACE, _hits()).groupBy(*_PLACE, "hits").agg(F.count("*").alias("alignments"))
+    told = _told(counted if multiple else counted.where("hits = 1"), exons, strand, overlap, multiple, fraction)
+    return feature_totals(told.withColumn("weight", F.col("weight") * F.col("alignments")))
+
+
+def _told(numbered: DataFrame, exons: DataFrame, strand: int, overlap: bool, multiple: bool, fraction: bool) -> DataFrame:
     met = overlaps(numbered.select("contig", "start", "end", "strand").distinct(), merged(exons.where("gene is not null").select("contig", "start", "end", "gene", F.col("strand").alias("gene_strand")), "contig", "gene", "gene_strand"))
     fits = met.where(_strands_fit(strand)).groupBy(F.col("contig").alias("of_contig"), F.col("left_start").alias("of_start"), F.col("left_end").alias("of_end"), F.col("strand").alias("of_strand")).agg(F.array_sort(F.collect_set("gene")).alias("genes"))
     same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in ("contig", "start", "end", "strand")]

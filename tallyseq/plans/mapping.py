@@ -40,7 +40,7 @@ def fraction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unique_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per gene on any strand of alignments with one hit and one gene."""
-    found = alignments.feature_totals(alignments.assign_features(_rows(spark, sf_dir), _exons(spark, sf_dir), 0, overlap=False, multiple=False))
+    found = alignments.feature_counts(_rows(spark, sf_dir), _exons(spark, sf_dir), 0, overlap=False, multiple=False)
     return found.select("gene", F.col("n").cast("long").alias("n"))
 
 

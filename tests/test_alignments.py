@@ -52,3 +52,15 @@ def test_statuses(spark):
     assert alignments.assign_features(rows.limit(0), exons).count() == 0 and alignments.assign_features(rows, exons.limit(0)).count() == 7
     with pytest.raises(ValueError, match="strand"):
         alignments.assign_features(rows, exons, 3)
+
+
+def test_places_are_counted_before_they_meet_genes(spark, monkeypatch):
+    rows = spark.range(600).selectExpr("cast(id AS string) AS read_id", "'c' AS contig", "id % 5 * 10 AS start", "id % 5 * 10 + 9 AS end", "CASE id % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' END AS strand", "CASE WHEN id % 4 > 0 THEN cast(id % 4 AS int) END AS hits")
+    exons = spark.createDataFrame([("A", "c", 0, 5, "+"), ("B", "c", 8, 25, "-"), ("C", "c", 33, 41, "+")], "gene string, contig string, start long, end long, strand string")
+    told, met = alignments._told, []
+    monkeypatch.setattr(alignments, "_told", lambda numbered, *how: met.append(numbered.count()) or told(numbered, *how))
+    for how in ((0, True, True, True), (1, True, True, False), (0, False, False, False), (2, True, False, True)):
+        want = {r.gene: r.n for r in alignments.feature_totals(alignments.assign_features(rows, exons, *how)).collect()}
+        got = {r.gene: r.n for r in alignments.feature_counts(rows, exons, *how).collect()}
+        assert set(got) == set(want) and all(abs(got[g] - want[g]) < 1e-9 for g in want)
+        assert met[-2] == 600 and met[-1] <= 45
