@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -57,10 +57,21 @@ def mean_abundance(counts: DataFrame) -> DataFrame:
     return shares.crossJoin(totals.agg(F.count("*").alias("samples"))).select("feature", (F.col("shares") / F.col("samples")).alias("abundance"))
 
 
+def _names(gene: Column) -> Column:
+    """The names of a composite gene, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(gene, ","), lambda g: F.trim(g)), lambda g: g != "")
+
+
+def _by_read(rows: DataFrame) -> DataFrame:
+    """Rows dealt by (sample, read_id) before anything is grouped: reads hardly repeat, so sums on both sides of a shuffle hold them twice."""
+    return spread(rows, "sample", "read_id", rows=rows.count())
+
+
 def consolidate_reads(groups: DataFrame) -> DataFrame:
     """One row per (sample, read): its sorted distinct genes."""
-    genes = groups.select("sample", "read_id", F.explode(F.split("gene", ",")).alias("gene")).select("sample", "read_id", F.trim("gene").alias("gene")).where("gene <> ''")
-    return genes.groupBy("sample", "read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes"))
+    rows = _by_read(groups.select("sample", "read_id", "gene"))
+    named = rows.groupBy("sample", "read_id").agg(F.array_join(F.collect_list("gene"), ",").alias("gene"))
+    return named.select("sample", "read_id", F.array_sort(F.array_distinct(_names(F.col("gene")))).alias("genes")).where(F.size("genes") > 0)
 
 
 def cooccurrence(reads: DataFrame) -> DataFrame:
@@ -116,7 +127,7 @@ def read_components(reads: DataFrame, parts: DataFrame) -> DataFrame:
 def torn_reads(reads: DataFrame, parts: DataFrame) -> DataFrame:
     """Reads whose genes lie in several components; there are none if the components come from these reads."""
     genes = reads.select("sample", "read_id", F.explode("genes").alias("gene")).join(parts, "gene", "left")
-    return genes.groupBy("sample", "read_id").agg(F.count_distinct(F.coalesce("component", "gene")).alias("n")).where("n > 1")
+    return genes.groupBy("sample", "read_id").agg(F.size(F.collect_set(F.coalesce("component", "gene"))).cast("long").alias("n")).where("n > 1")
 
 
 def normalized_counts(groups: DataFrame, dedup: bool = True) -> DataFrame:

@@ -29,10 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows by ``keys`` over at least two tasks a core, whatever files they come from; adaptive plans keep that number."""
+#: Rows that one task of ``spread`` takes, about, where the number of all rows is given.
+TASK_ROWS = 1_000_000
+
+
+def spread(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
+    """Deal rows by ``keys`` over at least two tasks a core, whatever files they come from; adaptive plans keep that number.
+
+    With ``rows``, the number of all rows, tasks are so many that what one of them holds does not grow with the table.
+    """
     spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
     return df.repartition(tasks, *keys)
 
 
