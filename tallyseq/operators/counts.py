@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tallyseq.functions.sequence import features_of
 from tallyseq.operators.graph import connected_components
-from tallyseq.session import spread
+from tallyseq.session import materialize, spread
 
 
 #: Samples or features up to this number are broadcast.
@@ -135,11 +135,13 @@ def normalized_counts(groups: DataFrame, dedup: bool = True) -> DataFrame:
 
     ``groups``: sample, read_id, gene (genes and the primer pair, comma-joined), final_umi. A null tag counts as one tag.
     """
-    genes = F.filter(F.transform(F.split("gene", ","), lambda g: F.trim(g)), lambda g: g != "")
-    named = groups.withColumn("gene", F.explode(F.slice(genes, 1, F.greatest(F.size(genes) - 1, F.lit(0)))))
-    reads = named.groupBy("sample", "read_id").agg(F.array_sort(F.collect_set("gene")).alias("genes"), F.min(F.coalesce("final_umi", F.lit(""))).alias("umi"))
-    whole = read_components(reads, gene_components(cooccurrence(reads)))
-    number = F.count_distinct("umi") if dedup else F.count("*")
+    every = _names(F.col("gene"))
+    named = groups.select("sample", "read_id", F.slice(every, 1, F.greatest(F.size(every) - 1, F.lit(0))).alias("genes"), F.coalesce("final_umi", F.lit("")).alias("umi"))
+    rows = _by_read(named.where(F.size("genes") > 0))
+    reads = rows.groupBy("sample", "read_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("genes")))).alias("genes"), F.min("umi").alias("umi"))
+    kinds = materialize(reads.groupBy("sample", "genes", "umi").agg(F.count("*").alias("reads")))  # reads are gone through once
+    whole = read_components(kinds, gene_components(cooccurrence(kinds.select("genes").distinct())))
+    number = F.count_distinct("umi") if dedup else F.sum("reads")
     return whole.groupBy("sample", "component").agg(number.alias("n"))
 
 

@@ -126,3 +126,20 @@ def test_reads_are_dealt_by_their_number(spark, monkeypatch):
     parts = spark.createDataFrame([("A", "x"), ("B", "x"), ("C", "x")], "gene string, component string")
     torn = {q: len({"x" if g in "ABC" else g for g in s}) for q, s in want.items()}
     assert {r.read_id: r.n for r in counts.torn_reads(reads, parts).collect()} == {q: n for q, n in torn.items() if n > 1}
+
+
+def test_reads_are_gone_through_once_for_their_components(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("concat('s', id % 2) AS sample", "concat('q', id % 300) AS read_id", "concat('G', id % 300 % 3, CASE WHEN id % 300 % 3 = 0 THEN ',G9' ELSE '' END, ',F+R') AS gene", "CASE WHEN id % 5 > 0 THEN concat('u', id % 5) END AS final_umi")
+    met, cooccurrence = [], counts.cooccurrence
+    monkeypatch.setattr(counts, "cooccurrence", lambda reads: met.append(reads.count()) or cooccurrence(reads))
+    for dedup in (True, False):
+        want = {}
+        tags = {}
+        for i in range(400):
+            key = f"s{i % 2}", i % 300
+            tags[key] = min(tags.get(key, "z"), f"u{i % 5}" if i % 5 else "")
+        for (sample, q), tag in tags.items():
+            want.setdefault((sample, "G0|G9" if q % 3 == 0 else f"G{q % 3}"), []).append(tag)
+        got = {(r["sample"], r.component): r.n for r in counts.normalized_counts(rows, dedup).collect()}
+        assert got == {k: len(set(t)) if dedup else len(t) for k, t in want.items()}
+    assert met == [3, 3]
