@@ -169,26 +169,33 @@ def rarefy(counts: DataFrame, depth: int, seed: int = 42, block: int = 4096) ->
 
     Molecules are ordered by a hash. Buckets of hash values hold about ``block`` molecules each,
     whatever the sample's depth; buckets are taken whole until the one that holds the last drawn
-    molecule, and only there molecules are ranked. A cell's copies are made in pieces of a bounded size, dealt to all cores.
+    molecule, and only there molecules are ranked. So a sample has one limit, which meets its cells; molecules are joined with nothing.
+    A cell's copies are made in pieces of a bounded size, dealt to all cores.
     """
+    counts = materialize(counts.select("sample", "feature", "n"))
     totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
     rows = counts.where("n > 0").join(totals, "sample")
-    piece = 1 << 13
-    pieces = spread(rows.where(F.col("total") > depth).withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})"))), "sample", "feature", "piece")
-    deep = pieces.withColumn("copy", F.explode(F.expr(f"sequence(piece * {piece} + 1, least(n, (piece + 1) * {piece}))")))
-    key = F.md5(F.concat_ws(":", "sample", "feature", "copy", F.lit(seed)))
-    part = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
-    deep = deep.withColumn("key", key).withColumn("bucket", F.floor(part * F.ceil(F.col("total") / block)))
-    sizes = deep.groupBy("sample", "bucket").agg(F.count("*").alias("size"))
+    deep = rows.where(F.col("total") > depth)
+    sizes = _molecules(deep, seed, block).groupBy("sample", "bucket").agg(F.count("*").alias("size"))
     before = F.sum("size").over(Window.partitionBy("sample").orderBy("bucket")) - F.col("size")
-    wanted = sizes.withColumn("need", depth - before).where("need > 0").select("sample", "bucket", "need", (F.col("need") < F.col("size")).alias("partly"))
-    taken = deep.join(wanted, ["sample", "bucket"]).select("sample", "feature", "copy", "key", "need", "partly", "bucket")
+    limits = sizes.withColumn("need", depth - before).where("need > 0").groupBy("sample").agg(F.max("bucket").alias("last"), F.min("need").alias("need"))
+    # limits are written first: a plan that sees them and cells by their sizes never sends what the cells are exploded to
+    taken = _molecules(deep.join(materialize(limits), "sample"), seed, block).where("bucket <= last")
     order = Window.partitionBy("sample", "bucket").orderBy("key", "feature", "copy")
-    last = taken.where("partly").withColumn("rn", F.row_number().over(order)).where("rn <= need")
-    drawn = taken.where("not partly").select("sample", "feature").unionByName(last.select("sample", "feature")).groupBy("sample", "feature").agg(F.count("*").alias("n"))
+    drawn = taken.withColumn("rn", F.row_number().over(order)).where("bucket < last or rn <= need").groupBy("sample", "feature").agg(F.count("*").alias("n"))
     return drawn.unionByName(rows.where(F.col("total") <= depth).select("sample", "feature", "n"))
 
 
+def _molecules(cells: DataFrame, seed: int, block: int) -> DataFrame:
+    """A row per molecule of ``cells`` (sample, feature, n, total): adds copy, key and bucket."""
+    piece = 1 << 13
+    pieces = spread(cells.withColumn("piece", F.explode(F.expr(f"sequence(0L, (n - 1) div {piece})"))), "sample", "feature", "piece")
+    every = pieces.withColumn("copy", F.explode(F.expr(f"sequence(piece * {piece} + 1, least(n, (piece + 1) * {piece}))")))
+    key = F.md5(F.concat_ws(":", "sample", "feature", "copy", F.lit(seed)))
+    part = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
+    return every.withColumn("key", key).withColumn("bucket", F.floor(part * F.ceil(F.col("total") / block)))
+
+
 def rarefy_repeats(counts: DataFrame, repeats: int, depth: int | None = None, seed: int = 42) -> DataFrame:
     """``repeats`` independent draws of each deeper sample, named ``<sample>_rarefied_<i>``; others come once, whole.
 

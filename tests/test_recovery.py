@@ -134,6 +134,21 @@ def test_rarefied_molecules_are_dealt_to_all_cores(spark):
     assert [tuple(r) for r in found.collect()] == [("s", "f", 500)]
 
 
+def test_rarefied_molecules_meet_no_join(spark):
+    """A plan that runs guesses an exploded table as small as it was before, and sends it through the driver."""
+    rows = spark.createDataFrame([(s, f, 9000 + 1000 * f) for s in ("a", "b") for f in range(4)] + [("c", 0, 7)], "sample string, feature int, n long")
+    found = counts.rarefy(rows, 500, block=64)
+    got = {(r["sample"], r.feature): r.n for r in found.collect()}
+    sums = {s: sum(n for (of, _), n in got.items() if of == s) for s in "abc"}
+    assert sums == {"a": 500, "b": 500, "c": 7}
+    lines = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*|")) for x in lines]
+    for i, line in enumerate(lines):
+        if "Join" in line:
+            below = lines[i + 1 : next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))]
+            assert not any("Generate" in x for x in below)
+
+
 def test_groups_of_pairs_shuffle_amplicons_once(spark):
     rows = spark.createDataFrame([("A", "C", "g2", "t2", 1, 9), ("A", "C", "g1", "t1", 5, 9), ("A", "C", "g1", "t1", 2, 9), ("A", "C", None, "t3", 1, 2)], "fwd string, rev string, gene_id string, transcript_id string, start int, end int")
     found = recover.group_pairs(rows)
