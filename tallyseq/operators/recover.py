@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyseq.functions.sequence import kmers, reverse_complement
 from tallyseq.session import spread
 
+#: Patterns up to this number are sent to all tasks.
+MOST_SENT = 200_000
 #: The universal prefixes of forward and reverse primers, with their random bases.
 PREFIXES = {"fwd": "CCTACACGACGCTCTTCCGATCTNNNNNN", "rev": "TCAGACGTGTGCTCTTCCGATCTNNNNNN"}
 #: The optional linkers after the prefixes.
@@ -45,13 +48,37 @@ def group_pairs(amplicons: DataFrame) -> DataFrame:
     """One row per (fwd, rev): the first amplicon by gene and transcript, counts, and all transcripts.
 
     ``amplicons`` has fwd, rev, gene_id, transcript_id, start, end. The listing of a group is an
-    aggregate of distinct names: repeated places do not lengthen it. Amplicons are dealt by pair once; both
-    aggregates find their rows in place, and numbers of names come from the sets.
+    aggregate of distinct names: repeated places do not lengthen it. Amplicons are dealt by pair once; the
+    aggregate finds its rows in place, and numbers of names come from the sets.
     """
-    rows = spread(amplicons.select("fwd", "rev", "gene_id", "transcript_id", "start", "end"), "fwd", "rev").groupBy("fwd", "rev", "gene_id", "transcript_id").agg(F.min(F.struct("start", "end")).alias("place"), F.count("*").alias("n"))
-    first = F.min(F.struct("gene_id", "transcript_id", F.col("place.start").alias("start"), F.col("place.end").alias("end")))
+    return _groups(spread(amplicons.select("fwd", "rev", "gene_id", "transcript_id", "start", "end"), "fwd", "rev"))
+
+
+def group_facing(transcripts: DataFrame, patterns: DataFrame, gene: Column, transcript: Column) -> DataFrame:
+    """``group_pairs`` of all amplicons that ``patterns`` (pattern) have on ``transcripts`` (seq_id, seq), where places are dense and transcripts short.
+
+    A place of the plus strand is dealt by its pattern with the bases behind it; the places that face it are found there, so a shuffle has a row per
+    place and not per amplicon. Places are those of ``primers.locate``. ``gene`` and ``transcript`` are made of ``seq_id`` behind the shuffle.
+    """
+    wanted = patterns.select(F.upper("pattern").alias("pattern")).distinct()
+    sizes = sorted(r[0] for r in wanted.select(F.length("pattern")).distinct().collect())
+    sent = F.broadcast if wanted.count() <= MOST_SENT else lambda df: df
+    windows = lambda seq: F.explode(F.flatten(F.array(*[kmers(F.col(seq), k) for k in sizes])) if sizes else F.array().cast("array<struct<at:int,kmer:string>>")).alias("w")
+    spots = transcripts.select("seq_id", F.upper("seq").alias("seq")).select("seq_id", "seq", windows("seq"))
+    behind = F.substr("seq", F.col("w.at") + F.length("w.kmer") + 1)
+    ups = spots.select("seq_id", F.col("w.kmer").alias("fwd"), (F.col("w.at") + 1).alias("start"), behind.alias("rest")).where(F.length("rest") >= min(sizes, default=0))
+    ups = ups.join(sent(wanted.select(F.col("pattern").alias("fwd"))), "fwd")
+    bases = ups.agg(F.sum(F.length("rest"))).first()[0] or 0  # no fewer than amplicons, for one length of patterns
+    facing = spread(ups, "fwd", rows=bases).select("seq_id", "fwd", "start", windows("rest"))
+    facing = facing.select("seq_id", "fwd", "start", (F.col("start") + F.length("fwd") + F.col("w.at") + F.length("w.kmer") - 1).alias("end"), F.col("w.kmer").alias("word"))
+    found = facing.join(sent(wanted.select(F.col("pattern").alias("rev"), reverse_complement(F.col("pattern")).alias("word"))), "word")
+    return _groups(found.select("fwd", "rev", gene.alias("gene_id"), transcript.alias("transcript_id"), "start", "end"))
+
+
+def _groups(amplicons: DataFrame) -> DataFrame:
     number = lambda c: F.size(F.collect_set(c)).cast("long")
-    found = rows.groupBy("fwd", "rev").agg(first.alias("first"), number("transcript_id").alias("num_transcripts"), number("gene_id").alias("num_genes"), F.sum("n").alias("num_amplicons"), F.array_join(F.array_sort(F.collect_set("transcript_id")), ";").alias("transcript_id_all"))
+    first = F.min(F.struct("gene_id", "transcript_id", "start", "end"))
+    found = amplicons.groupBy("fwd", "rev").agg(first.alias("first"), number("transcript_id").alias("num_transcripts"), number("gene_id").alias("num_genes"), F.count("*").alias("num_amplicons"), F.array_join(F.array_sort(F.collect_set("transcript_id")), ";").alias("transcript_id_all"))
     return found.select("fwd", "rev", "first.*", "num_transcripts", "num_genes", "num_amplicons", "transcript_id_all")
 
 

@@ -147,9 +147,13 @@ def pool_saddle_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return primers.dimer_loss(_pool(spark, sf_dir)).select("id", F.round("loss", 4).alias("loss"))
 
 
-def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of eight bases from the primers' 3' ends, so that the short test transcripts hold some."""
-    pool = views.primers(spark, sf_dir).select("primer_type", F.substring("primer_seq", 7, 8).alias("pattern")).groupBy("pattern").agg(F.min("primer_type").alias("primer_type"))
+    return views.primers(spark, sf_dir).select("primer_type", F.substring("primer_seq", 7, 8).alias("pattern")).groupBy("pattern").agg(F.min("primer_type").alias("primer_type"))
+
+
+def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pool = _patterns(spark, sf_dir)
     return primers.locate(views.sequences(spark, sf_dir), pool).join(pool, "pattern")
 
 

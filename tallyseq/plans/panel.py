@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyseq.functions.gene_names import simplify
-from tallyseq.operators import anneal, assign, counts, intervals, primers, reads, recover, stats
+from tallyseq.operators import anneal, assign, counts, intervals, reads, recover, stats
 from tallyseq.plans import catalog
 from tallyseq.sources import views
 
@@ -90,9 +90,8 @@ def unmatched_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amplicon_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = primers.amplicons(catalog.pattern_locations(spark, sf_dir))
-    named = found.selectExpr("up AS fwd", "down AS rev", "concat('g', seq_id % 9) AS gene_id", "concat('t', seq_id) AS transcript_id", "up_start AS start", "down_end AS end")
-    return recover.group_pairs(named)
+    gene, transcript = (F.concat(F.lit(k), c) for k, c in (("g", F.col("seq_id") % 9), ("t", F.col("seq_id"))))
+    return recover.group_facing(views.sequences(spark, sf_dir), catalog._patterns(spark, sf_dir), gene, transcript)
 
 
 def location_checks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyseq.__main__ import main
 from tallyseq.operators import counts, pairing, primers, recover, stats
-from tallyseq.plans import design
+from tallyseq.plans import design, registry
 from tallyseq.sources import files
 
 
@@ -155,3 +155,23 @@ def test_groups_of_pairs_shuffle_amplicons_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and plan.count("Exchange") == 1
     assert [(r.num_transcripts, r.num_genes, r.num_amplicons, r.transcript_id_all) for r in found.collect()] == [(3, 2, 4, "t1;t2;t3")]
+
+
+def test_groups_are_made_behind_the_shuffle_of_places(spark):
+    dice = random.Random(8)
+    seqs = [(i, "".join(dice.choice("ACGT") for _ in range(dice.choice([3, 40, 60])))) for i in range(40)] + [(40, None), (41, "acgtacgtTTTTacgtacgt")]
+    transcripts = spark.createDataFrame(seqs, "seq_id int, seq string")
+    patterns = spark.createDataFrame([("".join(dice.choice("ACGT") for _ in range(n)),) for n in (3, 3, 3, 4, 4, 5) * 3] + [("acgt",), ("ACGT",)], "pattern string")
+    gene, transcript = F.concat(F.lit("g"), F.col("seq_id") % 3), F.concat(F.lit("t"), F.col("seq_id") % 30)
+    found = recover.group_facing(transcripts, patterns, gene, transcript)
+    located = primers.locate(transcripts, patterns).withColumn("primer_type", F.lit("fwd"))
+    named = primers.amplicons(located).select(F.col("up").alias("fwd"), F.col("down").alias("rev"), gene.alias("gene_id"), transcript.alias("transcript_id"), F.col("up_start").alias("start"), F.col("down_end").alias("end"))
+    want = recover.group_pairs(named)
+    assert found.dtypes == want.dtypes and sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and want.count() > 100
+    assert recover.group_facing(transcripts, patterns.limit(0), gene, transcript).count() == 0
+
+
+def test_amplicons_pass_no_shuffle(spark):
+    plan = registry.queries()["amplicon_groups"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    above, dealt, _ = plan.partition("hashpartitioning(fwd")
+    assert dealt and "Generate" in above and "Exchange hash" not in above.rpartition("\n")[0]
