@@ -6,6 +6,7 @@ import pytest
 
 from tallyseq.operators import primers
 from tallyseq.plans import registry
+from tallyseq.session import spread
 
 SEQS = {"a": "TTACGGATCCGTA", "b": "AACGGATC", "c": "GATC", "d": "CCC"}
 
@@ -27,6 +28,22 @@ def test_frequent_words_are_cut_into_parts(spark, monkeypatch):
     assert told() == whole and whole
 
 
+def test_shuffled_words_grow_with_the_pool(spark, monkeypatch):
+    """Chunks of a word are sent to all chunks of its complement, so their number must not follow the places."""
+    monkeypatch.setattr(primers, "TOGETHER", 4)
+    monkeypatch.setattr(primers, "PIECES", 64, raising=False)
+    sent = []
+
+    def watched(df, *keys):
+        sent.append(df.count())
+        return spread(df, *keys)
+
+    monkeypatch.setattr(primers, "spread", watched)
+    pool = spark.createDataFrame([(i, "ACGT") for i in range(400)], "id int, seq string")
+    assert primers.complement_hits(pool, 4, 4).count() == 400 * 401 // 2
+    assert len(sent) == 2 and 400 < max(sent) <= 400 * 8
+
+
 @pytest.mark.parametrize("name", ["pattern_locations", "location_checks", "amplicons", "passing_amplicons", "pair_complement_words", "name_audit"])
 def test_rows_of_one_row_group_are_dealt(spark, name):
     """Otherwise the task that reads a small table makes everything of it."""
