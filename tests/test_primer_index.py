@@ -111,3 +111,40 @@ def test_candidates_are_few_beside_a_large_panel():
     assert len(index.candidates(codes, np.cumsum(sizes) - sizes, sizes)[0]) < 10 * len(reads)
     told = index.best([r.encode() for r in reads])
     assert (told[:, 0] >= 0).all() and [primers[index.rank[t]] for t in told[:, 0]] == primers[:200]
+
+
+def worn(dice, primer, errors):
+    p = list(primer)
+    for _ in range(errors):
+        at, kind = dice.randrange(len(p)), dice.choice("sid")
+        p[at : at + 1] = {"s": [dice.choice("ACGTX")], "i": [dice.choice("ACGT"), p[at]], "d": []}[kind]
+    return "".join(p)
+
+
+def test_neighbours_of_pieces_lose_no_place(cases):
+    """Two errors at all places of primers of 20 to 27 bases, also at the read's ends and at its start, against every window."""
+    dice = random.Random(11)
+    some = lambda n: "".join(dice.choice("ACGT") for _ in range(n))
+    primers = [some(n) for n in (20, 22, 24, 27)] + ["ACGTNACGTACGTTACGTAC"]
+    names = [f"P{i}" for i in range(len(primers))]
+    reads = [some(dice.choice([0, 1, 7])) + worn(dice, dice.choice(primers), 2) + some(dice.choice([0, 3])) for _ in range(70)]
+    reads += [worn(dice, dice.choice(primers)[2:], 2) + some(5) for _ in range(20)]
+    reads = [r.replace("N", "A") for r in reads]  # the primer's N equals no base
+    index = primer_index.Index(primers, 0.1, 20)
+    for read, (entry, errors, start, size) in zip(reads, index.best([r.encode() for r in reads]).tolist(), strict=True):
+        got = (names[index.rank[entry]], read[start : start + size], start, errors) if entry >= 0 else ("no_adapter", "", None, None)
+        assert got == brute(read, names, primers, 0.1, 20), read
+
+
+def test_pairs_of_pieces_by_chance_are_no_candidates(monkeypatch):
+    dice = random.Random(4)
+    some = lambda n: "".join(dice.choice("ACGT") for _ in range(n))
+    primers = ["ACGTA" + some(10) + "TTGCA" for _ in range(2000)]
+    reads = [some(3) + worn(dice, p, 2) + some(9) for p in primers[:300]]
+    index = primer_index.Index(primers, 0.1, 20)
+    codes = primer_index.CODES[np.frombuffer("".join(reads).encode(), np.uint8)]
+    sizes = np.array([len(r) for r in reads])
+    assert len(index.candidates(codes, np.cumsum(sizes) - sizes, sizes)[0]) < 100 * len(reads)  # some 690 by pieces alone
+    told = index.best([r.encode() for r in reads])
+    monkeypatch.setattr(primer_index, "NEIGHBOUR", 99)  # none is told
+    assert np.array_equal(told, primer_index.Index(primers, 0.1, 20).best([r.encode() for r in reads]))
