@@ -223,7 +223,8 @@ def _rest(members: DataFrame, sets: DataFrame, links: DataFrame, parts: DataFram
     found = _linked(pairs.select(*_pair("node", "other")).distinct(), sets)
     chunks = F.ceil(F.col("members") / TILE)
     heavy = open_.where(F.col("others") > PAIRWISE).withColumn("chunk", F.pmod(F.xxhash64("node", "bucket"), chunks)).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    tiles = heavy.select("bucket", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), "node", "part").join(sets, "node")
+    placed = materialize(heavy.select("bucket", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), "node", "part"))  # so a plan knows its size
+    tiles = placed.join(sets, "node")
     found = materialize(found.unionByName(tiles.groupBy("bucket", "low", "high").applyInPandas(_tile_edges, "src long, dst long")))
     return connected_components(links.unionByName(found)) if found.limit(1).count() else parts
 

@@ -129,7 +129,7 @@ def hamming_links(fps: DataFrame, distance: int = 3, blocks: int = 5, pairwise:
     light = keyed.join(heavy, ["block", "part"], "left_anti")
     pairs = (
         light.alias("a")
-        .join(light.alias("b"), ["block", "part"])
+        .join(light.alias("b").hint("merge"), ["block", "part"])  # a plan guesses exploded keys as small as the fingerprints and would send them through the driver
         .where("a.fp < b.fp")
         .where(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= distance)
         .select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"))

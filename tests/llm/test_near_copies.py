@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyseq.llm import near_copies
+from tallyseq.llm import near_copies, simhash
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -127,3 +127,17 @@ def test_near_fingerprints_are_checked_exactly(spark):
     assert sorted(map(tuple, near.collect())) == [(1, 2), (1, 3)]
     sets = spark.createDataFrame([(1, [1, 2, 3, 4, 5]), (2, [1, 2, 3, 4]), (3, [6])], "node long, some array<long>")
     assert [tuple(r) for r in near_copies._linked(near, sets).collect()] == [(1, 2)]
+
+
+def test_block_keys_are_not_broadcast(spark):
+    """A key for each fingerprint and choice of blocks: by the guess of a plan they are as few as the fingerprints."""
+    fps = np.random.default_rng(1).integers(-(2**63), 2**63, 3000)
+    near = fps[:50] ^ 5
+    found = simhash.hamming_links(simhash.materialize(spark.createDataFrame([(int(x),) for x in np.concatenate([fps, near])], "fp long")))  # a file, whose size a plan knows
+    assert {frozenset((r.src, r.dst)) for r in found.collect()} == {frozenset((int(a), int(b))) for a, b in zip(fps[:50], near, strict=True)}
+    lines = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*|")) for x in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = lines[i + 1 : next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))]
+            assert not any("Generate" in x for x in below)
